@@ -14,7 +14,7 @@ from martloom.functions.text import field_label, try_decimal
 from martloom.operators.eav import eav_pivot
 from martloom.operators.latest import latest_per_key
 from martloom.operators.star import Lookup, star_lookup
-from martloom.plans.dims import Sources, account_types, active, of_tenants
+from martloom.plans.dims import Sources, account_lookups, active, of_tenants
 from martloom.settings import MartSettings
 
 POSTED = 2
@@ -111,12 +111,7 @@ def invoice_revenue(src: Sources, settings: MartSettings) -> DataFrame:
     lines = star_lookup(
         of_tenants(src["invoiceitem"], settings).filter(active())
         .select("id", *INVOICE_KEY, "total", "generalledgeraccount_id"),
-        [
-            Lookup(
-                account_types(src), {"generalledgeraccount_id": "id", "_tenant_id": "_tenant_id"},
-                {"type_name": "type_name"},
-            )
-        ],
+        account_lookups(src, "generalledgeraccount_id"),
     )
     sums = _per_invoice(
         lines,

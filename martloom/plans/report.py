@@ -289,7 +289,7 @@ def employee_metrics(mart: Mart) -> DataFrame:
 
     posted = mart["fact_invoice"].filter(F.col("InvoiceStatus") == POSTED)
     mean_cost = visit_invoices(mart, posted).groupBy(*_AGREEMENT).agg(F.avg("Cost").alias("MeanCost"))
-    margin = F.col("RevenueRecognitionAmount") - or_zero(F.col("MeanCost"))
+    margin = (F.col("RevenueRecognitionAmount") - or_zero(F.col("MeanCost"))).cast("decimal(24,6)")
     zero = F.lit(0)
     commission = F.coalesce(
         F.when(F.col("SARenewalYear") == 1, margin * or_zero(F.col(_PERCENTS[1])))
