@@ -63,7 +63,8 @@ def difference(spark: SparkSession, connection, sf_dir: str, name: str) -> str:
 def local_session(cores: int = 8) -> SparkSession:
     builder = SparkSession.builder.master(f"local[{cores}]").appName("martloom-checks")
     spark = recommended(
-        builder, **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g", "spark.ui.enabled": "false"}
+        builder, **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g", "spark.ui.enabled": "false",
+                   "spark.ui.showConsoleProgress": "false"}
     ).getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark

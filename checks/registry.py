@@ -18,7 +18,7 @@ from martloom.operators import compare, quality
 from martloom.operators.eav import eav_pivot
 from martloom.operators.keys import dense_key
 from martloom.operators.latest import latest_per_key
-from martloom.operators.listagg import id_chunk, listagg_distinct, text_chunk
+from martloom.operators.listagg import Listed, listagg_distinct
 from martloom.plans import dims, facts, measures, metrics, report
 from martloom.session import scratch_path
 from martloom.sinks import runlog, writers
@@ -741,22 +741,33 @@ def tiered(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _listed(name: str, column: str, chunk, sql: str) -> None:
-    @check(name, sql)
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        lines = base_table(spark, sf_dir, "lineitem")
-        value = F.col(column)
-        return listagg_distinct(lines, ["l_orderkey"], {"items": (value, chunk(value))})[0]
-
-
-_listed(
-    "listagg_distinct_numeric", "l_partkey", lambda c: id_chunk(c, 64),
+@check(
+    "listagg_distinct_numeric",
     "SELECT l_orderkey, listagg(DISTINCT l_partkey, ', ' ORDER BY l_partkey) AS items FROM lineitem GROUP BY 1",
 )
-_listed(
-    "listagg_distinct_string", "l_returnflag", text_chunk,
-    "SELECT l_orderkey, string_agg(DISTINCT l_returnflag, ', ' ORDER BY l_returnflag) AS items FROM lineitem GROUP BY 1",
+def listagg_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = base_table(spark, sf_dir, "lineitem")
+    return listagg_distinct(lines, ["l_orderkey"], {"items": Listed(F.col("l_partkey"), numeric=True, chunk=64)})
+
+
+@check(
+    "listagg_distinct_string",
+    """SELECT l_orderkey, string_agg(DISTINCT s_name, ', ' ORDER BY s_name) FILTER (WHERE l_returnflag = 'R') AS sellers,
+              listagg(DISTINCT l_partkey, ', ' ORDER BY l_partkey) FILTER (WHERE l_returnflag = 'R') AS parts,
+              CAST(sum(CAST(l_extendedprice AS DECIMAL(20,2))) AS DOUBLE) AS total
+       FROM lineitem JOIN supplier ON s_suppkey = l_suppkey GROUP BY 1""",
 )
+def listagg_string(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sellers = base_table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_name")
+    return listagg_distinct(
+        base_table(spark, sf_dir, "lineitem").join(sellers, "l_suppkey"), ["l_orderkey"],
+        {
+            "sellers": Listed(F.col("s_name"), numeric=False, chunk=17),
+            "parts": Listed(F.col("l_partkey"), numeric=True),
+        },
+        where=F.col("l_returnflag") == "R",
+        sums={"total": _money("l_extendedprice")},
+    )
 
 
 @check(

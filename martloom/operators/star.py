@@ -21,7 +21,7 @@ class Lookup:
 def star_lookup(fact: DataFrame, lookups: list[Lookup]) -> DataFrame:
     """Join the dimensions one after another, keeping only the asked-for columns.
 
-    No broadcast hint: a dimension below ``spark.sql.autoBroadcastJoinThreshold`` (or found to be below it at run time
+    No broadcast hint is added here: a dimension below ``spark.sql.autoBroadcastJoinThreshold`` (or found to be below it at run time
     by adaptive execution) is broadcast, a larger one is joined by sort-merge, where adaptive execution splits a hot or
     NULL key on the fact side. List lookups that share join columns next to each other: they share one shuffle.
     """

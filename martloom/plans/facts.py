@@ -20,7 +20,8 @@ _JOB = ["JobId", "TenantId"]
 
 
 def _date_key(mart: Mart, column: str) -> Lookup:
-    return Lookup(mart["dim_date"], {column: "Date"}, {"DateKey": "DateKey"})
+    """J16. A calendar has one row per day - some hundred thousand for a thousand years - so it is always broadcast."""
+    return Lookup(F.broadcast(mart["dim_date"]), {column: "Date"}, {"DateKey": "DateKey"})
 
 
 def _dimension(mart: Mart, table: str, column: str, natural: str, key: str, alias: str | None = None) -> Lookup:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from martloom.functions.money import or_zero, percent_of, tiered_commission
 from martloom.functions.text import agreement_link, invoice_link
-from martloom.operators.listagg import id_chunk, listagg_distinct, text_chunk
+from martloom.operators.listagg import Listed, listagg_distinct
 from martloom.operators.star import Lookup, star_lookup
 from martloom.plans.facts import Mart
 from martloom.plans.measures import POSTED
@@ -158,11 +158,11 @@ def collapse_periods(periods: DataFrame) -> DataFrame:
 
 
 def _agreement_rows(mart: Mart, periods: DataFrame, costs: DataFrame) -> DataFrame:
+    """``costs`` has one row per agreement with ``CostFromJobs`` and whatever else is to be carried along."""
     names = {"CustomerName": "ServiceAgreementCustomer", "CustomerId": "ServiceAgreementCustomerId"}
     places = {"LocationName": "ServiceAgreementLocation", "LocationId": "ServiceAgreementLocationId"}
-    cost_of = costs.groupBy(*_AGREEMENT).agg(F.sum("Cost").alias("CostFromJobs"))
     rows = star_lookup(
-        collapse_periods(periods).join(cost_of, _AGREEMENT, "left"),
+        collapse_periods(periods).join(costs, _AGREEMENT, "left"),
         [
             _member(mart, "dim_customer", "CustomerKey", names),
             _member(mart, "dim_location", "LocationKey", places),
@@ -195,13 +195,16 @@ def report_sa_side(mart: Mart, settings: MartSettings) -> DataFrame:
         & F.col("TenantId").isin(*settings.tenant_ids)
     )
     visits = visit_invoices(mart, _in_report(mart["fact_invoice"], settings))
-    invoice_id, number = F.col("InvoiceId"), F.col("TransactionNumber")
-    rows = _agreement_rows(mart, periods, visits).drop("InvoiceId")
-    for listed in listagg_distinct(
-        visits.filter(F.col("InvoiceStatus") == POSTED), _AGREEMENT,
-        {"InvoiceId": (invoice_id, id_chunk(invoice_id)), "InvoiceNumber": (number, text_chunk(number))},
-    ):
-        rows = rows.join(listed, _AGREEMENT, "left")
+    of_visits = listagg_distinct(
+        visits, _AGREEMENT,
+        {
+            "InvoiceId": Listed(F.col("InvoiceId"), numeric=True),
+            "InvoiceNumber": Listed(F.col("TransactionNumber"), numeric=False),
+        },
+        where=F.col("InvoiceStatus") == POSTED,
+        sums={"CostFromJobs": F.col("Cost")},
+    )
+    rows = _agreement_rows(mart, periods, of_visits)
     rows = optional_in(rows, "EmployeeId", settings.employee_ids)
     link = agreement_link(F.col("ServiceAgreementCustomerId"), F.col("ServiceAgreementId"))
     return _shape(rows.withColumnsRenamed(_RATE_OUTPUTS).withColumn("LinkPath", link))
@@ -240,7 +243,8 @@ def job_metrics(mart: Mart) -> DataFrame:
 def sa_metrics(mart: Mart) -> DataFrame:
     """All periods; unlike the report, visit costs count posted invoices only."""
     posted = mart["fact_invoice"].filter(F.col("InvoiceStatus") == POSTED)
-    return _agreement_rows(mart, mart["fact_serviceagreement"], visit_invoices(mart, posted)).select(
+    costs = visit_invoices(mart, posted).groupBy(*_AGREEMENT).agg(F.sum("Cost").alias("CostFromJobs"))
+    return _agreement_rows(mart, mart["fact_serviceagreement"], costs).select(
         "ServiceAgreementId", "ServiceAgreementTemplateType", "ServiceAgreementStartDate", "ServiceAgreementCustomer",
         "ServiceAgreementCustomerId", "ServiceAgreementLocation", "ServiceAgreementLocationId", "CostFromJobs",
         "ServiceAgreementRevenue", "ServiceAgreementRenewalYear", "ServiceAgreementCommission",

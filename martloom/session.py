@@ -14,6 +14,9 @@ SQL_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a hot join key even where that costs one more shuffle after the join.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Let the invoices of a narrow date window prune the scan of their lines: a filtered side up to this size may be
+    # turned into a bloom filter for a scan of 10 GB and more.
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1g",
     "spark.sql.session.timeZone": "UTC",
 }
 
