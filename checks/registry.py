@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -387,6 +388,24 @@ def metrics_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.metrics_long(metrics.metric_views(open_mart(spark, sf_dir)))
 
 
+@check("metrics_from_sql", oracle.compose(f"SELECT * FROM ({_METRICS_SQL}) WHERE category <> 'service_agreement'"))
+def metrics_from_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same figures from metric definitions whose SQL reads the temporary views."""
+    metrics.metric_views(open_mart(spark, sf_dir), register=True)
+    chosen = [m for m in metrics.DEFAULT_METRICS if m.category != "service_agreement"]
+    frames = [
+        metrics.sql_metric(
+            spark,
+            {
+                "name": m.name, "category": m.category,
+                "query": f"SELECT {m.value} AS metric_value, {m.count} AS metric_count FROM {m.view}",
+            },
+        )
+        for m in chosen
+    ]
+    return reduce(DataFrame.unionByName, frames)
+
+
 # Metric versions: one per order year; the metric is an order priority's posted amount. 5-LOW starts in 2000, so its
 # previous value is 0; 4-NOT SPECIFIED has no history at all.
 _HISTORY_SQL = """
@@ -459,6 +478,27 @@ def metric_history_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare.latest_metrics(_metric_versions(spark, sf_dir)[1]).drop("RUN_DATE", "LOADDATETIME")
 
 
+@check(
+    "metric_history_append",
+    f"""SELECT name AS METRIC_NAME, version AS RUN_VERSION, CAST(value AS DOUBLE) AS METRIC_VALUE, n AS METRIC_COUNT,
+               NULL AS PREVIOUS_RUN_VERSION, CAST(NULL AS DOUBLE) AS VALUE_DIFFERENCE
+        FROM ({_HISTORY_SQL}) WHERE version < '2000'
+        UNION ALL SELECT name, '2000', value, count, previous_version, difference FROM ({_COMPARED_SQL})""",
+)
+def metric_history_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Earlier versions are stored, the new one is compared with them and appended."""
+    current, earlier = _metric_versions(spark, sf_dir)
+    path = scratch_path(spark, "metric-history")
+    shape = schemas.MART["mat_metric_summary"]
+    writers.append(schemas.conform(earlier, shape), path)
+    history = spark.read.schema(schemas.ddl(shape)).parquet(path)
+    compared = compare.compare_metrics(current, history)
+    writers.append(metrics.summary_rows(compared, "2000", date(2000, 12, 31), "orders"), path)
+    return spark.read.schema(schemas.ddl(shape)).parquet(path).select(
+        "METRIC_NAME", "RUN_VERSION", "METRIC_VALUE", "METRIC_COUNT", "PREVIOUS_RUN_VERSION", "VALUE_DIFFERENCE"
+    )
+
+
 # Before: finished orders. After: finished and open ones; those of priority 1-URGENT cost one more, those of 2-HIGH
 # changed customer and cost one more.
 @check(
@@ -698,8 +738,8 @@ def anti_join_not_exists(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     WITH early AS (SELECT CASE WHEN l_tax > 0 THEN l_suppkey END AS k, sum(CAST(l_extendedprice AS DECIMAL(20,2))) AS v
                    FROM lineitem WHERE l_returnflag = 'R' AND l_discount < 0.05 GROUP BY 1),
-    late AS (SELECT CASE WHEN l_tax > 0 THEN l_suppkey END AS k, sum(CAST(l_extendedprice AS DECIMAL(20,2))) AS v
-             FROM lineitem WHERE l_returnflag = 'A' AND l_suppkey <> 5 GROUP BY 1)
+    late AS (SELECT CASE WHEN l_tax > 0 THEN l_suppkey + 7 END AS k, sum(CAST(l_extendedprice AS DECIMAL(20,2))) AS v
+             FROM lineitem WHERE l_returnflag = 'A' GROUP BY 1)
     SELECT coalesce(e.k, l.k) AS l_suppkey, CAST(coalesce(e.v, 0) AS DOUBLE) AS early,
            CAST(coalesce(l.v, 0) AS DOUBLE) AS late
     FROM early e FULL JOIN late l ON e.k = l.k""",
@@ -708,14 +748,14 @@ def full_outer_commission(spark: SparkSession, sf_dir: str) -> DataFrame:
     """NULL keys do not match each other, so both sides keep their own NULL row."""
     lines = base_table(spark, sf_dir, "lineitem")
 
-    def side(condition, name: str) -> DataFrame:
-        key = F.when(F.col("l_tax") > 0, F.col("l_suppkey"))
+    def side(condition: str, shift: int, name: str) -> DataFrame:
+        key = F.when(F.col("l_tax") > 0, F.col("l_suppkey") + shift)
         return lines.filter(condition).groupBy(key.alias("l_suppkey")).agg(
             F.sum(_money("l_extendedprice")).alias(name)
         )
 
-    early = side("l_returnflag = 'R' AND l_discount < 0.05", "early")
-    late = side("l_returnflag = 'A' AND l_suppkey <> 5", "late")
+    early = side("l_returnflag = 'R' AND l_discount < 0.05", 0, "early")
+    late = side("l_returnflag = 'A'", 7, "late")
     return early.join(late, "l_suppkey", "full_outer").select(
         "l_suppkey", or_zero(F.col("early")).alias("early"), or_zero(F.col("late")).alias("late")
     )

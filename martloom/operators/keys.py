@@ -41,6 +41,15 @@ def dense_key(df: DataFrame, name: str, order_by: Sequence[str]) -> DataFrame:
 def unique_key(df: DataFrame, name: str) -> DataFrame:
     """A unique, unordered number per row, assigned while the rows are written: no shuffle, gaps allowed.
 
-    Meant for a fact's own key, which no other table refers to.
+    Meant for a fact's own key, which no other table refers to. Must stay the last step before the write: nothing may
+    be shuffled after it, or a repeated task could hand out a number twice.
     """
     return df.withColumn(name, F.monotonically_increasing_id() + 1)
+
+
+def clustered(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Order rows across and within files, so that a scan filtered on the first column skips whole files.
+
+    The further columns split the rows of a value that many rows share.
+    """
+    return df.repartitionByRange(*columns).sortWithinPartitions(*columns)

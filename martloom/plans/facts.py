@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from martloom import schemas
 from martloom.functions.money import is_income, or_zero
-from martloom.operators.keys import unique_key
+from martloom.operators.keys import clustered, unique_key
 from martloom.operators.star import Lookup, star_lookup
 from martloom.plans.dims import Sources, active, agreement_attributes, of_tenants
 from martloom.plans.measures import posted_invoices
@@ -28,6 +28,12 @@ def _dimension(mart: Mart, table: str, column: str, natural: str, key: str, alia
     return Lookup(mart[table], {column: natural, "TenantId": "TenantId"}, {key: alias or key})
 
 
+def _finished(rows: DataFrame, table: str, key: str, layout: list[str], settings: MartSettings) -> DataFrame:
+    if settings.cluster_facts:
+        rows = clustered(rows, layout)
+    return schemas.conform(unique_key(rows, key), schemas.MART[table])
+
+
 def job_context(jobs: DataFrame, mart: Mart) -> DataFrame:
     """Dimension keys of each job. Resolved once per job, so facts with many rows per job need a single join."""
     base = jobs.select(
@@ -110,7 +116,7 @@ def fact_invoice(src: Sources, mart: Mart, settings: MartSettings) -> DataFrame:
             _date_key(mart, "InvoiceDate"),
         ],
     )
-    return schemas.conform(unique_key(rows, "InvoiceKey"), schemas.MART["fact_invoice"])
+    return _finished(rows, "fact_invoice", "InvoiceKey", ["PostedDate", "InvoiceId"], settings)
 
 
 def fact_invoiceitem(src: Sources, mart: Mart, settings: MartSettings) -> DataFrame:
@@ -157,7 +163,7 @@ def fact_invoiceitem(src: Sources, mart: Mart, settings: MartSettings) -> DataFr
             "InvoiceDate": F.col("PostedDate"),
         }
     )
-    return schemas.conform(unique_key(rows, "InvoiceItemKey"), schemas.MART["fact_invoiceitem"])
+    return _finished(rows, "fact_invoiceitem", "InvoiceItemKey", ["PostedDate", "InvoiceId", "InvoiceItemId"], settings)
 
 
 def fact_serviceagreement(src: Sources, mart: Mart, settings: MartSettings) -> DataFrame:

@@ -5,6 +5,7 @@ Each table is written and read back before the next layer uses it, which also bo
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +17,7 @@ from martloom.plans import dims, facts, measures, metrics, report
 from martloom.settings import MartSettings
 from martloom.sinks.runlog import RunLog
 from martloom.sinks.writers import append, empty, stamp_run, with_audit, write_full, write_period
-from martloom.sources.readers import read_mart, read_sources
+from martloom.sources.readers import MartTables, read_mart, read_sources
 
 # table -> (run-log name, job). Order is a valid dependency order; agreement measures come before the agreement fact.
 _MEASURES = {
@@ -69,15 +70,20 @@ def log_name(table: str) -> str:
 
 
 def build_warehouse(
-    spark: SparkSession, settings: MartSettings, raw_root: str, external_root: str, mart_root: str
+    spark: SparkSession, settings: MartSettings, raw_root: str, external_root: str, mart_root: str,
+    tables: Sequence[str] = TABLES,
 ) -> dict[str, int]:
-    """Load every table; returns rows written per table. A failed load is logged and stops the run."""
+    """Load the given tables (all by default) in dependency order; returns rows written per table.
+
+    What a load needs from tables not in the list is read as it is in the mart. A failed load is logged and stops the
+    run.
+    """
     src = read_sources(spark, raw_root, external_root)
+    mart = MartTables(spark, mart_root)
     log = RunLog(spark, f"{mart_root}/etl_run_log")
     log.seed()
-    mart: dict[str, DataFrame] = {}
     written: dict[str, int] = {}
-    for table in TABLES:
+    for table in (t for t in TABLES if t in tables):
 
         def load(name: str = table) -> int:
             df = with_audit(build(name, spark, src, mart, settings))
@@ -87,12 +93,12 @@ def build_warehouse(
             return write_full(df, path)
 
         written[table] = log.run(log_name(table), load)
-        mart[table] = read_mart(spark, mart_root, table)
+        mart.written(table)
     return written
 
 
-def open_mart(spark: SparkSession, mart_root: str) -> dict[str, DataFrame]:
-    return {table: read_mart(spark, mart_root, table) for table in TABLES}
+def open_mart(spark: SparkSession, mart_root: str) -> MartTables:
+    return MartTables(spark, mart_root)
 
 
 def check_sources(src: dims.Sources, thresholds: dict[str, int] = schemas.MIN_SOURCE_ROWS) -> DataFrame:

@@ -34,6 +34,8 @@ class MartSettings:
     # Set when the id of invoice items (and of purchase orders) has passed the unique-key gate:
     # counting ids then needs no distinct step and one shuffle less.
     line_ids_unique: bool = False
+    # Lay the invoice facts out by date, so that a report over a date window reads only the files of that window.
+    cluster_facts: bool = True
     calendar_start: date = date(2020, 1, 1)
     calendar_end: date = date(2030, 12, 31)
     fiscal_start_month: int = 1

@@ -39,15 +39,26 @@ def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> int:
 def write_period(df: DataFrame, root: str, start: date, end: date, tenant_ids: Sequence[int]) -> int:
     """K2: replace one period of the given tenants and leave everything else; running it again changes nothing.
 
-    Each tenant's folder of the period is overwritten on its own. A tenant for which the new result is empty ends up
-    with an empty folder, whereas dynamic partition overwrite alone would leave its old rows in place.
+    One write replaces the folders of all tenants that have rows. A tenant without rows would keep its old folder then,
+    so the rows per tenant are counted on the way, and such a folder is overwritten with no rows.
     """
-    rows = 0
+    seen = Observation()
+    rows = df.filter(
+        (F.col("PeriodStartDate") == F.lit(start)) & (F.col("PeriodEndDate") == F.lit(end))
+        & F.col("TenantId").isin(*tenant_ids)
+    )
+    per_tenant = [F.count_if(F.col("TenantId") == tenant).alias(str(tenant)) for tenant in tenant_ids]
+    rows.observe(seen, *per_tenant).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        *schemas.PERIOD_COLUMNS
+    ).parquet(root)
+    counts = seen.get
+    nothing = df.sparkSession.createDataFrame([], df.drop(*schemas.PERIOD_COLUMNS).schema)
     for tenant in tenant_ids:
-        part = df.filter(F.col("TenantId") == tenant) if len(tenant_ids) > 1 else df
-        folder = f"{root}/PeriodStartDate={start}/PeriodEndDate={end}/TenantId={tenant}"
-        rows += write_full(part.drop(*schemas.PERIOD_COLUMNS), folder)
-    return rows
+        if not counts[str(tenant)]:
+            nothing.write.mode("overwrite").parquet(
+                f"{root}/PeriodStartDate={start}/PeriodEndDate={end}/TenantId={tenant}"
+            )
+    return sum(counts.values())
 
 
 def missing_rows(rows: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 
 from martloom import schemas
@@ -34,3 +36,29 @@ def read_sources(spark: SparkSession, raw_root: str, external_root: str) -> dict
         **{name: read_raw(spark, raw_root, name) for name in schemas.RAW},
         **{name: read_external(spark, external_root, name) for name in schemas.EXTERNAL},
     }
+
+
+class MartTables(Mapping):
+    """The tables of a mart by name, opened when first asked for."""
+
+    def __init__(self, spark: SparkSession, root: str) -> None:
+        self.spark = spark
+        self.root = root
+        self._open: dict[str, DataFrame] = {}
+
+    def __getitem__(self, table: str) -> DataFrame:
+        if table not in schemas.MART:
+            raise KeyError(table)
+        if table not in self._open:
+            self._open[table] = read_mart(self.spark, self.root, table)
+        return self._open[table]
+
+    def written(self, table: str) -> None:
+        """Forget an opened table whose files have been replaced."""
+        self._open.pop(table, None)
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(schemas.MART)
+
+    def __len__(self) -> int:
+        return len(schemas.MART)
