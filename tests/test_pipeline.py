@@ -149,7 +149,8 @@ def test_metrics_and_snapshot(spark, run):
 
 
 def test_an_empty_window_loads_no_rows(spark, run):
-    root, _, mart, src = run
+    root, _, _, src = run
+    mart = pipeline.open_mart(spark, f"{root}/mart")
     settings = SETTINGS.with_(from_date=date(2025, 9, 1), to_date=date(2024, 11, 30))
     for table in ("mat_invoice_revenue", "mat_invoice_pocosts", "mat_job_returns", "fact_invoiceitem"):
         assert write_full(pipeline.build(table, spark, src, mart, settings), f"{root}/empty/{table}") == 0
