@@ -17,7 +17,7 @@ from martloom.plans import dims, facts, measures, metrics, report
 from martloom.settings import MartSettings
 from martloom.sinks.runlog import RunLog
 from martloom.sinks.writers import append, empty, stamp_run, with_audit, write_full, write_period
-from martloom.sources.readers import MartTables, read_mart, read_sources
+from martloom.sources.readers import mart_tables, read_mart, read_sources
 
 # table -> (run-log name, job). Order is a valid dependency order; agreement measures come before the agreement fact.
 _MEASURES = {
@@ -79,7 +79,7 @@ def build_warehouse(
     run.
     """
     src = read_sources(spark, raw_root, external_root)
-    mart = MartTables(spark, mart_root)
+    mart = mart_tables(spark, mart_root)
     log = RunLog(spark, f"{mart_root}/etl_run_log")
     log.seed()
     written: dict[str, int] = {}
@@ -97,12 +97,12 @@ def build_warehouse(
     return written
 
 
-def open_mart(spark: SparkSession, mart_root: str) -> MartTables:
-    return MartTables(spark, mart_root)
+def open_mart(spark: SparkSession, mart_root: str) -> facts.Mart:
+    return mart_tables(spark, mart_root)
 
 
 def check_sources(src: dims.Sources, thresholds: dict[str, int] = schemas.MIN_SOURCE_ROWS) -> DataFrame:
-    """Q1 over all source tables."""
+    """Q1 over all source tables; a table that does not exist has 0 rows."""
     return min_rows(src, thresholds)
 
 

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Callable, Iterable, Iterator, Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from martloom import schemas
 
 _TABLE_PREFIX = "table:"
+_MISSING = ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND")
 
 
 def _scan(spark: SparkSession, root: str, name: str, columns: dict[str, str]) -> DataFrame:
@@ -30,35 +32,46 @@ def read_mart(spark: SparkSession, root: str, name: str) -> DataFrame:
     return _scan(spark, root, name, schemas.MART[name])
 
 
-def read_sources(spark: SparkSession, raw_root: str, external_root: str) -> dict[str, DataFrame]:
-    """All source tables by name; scans are lazy, so unused ones cost nothing."""
-    return {
-        **{name: read_raw(spark, raw_root, name) for name in schemas.RAW},
-        **{name: read_external(spark, external_root, name) for name in schemas.EXTERNAL},
-    }
+class _Tables(Mapping):
+    """Tables by name, opened when first asked for. A table that does not exist is a missing key."""
 
-
-class MartTables(Mapping):
-    """The tables of a mart by name, opened when first asked for."""
-
-    def __init__(self, spark: SparkSession, root: str) -> None:
-        self.spark = spark
-        self.root = root
+    def __init__(self, names: Iterable[str], scan: Callable[[str], DataFrame]) -> None:
+        self._names = tuple(names)
+        self._scan = scan
         self._open: dict[str, DataFrame] = {}
 
-    def __getitem__(self, table: str) -> DataFrame:
-        if table not in schemas.MART:
-            raise KeyError(table)
-        if table not in self._open:
-            self._open[table] = read_mart(self.spark, self.root, table)
-        return self._open[table]
-
-    def written(self, table: str) -> None:
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._names:
+            raise KeyError(name)
+        if name not in self._open:
+            try:
+                self._open[name] = self._scan(name)
+            except AnalysisException as error:
+                if error.getCondition() in _MISSING:
+                    raise KeyError(f"no table {name}") from error
+                raise
+        return self._open[name]
+
+    def written(self, name: str) -> None:
         """Forget an opened table whose files have been replaced."""
-        self._open.pop(table, None)
+        self._open.pop(name, None)
 
     def __iter__(self) -> Iterator[str]:
-        return iter(schemas.MART)
+        return iter(self._names)
 
     def __len__(self) -> int:
-        return len(schemas.MART)
+        return len(self._names)
+
+
+def read_sources(spark: SparkSession, raw_root: str, external_root: str) -> _Tables:
+    """All source tables."""
+
+    def scan(name: str) -> DataFrame:
+        return read_raw(spark, raw_root, name) if name in schemas.RAW else read_external(spark, external_root, name)
+
+    return _Tables((*schemas.RAW, *schemas.EXTERNAL), scan)
+
+
+def mart_tables(spark: SparkSession, root: str) -> _Tables:
+    """All tables of a mart."""
+    return _Tables(schemas.MART, lambda name: read_mart(spark, root, name))

@@ -36,7 +36,7 @@ def total(df, expression):
     return df.agg(F.expr(expression)).first()[0]
 
 
-def test_sources(run):
+def test_sources(spark, run):
     src = run[3]
     counts = {r.table: r.actual for r in pipeline.check_sources(src).collect()}
     assert 800 < counts["invoiceitem"] <= 900 and counts["job"] == 200 and counts["customfield"] == 160 + 50
@@ -45,6 +45,10 @@ def test_sources(run):
     assert src["customer"].filter("active = 0").count() == 3
     assert src["invoice"].filter("adjustmentto_id IS NOT NULL").count() == 16
     assert src["generalledger.journalentry"].filter("postdate > '2024-12-31'").count() == 0
+    with pytest.raises(KeyError):
+        read_sources(spark, f"{run[0]}/nowhere", f"{run[0]}/ext")["job"]
+    elsewhere = pipeline.check_sources(read_sources(spark, f"{run[0]}/nowhere", f"{run[0]}/ext"), {"job": 1, "report.dim_employee": 1})
+    assert {r.table: r.ok for r in elsewhere.collect()} == {"job": False, "report.dim_employee": True}
     orphan = src["inventorybill"].join(
         src["purchaseorder"].select(F.col("id").alias("purchaseorder_id")), "purchaseorder_id", "left_anti"
     )
