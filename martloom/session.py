@@ -28,6 +28,10 @@ def recommended(builder: SparkSession.Builder, **overrides: str) -> SparkSession
     return builder
 
 
+# Temporary folders of local sessions, by application.
+_LOCAL_DIRS: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors see: ``spark.checkpoint.dir``; a temporary folder only where that is unset (tests)."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
@@ -35,9 +39,10 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    created = tempfile.mkdtemp(prefix="martloom-")
-    spark.conf.set("spark.checkpoint.dir", created)
-    return created
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL_DIRS:
+        _LOCAL_DIRS[application] = tempfile.mkdtemp(prefix="martloom-")
+    return _LOCAL_DIRS[application]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
