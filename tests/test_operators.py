@@ -15,12 +15,14 @@ from martloom.functions.money import is_income, tiered_commission
 from martloom.functions.text import agreement_link, field_label, try_decimal
 from martloom.operators import quality
 from martloom.operators.compare import compare_metrics, diff_rows
+from martloom.operators.keys import clustered, unique_key
 from martloom.operators.latest import latest_per_key, position_in_group
 from martloom.operators.listagg import Listed, listagg_distinct
 from martloom.operators.star import Lookup, star_lookup
 from martloom.plans import metrics, report
 from martloom.sinks import writers
 from martloom.sinks.runlog import PROCESSES, RunLog, etl_status, run_state
+from martloom.sources.readers import read_sources
 from martloom.streaming.refresh import changed_since, refresh_from_stream, upsert
 
 
@@ -280,3 +282,26 @@ def test_employee_sides_meet_by_id_only(spark):
     assert sorted(got, key=lambda r: (r[0] or 0, r[1], r[2])) == [
         (None, 0.0, 0.0, 0.0), (None, 0.0, 1.0, 1.0), (10, 210.0, 0.0, 210.0), (20, 30.0, 10.0, 40.0), (30, 0.0, 10.0, 10.0),
     ]
+
+
+def test_sources_from_a_catalog(spark, tables):
+    src = tables(job=[{"id": 1, "customer_id": 2}], report__dim_employee=[{"employee_id": 5, "user_id": 6}])
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS martloom_raw LOCATION '{folder()}'")
+    src["job"].select("active", "id", "_tenant_id", "customer_id").write.mode("overwrite").saveAsTable("martloom_raw.job")
+    src["report.dim_employee"].write.mode("overwrite").saveAsTable("martloom_raw.report_dim_employee")
+    opened = read_sources(spark, "table:martloom_raw", "table:martloom_raw")
+    assert rows(opened["job"], "id", "customer_id", "summary", "active") == [(1, 2, None, 1)]
+    assert rows(opened["report.dim_employee"], "employee_id", "user_id") == [(5, 6)]
+    with pytest.raises(KeyError):
+        opened["invoice"]
+
+
+def test_facts_laid_out_by_date_can_skip_files(spark):
+    days = spark.range(4000).selectExpr("id AS InvoiceId", "date_add(DATE'2024-01-01', CAST(id % 100 AS INT)) AS PostedDate")
+    path = folder() + "/t"
+    writers.write_full(unique_key(clustered(days.repartition(4), ["PostedDate", "InvoiceId"]), "k"), path)
+    files = spark.read.parquet(path).groupBy(F.input_file_name().alias("f")).agg(
+        F.min("PostedDate").alias("first"), F.max("PostedDate").alias("last")
+    ).orderBy("first").collect()
+    assert all(a.last <= b.first for a, b in zip(files, files[1:]))
+    assert spark.read.parquet(path).select("k").distinct().count() == 4000
