@@ -19,23 +19,30 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], newest: Sequence[str]) ->
     return df.groupBy(*keys).agg(best).select(*keys, "_best.*").select(*df.columns)
 
 
+# Ids per piece of a day; bounds the rows that are sorted together.
+_TIE_RANGE = 1 << 20
+
+
 def position_in_group(df: DataFrame, group: Sequence[str], day: str, tie: str, name: str) -> DataFrame:
-    """1-based position of each row in its group by (``day`` ascending with NULL last, ``tie``).
+    """1-based position of each row in its group by (``day`` ascending with NULL last, ``tie``), a unique number.
 
-    Rows are numbered inside (group, day) and shifted by the group's row count of earlier days, so a group is spread
-    over its days instead of being sorted in one task. The count table has at most one row per group and day. The key
-    is a struct because structs compare NULL fields as equal: rows with a NULL group form one group, as in a window.
+    Rows are numbered inside (group, day, range of ``tie``) and shifted by the group's row count of earlier pieces, so
+    neither a huge group nor a huge day of a group is sorted in one task: a piece has at most as many rows as its range
+    has numbers. The count table has one row per piece. The key is a struct because structs compare NULL fields as
+    equal: rows with a NULL group form one group, as in a window.
     """
-    spot = F.struct(*group, day)
-    per_day = df.groupBy(*group, day).agg(F.count(F.lit(1)).alias("_rows"))
+    df = df.withColumn("_range", F.floor(F.col(tie) / F.lit(_TIE_RANGE)))
+    spot = F.struct(*group, day, "_range")
+    per_spot = df.groupBy(*group, day, "_range").agg(F.count(F.lit(1)).alias("_rows"))
     earlier = (
-        Window.partitionBy(*group).orderBy(F.col(day).asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy(*group).orderBy(F.col(day).asc_nulls_last(), F.col("_range"))
+        .rowsBetween(Window.unboundedPreceding, -1)
     )
-    shift = per_day.select(spot.alias("_spot"), F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_shift"))
-    within = Window.partitionBy("_spot").orderBy(F.col(tie).asc_nulls_last())
+    shift = per_spot.select(spot.alias("_spot"), F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_shift"))
+    within = Window.partitionBy("_spot").orderBy(F.col(tie))
     return (
         df.withColumn("_spot", spot)
         .join(shift, "_spot")
         .withColumn(name, (F.row_number().over(within) + F.col("_shift")).cast("int"))
-        .drop("_spot", "_shift")
+        .drop("_spot", "_shift", "_range")
     )

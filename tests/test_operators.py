@@ -88,7 +88,9 @@ def test_latest_per_key(spark):
         ]
 
 
-def test_position_in_a_group_that_holds_most_rows(spark):
+@pytest.mark.parametrize("tie_range", [1 << 20, 500])
+def test_position_in_a_group_that_holds_most_rows(spark, monkeypatch, tie_range):
+    monkeypatch.setattr("martloom.operators.latest._TIE_RANGE", tie_range)
     hot = spark.range(6000).selectExpr("CASE WHEN id % 10 < 9 THEN NULL ELSE id % 100 END AS g", "id", "date_add(DATE'2024-01-01', CAST((id * 37) % 60 AS INT)) AS day")
     expected = hot.selectExpr("id", "row_number() OVER (PARTITION BY g ORDER BY day, id) AS p")
     got = position_in_group(hot.repartition(5), ["g"], "day", "id", "p").select("id", "p")
