@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import decontaminate
+from martloom.llm import decontaminate, minhash
 from martloom.llm.common import table
 
 
@@ -18,4 +18,9 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest_columns(found)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op2_decontaminate": op2_decontaminate}
+def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    classes = minhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return classes.select(F.col("id").alias("doc_id"), "class_id")
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op2_decontaminate": op2_decontaminate, "op8_minhash": op8_minhash}
