@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import decontaminate, minhash
+from martloom.llm import decontaminate, minhash, quality_rules, toxicity
 from martloom.llm.common import table
 
 
@@ -18,9 +18,25 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest_columns(found)
 
 
+def op4_distribution_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_rules.judge(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    return judged.select(F.col("row.doc_id").alias("doc_id"), *counts, "base_failed", "kept")
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.digest_columns(toxicity.score(docs, table(spark, sf_dir, "labels")))
+
+
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     classes = minhash.near_duplicates(table(spark, sf_dir, "documents"))
     return classes.select(F.col("id").alias("doc_id"), "class_id")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op2_decontaminate": op2_decontaminate, "op8_minhash": op8_minhash}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_decontaminate": op2_decontaminate,
+    "op4_distribution_rules": op4_distribution_rules,
+    "op7_toxicity": op7_toxicity,
+    "op8_minhash": op8_minhash,
+}
