@@ -6,11 +6,11 @@
    A component keeps the first point. Two texts agree in a component with the probability of their weighted Jaccard
    similarity, without bias. Points are drawn lazily: only those that can still be first.
 2. Exact copies collapse by digest, with map-side pre-aggregation.
-3. Bands of the signature are buckets. In each bucket one text is the hub, and only (hub, text) pairs are verified by the
-   overlap of the whole multisets; no bucket is expanded into pairs and none is capped. Hubs differ between bands.
-4. Verified links are joined into components. Buckets that still hold several components go to an exact step: their texts
-   outside the bucket's main component are compared with the texts of other components - by signature inside the join,
-   then by multisets.
+3. Bands of the signature are buckets, and the least text of a bucket (by hash) is its hub. Each text is first verified
+   against one of its hubs, by the overlap of the whole multisets; verified links are joined into components. Then it is
+   verified against those of its hubs that are still in another component. No bucket is expanded into pairs, none is capped.
+4. Buckets that still hold several components go to an exact step: their texts outside the bucket's main component are
+   compared with the texts of other components - by signature inside the join, then by multisets.
 """
 
 from __future__ import annotations
@@ -244,16 +244,20 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
         .where(F.col("a") != F.col("b")).select("key")
     )
     buckets = stored(buckets.join(shared, "key"), "buckets")
-    rank = F.xxhash64("key", "digest")
-    hubs = buckets.groupBy("key").agg(F.min(F.struct(rank.alias("r"), "digest")).alias("hub"))
-    pairs = buckets.join(hubs.select("key", F.col("hub.digest").alias("hub")), "key").where(F.col("hub") != F.col("digest"))
-    pairs = stored(pairs.select(F.least("hub", "digest").alias("u"), F.greatest("hub", "digest").alias("v")).distinct(), "pairs")
+    hubs = buckets.groupBy("key").agg(F.min(F.struct(F.xxhash64("digest").alias("r"), "digest")).alias("hub"))
+    stars = stored(buckets.join(hubs, "key").where(F.col("hub.digest") != F.col("digest")), "stars")
+    # First each text meets one hub: the least of all its buckets' hubs.
+    pairs = _ordered(stars.groupBy("digest").agg(F.min("hub").alias("hub")).select("digest", F.col("hub.digest").alias("hub")))
+    pairs = stored(pairs, "pairs")
     links = stored(_links(pairs, docs, texts, least), "links")
     parts = components(links)
-    more = _cross_pairs(buckets, parts, rows, pairs)
-    if not more.isEmpty():
-        links = links.union(stored(_links(more, docs, texts, least), "links"))
-        parts = components(links)
+    # Then the hubs that are still in another component, and last what the buckets hold beyond their hubs.
+    for step in (_other_hubs, _cross_pairs):
+        more = stored(step(stars if step is _other_hubs else buckets, parts, rows).join(pairs, ["u", "v"], "left_anti"), "pairs")
+        if not more.isEmpty():
+            pairs = pairs.union(more)
+            links = links.union(stored(_links(more, docs, texts, least), "links"))
+            parts = components(links)
     named = texts.join(parts, texts["digest"] == parts["node"], "left")
     named = named.select("digest", "id", F.coalesce("component", "digest").alias("component"))
     least_id = named.groupBy("component").agg(F.min("id").alias("class_id"))
@@ -262,8 +266,21 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     return out.select("id", "digest", F.when(F.col("digest").isNull(), F.col("id")).otherwise(F.col("class_id")).alias("class_id"))
 
 
-def _cross_pairs(buckets: DataFrame, parts: DataFrame, rows: DataFrame, tested: DataFrame) -> DataFrame:
-    """Untested pairs of one bucket and different components whose signatures agree enough.
+def _ordered(pairs: DataFrame) -> DataFrame:
+    """Distinct (u, v) with u < v of pairs (digest, hub)."""
+    return pairs.select(F.least("hub", "digest").alias("u"), F.greatest("hub", "digest").alias("v")).distinct()
+
+
+def _other_hubs(stars: DataFrame, parts: DataFrame, rows: DataFrame) -> DataFrame:
+    """Pairs of a text and a bucket's hub that are in different components."""
+    pairs = _ordered(stars.select("digest", F.col("hub.digest").alias("hub")))
+    for end, part in (("u", "pu"), ("v", "pv")):
+        pairs = pairs.join(parts.select(F.col("node").alias(end), F.col("component").alias(part)), end, "left")
+    return pairs.where(F.coalesce("pu", "u") != F.coalesce("pv", "v")).select("u", "v")
+
+
+def _cross_pairs(buckets: DataFrame, parts: DataFrame, rows: DataFrame) -> DataFrame:
+    """Pairs of one bucket and different components whose signatures agree enough.
 
     Of each bucket, the component with most texts is the main one; a pair needs at least one text outside it.
     """
@@ -284,8 +301,7 @@ def _cross_pairs(buckets: DataFrame, parts: DataFrame, rows: DataFrame, tested:
     pairs = left.join(
         right, (left["key"] == right["key"]) & (F.col("p1") != F.col("p2")) & once & (_agreement("s1", "s2") >= LEAST_AGREEMENT)
     )
-    pairs = pairs.select(F.least("d1", "d2").alias("u"), F.greatest("d1", "d2").alias("v")).distinct()
-    return stored(pairs.join(tested, ["u", "v"], "left_anti"), "cross")
+    return _ordered(pairs.select(F.col("d1").alias("digest"), F.col("d2").alias("hub")))
 
 
 def _digest_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

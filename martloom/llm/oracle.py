@@ -30,4 +30,37 @@ ORACLE: dict[str, str] = {
                coalesce(n_items, 0) AS n_items, coalesce(items_sha256, sha256('')) AS items_sha256,
                coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
         FROM texts LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)""",
+    "op3_mix_sources": """
+        WITH sizes AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
+        sums AS (SELECT sum(n) AS total, sum(pow(CAST(n AS DOUBLE), 0.5)) AS weight FROM sizes),
+        rates AS (SELECT source, pow(CAST(n AS DOUBLE), 0.5) / weight * total / n AS rate FROM sizes, sums),
+        drawn AS (
+            SELECT doc_id, source, rate,
+                   CAST('0x' || substr(md5('mix:' || doc_id || ':1'), 1, 13) AS BIGINT) / 4503599627370496.0 AS u
+            FROM documents JOIN rates USING (source)
+        ), steps AS (
+            SELECT source, k, sum(exp(k * ln(rate) - rate - lgamma(k + 1))) OVER (PARTITION BY source ORDER BY k) AS p
+            FROM rates, generate_series(0, 199) AS t(k)
+        ), counted AS (
+            SELECT doc_id, drawn.source, count(*) AS n_copies
+            FROM drawn JOIN steps ON steps.source = drawn.source AND p <= u GROUP BY doc_id, drawn.source
+        )
+        SELECT doc_id, source, CAST(n_copies AS INTEGER) AS n_copies, CAST(i AS INTEGER) AS copy_no,
+               md5('mix order:' || doc_id || ':' || i) AS shuffle_key
+        FROM counted, unnest(generate_series(1, n_copies)) AS t(i)""",
+    "op10_line_dedup": f"""
+        WITH lines AS (
+            SELECT doc_id, generate_subscripts(parts, 1) AS pos, unnest(parts) AS line
+            FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents)
+        ), keyed AS (
+            SELECT *, translate(trim(line, concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13))), '{_UPPER}', '{_LOWER}') AS key
+            FROM lines
+        ), repeated AS (
+            SELECT key, max(doc_id) AS last FROM keyed WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3
+        ), judged AS (
+            SELECT doc_id, pos, line, last IS NOT NULL AND last <> doc_id AS lost FROM keyed LEFT JOIN repeated USING (key)
+        )
+        SELECT doc_id, count(*) AS n_lines, count(*) FILTER (lost) AS n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT lost), '')) AS kept_sha256
+        FROM judged GROUP BY doc_id""",
 }

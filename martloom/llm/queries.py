@@ -7,10 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import decontaminate, minhash, quality_rules, toxicity
+from martloom.llm import decontaminate, line_dedup, minhash, mixing, quality_rules, token_counts, token_output, toxicity
 from martloom.llm.common import table
 
 
+def tokenizer_path() -> str:
+    """The public vocabulary file that the token queries use; the operators take any path."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     # The text itself is not part of the digest, so it is not carried through as a column of the row.
@@ -18,6 +25,12 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest_columns(found)
 
 
+def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source")
+    mixed = mixing.replicate(docs, mixing.temperature_rates(docs))
+    return mixed.select("row.doc_id", "row.source", "n_copies", "copy_no", "shuffle_key")
+
+
 def op4_distribution_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.judge(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
     counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -34,9 +47,27 @@ def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes.select(F.col("id").alias("doc_id"), "class_id")
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = token_counts.count_tokens(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path())
+    return counted.select(F.col("row.doc_id").alias("doc_id"), "n_bytes", "n_tokens", "over_limit")
+
+
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_output.encode_and_read(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.digest_columns(line_dedup.apply_bitmaps(docs, line_dedup.keep_bitmaps(docs)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontaminate": op2_decontaminate,
+    "op3_mix_sources": op3_mix_sources,
     "op4_distribution_rules": op4_distribution_rules,
+    "op6_token_counts": op6_token_counts,
     "op7_toxicity": op7_toxicity,
     "op8_minhash": op8_minhash,
+    "op9_token_files": op9_token_files,
+    "op10_line_dedup": op10_line_dedup,
 }
