@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import decontaminate, line_dedup, minhash, mixing, quality_rules, token_counts, token_output, toxicity
+from martloom.llm import decontaminate, line_dedup, minhash, mixing, pii, quality_rules, token_counts, token_output, toxicity
 from martloom.llm.common import table
 
 
@@ -18,6 +18,10 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_contextual_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest_columns(pii.extract(table(spark, sf_dir, "documents")))
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     # The text itself is not part of the digest, so it is not carried through as a column of the row.
@@ -62,6 +66,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_contextual_pii": op1_contextual_pii,
     "op2_decontaminate": op2_decontaminate,
     "op3_mix_sources": op3_mix_sources,
     "op4_distribution_rules": op4_distribution_rules,
