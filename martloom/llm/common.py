@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from martloom.session import scratch_path
 
 # A task looks at so many bytes of text at a time; one longer text is a block of its own.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+# Bytes that Spark hands to a Python worker at a time, so that neither side holds a large batch of long texts.
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
+_UNSET = "67108864b"
+
+
+def map_batches(df: DataFrame, function, schema: str) -> DataFrame:
+    """``mapInArrow`` with batches of bounded size; a size that the session sets itself stays."""
+    conf = df.sparkSession.conf
+    if conf.get(BATCH_SETTING, _UNSET) == _UNSET:
+        conf.set(BATCH_SETTING, str(BATCH_BYTES))
+    return df.mapInArrow(function, schema)
+
+
 def text_blocks(batch: pa.RecordBatch, column: str, limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
     """The batch in slices of up to ``limit`` bytes of text, at least one row each."""
     if batch.num_rows == 0:

@@ -20,7 +20,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martloom.llm.common import Words, mix, scan_words, text_blocks
+from martloom.llm.common import Words, map_batches, mix, scan_words, text_blocks
 
 WINDOW = 13
 # Hit share from which a document is contaminated: 1 word in 20.
@@ -215,7 +215,7 @@ def find_overlaps(
         after = next(parts, None)
         tables = sc.broadcast(benchmark_windows(part, window))
         columns = "text string" if after is not None else "n_words bigint, n_hit bigint, item_ids array<string>"
-        df = df.mapInArrow(_search_part(tables, after is None), f"row {row}, {columns}, hits {_HITS_DDL}")
+        df = map_batches(df, _search_part(tables, after is None), f"row {row}, {columns}, hits {_HITS_DDL}")
         part = after
     return df.withColumn("contaminated", (F.col("n_hit") > 0) & (SHARE * F.col("n_hit") >= F.col("n_words")))
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martloom.llm.common import ALNUM, DARK, Words, mix, runs_of_words, scan_words, stored, text_blocks, text_bytes
+from martloom.llm.common import ALNUM, DARK, Words, map_batches, mix, runs_of_words, scan_words, stored, text_blocks, text_bytes
 
 SLOTS = 1 << 13
 COMMON = 0.002
@@ -140,7 +140,7 @@ def references(docs: DataFrame) -> dict:
     ``docs`` has columns text and lang. The driver receives at most LANGUAGES times 1 / COMMON bins.
     """
     counts = stored(
-        docs.mapInArrow(_count_histograms, "lang string, bin bigint, n bigint").groupBy("lang", "bin").agg(F.sum("n").alias("n")),
+        map_batches(docs, _count_histograms, "lang string, bin bigint, n bigint").groupBy("lang", "bin").agg(F.sum("n").alias("n")),
         "histograms",
     )
     words = F.sum(F.when(F.col("bin") >= 0, F.col("n")).otherwise(0)).alias("words")
@@ -241,6 +241,6 @@ def judge(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
     kind = row.schema["row"].dataType.simpleString()
     counts = ", ".join(f"{c} bigint" for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"))
     given = docs.select(F.struct("*").alias("row"), F.col(text).alias("text"), F.col(lang).alias("lang"))
-    return given.mapInArrow(
+    return map_batches(given, 
         _judge(refs), f"row {kind}, {counts}, class_distance double, word_distance double, base_failed boolean, kept boolean"
     )

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martloom.llm.common import text_blocks
+from martloom.llm.common import map_batches, text_blocks
 from martloom.llm.pretokens import Pieces, block_pieces
 
 LIMIT = 2048
@@ -56,5 +56,5 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, text: str = "text", limit
         F.struct(F.struct("*").alias("row"), F.octet_length(F.coalesce(F.col(text), F.lit(""))).cast("bigint").alias("n_bytes")).alias("row"),
         F.coalesce(F.col(text), F.lit("")).alias("text"),
     )
-    counted = given.mapInArrow(_count(tokenizer), f"row struct<row: {kind}, n_bytes: bigint>, n_tokens bigint")
+    counted = map_batches(given, _count(tokenizer), f"row struct<row: {kind}, n_bytes: bigint>, n_tokens bigint")
     return counted.select("row.row", "row.n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))

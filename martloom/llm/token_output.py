@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from martloom.llm.common import text_blocks
+from martloom.llm.common import map_batches, text_blocks
 from martloom.llm.pretokens import Pieces, block_pieces
 from martloom.session import scratch_path
 
@@ -354,7 +354,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, text: str = "t
     # The second key splits an id that very many rows share.
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text"), F.col("text")]
     dealt = rows.repartitionByRange(*order[:2]).sortWithinPartitions(*order)
-    dealt.mapInArrow(_write(tokenizer, end_id), "shard bigint, segment bigint, n_ids bigint, data binary").write.parquet(path)
+    map_batches(dealt, _write(tokenizer, end_id), "shard bigint, segment bigint, n_ids bigint, data binary").write.parquet(path)
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -384,7 +384,7 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
     inner = F.sum("n_ids").over(Window.partitionBy("shard").orderBy("segment").rowsBetween(Window.unboundedPreceding, -1))
     starts = files.select("shard", "segment", F.coalesce(inner, F.lit(0)).alias("before")).join(F.broadcast(starts), "shard")
     starts = starts.select("shard", "segment", (F.col("before") + F.col("shard_start")).alias("base"))
-    found = files.select("shard", "segment", "data").mapInArrow(
+    found = map_batches(files.select("shard", "segment", "data"), 
         _read, "shard bigint, segment bigint, doc_id bigint, inner bigint, n_tokens bigint, ids_crc32 bigint"
     )
     found = found.join(starts, ["shard", "segment"])

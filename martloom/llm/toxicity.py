@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martloom.llm.common import mix, stored, text_blocks
+from martloom.llm.common import map_batches, mix, stored, text_blocks
 
 ORDERS = (4, 6, 8)
 FEATURES = 1 << 18
@@ -119,7 +119,7 @@ def fit(sample: DataFrame, share: float) -> Model:
     """Without texts of both classes the score is the share of toxic labels."""
     spark = sample.sparkSession
     sample = sample.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "toxic")
-    counts = sample.mapInArrow(_count, "slot bigint, clean bigint, toxic bigint").groupBy("slot").agg(
+    counts = map_batches(sample, _count, "slot bigint, clean bigint, toxic bigint").groupBy("slot").agg(
         F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")
     ).toPandas()  # at most FEATURES rows
     slot = counts["slot"].to_numpy()
@@ -138,7 +138,7 @@ def fit(sample: DataFrame, share: float) -> Model:
     place = np.full(FEATURES, -1, np.int32)
     place[picked] = np.arange(len(picked))
     shared = spark.sparkContext.broadcast(place)
-    rows = sample.mapInArrow(_rows(shared), "doc_id bigint, toxic int, slots binary").collect()  # at most 2 * PER_CLASS
+    rows = map_batches(sample, _rows(shared), "doc_id bigint, toxic int, slots binary").collect()  # at most 2 * PER_CLASS
     rows.sort(key=lambda r: (r["doc_id"], r["toxic"], r["slots"]))
     at = [np.frombuffer(r["slots"], np.uint16) for r in rows]
     label = np.array([r["toxic"] for r in rows], float)
@@ -187,7 +187,7 @@ def score(docs: DataFrame, labels: DataFrame, text: str = "text", id_column: str
     row = docs.select(F.struct("*").alias("row"))
     kind = row.schema["row"].dataType.simpleString()
     given = docs.select(F.struct("*").alias("row"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    return given.mapInArrow(_score(model), f"row {kind}, score double")
+    return map_batches(given, _score(model), f"row {kind}, score double")
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
