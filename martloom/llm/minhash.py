@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martloom.llm.common import mix, runs_of_words, scan_words, stored, text_blocks
+from martloom.llm.common import map_batches, mix, runs_of_words, scan_words, stored, text_blocks
 from martloom.llm.graph import components
 
 RUN = 5
@@ -147,7 +147,7 @@ def _binary_digest(one: np.ndarray, two: np.ndarray) -> pa.Array:
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for block in text_blocks(batch, "text", 2 << 20):
+        for block in text_blocks(batch, "text"):
             column = block.column("text")
             value, weight, row, one, two = multisets(column)
             sketch = signatures(value, weight, row, len(column))
@@ -209,12 +209,12 @@ def _links(pairs: DataFrame, docs: DataFrame, texts: DataFrame, least: float) ->
     ends = pairs.select(F.col("u").alias("digest")).union(pairs.select(F.col("v").alias("digest"))).distinct()
     wanted = texts.join(ends, "digest", "left_semi").select("id").distinct()
     runs = docs.join(wanted, docs["id"].eqNullSafe(wanted["id"]), "left_semi").select("text")
-    runs = runs.mapInArrow(_runs, "digest binary, runs binary")
+    runs = map_batches(runs, _runs, "digest binary, runs binary")
     runs = stored(runs.join(ends, "digest", "left_semi").dropDuplicates(["digest"]), "runs")
     joined = pairs.join(runs.select(F.col("digest").alias("u"), F.col("runs").alias("ru")), "u").join(
         runs.select(F.col("digest").alias("v"), F.col("runs").alias("rv")), "v"
     )
-    return joined.select("u", "v", "ru", "rv").mapInArrow(_verify(least), "u binary, v binary")
+    return map_batches(joined.select("u", "v", "ru", "rv"), _verify(least), "u binary, v binary")
 
 
 def _agreement(a: str, b: str):
@@ -234,7 +234,7 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     equal. A NULL text is alone in its class. Repeated rows share a class; an empty table gives an empty result.
     """
     docs = docs.select(F.col(id_column).alias("id"), F.col(text).alias("text"))
-    rows = stored(docs.mapInArrow(_sketch, "id bigint, digest binary, bands array<bigint>, sketch array<bigint>"), "sketch")
+    rows = stored(map_batches(docs, _sketch, "id bigint, digest binary, bands array<bigint>, sketch array<bigint>"), "sketch")
     copies = rows.where(F.col("digest").isNotNull())
     texts = copies.groupBy("digest").agg(F.min("id").alias("id"))
     buckets = copies.dropDuplicates(["digest"]).select("digest", F.explode("bands").alias("key"))
@@ -328,7 +328,7 @@ def keep_one(docs: DataFrame, id_column: str = "doc_id", text: str = "text", lea
     several = docs.join(repeated, docs[id_column].eqNullSafe(repeated["id"]), "left_semi")
     kind = several.select(F.struct("*").alias("row")).schema["row"].dataType.simpleString()
     several = several.select(F.struct("*").alias("row"), F.col(text).alias("text"))
-    several = several.mapInArrow(_digest_rows, f"row {kind}, digest binary").withColumn("id", F.col(f"row.{id_column}"))
+    several = map_batches(several, _digest_rows, f"row {kind}, digest binary").withColumn("id", F.col(f"row.{id_column}"))
     wanted = repeated.select(F.col("id").alias("rid"), F.col("digest").alias("rdigest"))
     chosen = several.join(
         wanted, several["id"].eqNullSafe(wanted["rid"]) & several["digest"].eqNullSafe(wanted["rdigest"]), "left_semi"
