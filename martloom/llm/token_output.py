@@ -157,7 +157,8 @@ class _Model:
         sizes = [min(16**k, _DIGIT_SLOTS) for k in range(digits)]
         self.base = np.concatenate([[0], np.cumsum(sizes)])
         self.rows = int(self.base[-1])
-        self.digit = np.tile(((np.arange(16) + 1) * (_ONE // 16)).astype(np.int16), (lanes * self.rows, 1))
+        # One item of 32 bytes per row: reading and writing whole items is faster than rows of a matrix.
+        self.digit = np.tile(((np.arange(16) + 1) * (_ONE // 16)).astype(np.int16), lanes * self.rows).view("V32")
         self.last, self.last2 = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
         self.every = np.arange(lanes)
 
@@ -198,22 +199,20 @@ class _Model:
 
     def _digits(self, lane: np.ndarray, ids: np.ndarray | None, coder) -> np.ndarray:
         done = np.zeros(len(lane), np.int64)
-        bounds = np.zeros((len(lane), 17), np.int16)
-        flat = bounds.reshape(-1)
-        place = np.arange(len(lane)) * 17
+        place = self.every[: len(lane)] * 16
         state = coder.lanes(lane)
         rows = lane * self.rows
         for k in range(self.digits):
             row = rows + (self.base[k] + (done if 16**k <= _DIGIT_SLOTS else (done * 0x9E3779B1 >> 12) & (_DIGIT_SLOTS - 1)))
-            chances = self.digit[row]
+            chances = self.digit[row].view(np.int16).reshape(-1, 16)
             if ids is None:
                 symbol = _count_true(chances <= coder.target(state)[:, None])
             else:
                 symbol = (ids >> np.uint32(4 * (self.digits - 1 - k))).astype(np.int64) & 15
-            bounds[:, 1:] = chances
-            at = place + symbol
-            state = (coder.take if ids is None else coder.code)(state, flat[at].astype(np.int64), flat[at + 1].astype(np.int64))
-            self.digit[row] = chances + ((_TARGET[symbol] - chances) >> _RATE)
+            flat, at = chances.reshape(-1), place + symbol
+            start = flat[at - 1].astype(np.int64) * (symbol > 0)
+            state = (coder.take if ids is None else coder.code)(state, start, flat[at].astype(np.int64))
+            self.digit[row] = (chances + ((_TARGET[symbol] - chances) >> _RATE)).reshape(-1).view("V32")
             done = done * 16 + symbol
         coder.store(state)
         return done
