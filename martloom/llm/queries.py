@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import decontaminate, line_dedup, minhash, mixing, pii, quality_rules, token_counts, token_output, toxicity
+from martloom.llm import decontaminate, line_dedup, minhash, mixing, pii, quality_rules, secret_scan, token_counts, token_output, toxicity
 from martloom.llm.common import table
 
 
@@ -51,6 +51,10 @@ def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes.select(F.col("id").alias("doc_id"), "class_id")
 
 
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digest_columns(secret_scan.find_secrets(table(spark, sf_dir, "documents"), keep=("doc_id",)))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = token_counts.count_tokens(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path())
     return counted.select(F.col("row.doc_id").alias("doc_id"), "n_bytes", "n_tokens", "over_limit")
@@ -70,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontaminate": op2_decontaminate,
     "op3_mix_sources": op3_mix_sources,
     "op4_distribution_rules": op4_distribution_rules,
+    "op5_secret_scan": op5_secret_scan,
     "op6_token_counts": op6_token_counts,
     "op7_toxicity": op7_toxicity,
     "op8_minhash": op8_minhash,
