@@ -157,13 +157,11 @@ def runs_of_words(hashes: np.ndarray, row: np.ndarray, k: int) -> tuple[np.ndarr
     return mix(total[at]), at
 
 
-def fresh_name(df: DataFrame, name: str) -> str:
-    """A column name that the frame does not have yet."""
-    taken = {c.lower() for c in df.columns}
-    while name.lower() in taken:
-        name += "_"
-    return name
-
-
-def empty_as_text(column: str):
-    return F.coalesce(F.col(column), F.lit(""))
+def packed(docs: DataFrame, keep: tuple[str, ...] | None, **columns: str) -> tuple[DataFrame, str]:
+    """The columns ``keep`` (or all) as one struct ``row``, beside the named columns, and the type of ``row``.
+
+    Names of the given columns cannot clash with an operator's own that way.
+    """
+    row = F.struct(*[F.col(f"`{c}`") for c in keep or docs.columns]).alias("row")
+    df = docs.select(row, *[F.col(f"`{given}`").alias(name) for name, given in columns.items()])
+    return df, df.schema["row"].dataType.simpleString()

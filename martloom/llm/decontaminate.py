@@ -20,7 +20,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martloom.llm.common import Words, map_batches, mix, scan_words, text_blocks
+from martloom.llm.common import Words, map_batches, mix, packed, scan_words, text_blocks
 
 WINDOW = 13
 # Hit share from which a document is contaminated: 1 word in 20.
@@ -197,9 +197,9 @@ def _parts(benchmark: DataFrame, item_id: str, text: str, part_bytes: int) -> It
 
 def find_overlaps(
     docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text",
-    window: int = WINDOW, part_bytes: int = 8 << 20,
+    window: int = WINDOW, part_bytes: int = 8 << 20, keep: tuple[str, ...] | None = None,
 ) -> DataFrame:
-    """``row`` (the given row as a struct), ``n_words``, ``n_hit``, ``item_ids`` (sorted strings), ``hits`` (word ranges
+    """``row`` (the columns ``keep``, or all, as a struct), ``n_words``, ``n_hit``, ``item_ids`` (sorted strings), ``hits`` (word ranges
     by item), ``contaminated``.
 
     Words are letters, digits and all beyond ASCII, A-Z lower-cased. A NULL or empty text has no words and is not
@@ -207,8 +207,7 @@ def find_overlaps(
     ``item_ids``; repeated items count once. Repeated documents are judged row by row.
     """
     sc = docs.sparkSession.sparkContext
-    row = docs.select(F.struct("*").alias("row")).schema["row"].dataType.simpleString()
-    df = docs.select(F.struct("*").alias("row"), F.col(text).alias("text"))
+    df, row = packed(docs, keep, text=text)
     parts = _parts(benchmark, item_id, item_text, part_bytes)
     part = next(parts)
     while part is not None:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martloom.llm.common import ALNUM, DARK, Words, map_batches, mix, runs_of_words, scan_words, stored, text_blocks, text_bytes
+from martloom.llm.common import ALNUM, DARK, Words, map_batches, mix, packed, runs_of_words, scan_words, stored, text_blocks, text_bytes
 
 SLOTS = 1 << 13
 COMMON = 0.002
@@ -228,8 +228,8 @@ def _judge(shared):
     return run
 
 
-def judge(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
-    """``row`` (the given row as a struct), the five counts, both distances, ``base_failed`` and ``kept``.
+def judge(docs: DataFrame, text: str = "text", lang: str = "lang", keep: tuple[str, ...] | None = None) -> DataFrame:
+    """``row`` (the columns ``keep``, or all, as a struct), the five counts, both distances, ``base_failed`` and ``kept``.
 
     A NULL text counts as empty: no words, so the base rules fail it. A NULL language is a language of its own. Repeated
     rows are judged alike; an empty table gives an empty result.
@@ -237,10 +237,8 @@ def judge(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
     refs = docs.sparkSession.sparkContext.broadcast(
         references(docs.select(F.col(text).alias("text"), F.col(lang).alias("lang")))
     )
-    row = docs.select(F.struct("*").alias("row"))
-    kind = row.schema["row"].dataType.simpleString()
+    given, kind = packed(docs, keep, text=text, lang=lang)
     counts = ", ".join(f"{c} bigint" for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"))
-    given = docs.select(F.struct("*").alias("row"), F.col(text).alias("text"), F.col(lang).alias("lang"))
-    return map_batches(given, 
-        _judge(refs), f"row {kind}, {counts}, class_distance double, word_distance double, base_failed boolean, kept boolean"
+    return map_batches(
+        given, _judge(refs), f"row {kind}, {counts}, class_distance double, word_distance double, base_failed boolean, kept boolean"
     )

@@ -23,9 +23,8 @@ def op1_contextual_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    # The text itself is not part of the digest, so it is not carried through as a column of the row.
-    found = decontaminate.find_overlaps(docs, table(spark, sf_dir, "benchmark"))
+    docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    found = decontaminate.find_overlaps(docs, benchmark, keep=("doc_id",))
     return decontaminate.digest_columns(found)
 
 
@@ -36,14 +35,14 @@ def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_distribution_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = quality_rules.judge(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    judged = quality_rules.judge(table(spark, sf_dir, "documents"), keep=("doc_id",))
     counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     return judged.select(F.col("row.doc_id").alias("doc_id"), *counts, "base_failed", "kept")
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return toxicity.digest_columns(toxicity.score(docs, table(spark, sf_dir, "labels")))
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return toxicity.digest_columns(toxicity.score(docs, labels, keep=("doc_id",)))
 
 
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,7 +55,7 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counted = token_counts.count_tokens(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path())
+    counted = token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer_path(), keep=("doc_id",))
     return counted.select(F.col("row.doc_id").alias("doc_id"), "n_bytes", "n_tokens", "over_limit")
 
 

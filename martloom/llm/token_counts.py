@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martloom.llm.common import map_batches, text_blocks
+from martloom.llm.common import map_batches, packed, text_blocks
 from martloom.llm.pretokens import Pieces, block_pieces
 
 LIMIT = 2048
@@ -42,19 +42,16 @@ def _count(tokenizer):
     return run
 
 
-def count_tokens(docs: DataFrame, tokenizer_path: str, text: str = "text", limit: int = LIMIT) -> DataFrame:
-    """``row`` (the given row as a struct), ``n_bytes``, ``n_tokens`` and ``over_limit``.
+def count_tokens(docs: DataFrame, tokenizer_path: str, text: str = "text", limit: int = LIMIT, keep: tuple[str, ...] | None = None) -> DataFrame:
+    """``row`` (the columns ``keep``, or all, as a struct), ``n_bytes``, ``n_tokens`` and ``over_limit``.
 
     The count is what the library gives without begin, end or added special tokens; special strings inside a text are
     special tokens. NULL counts as empty: no bytes, no tokens. An empty table gives an empty result.
     """
     with open(tokenizer_path, encoding="utf-8") as file:
         tokenizer = docs.sparkSession.sparkContext.broadcast(file.read())
-    row = docs.select(F.struct("*").alias("row"), F.octet_length(F.coalesce(F.col(text), F.lit(""))).cast("bigint").alias("n_bytes"))
-    kind = row.schema["row"].dataType.simpleString()
-    given = docs.select(
-        F.struct(F.struct("*").alias("row"), F.octet_length(F.coalesce(F.col(text), F.lit(""))).cast("bigint").alias("n_bytes")).alias("row"),
-        F.coalesce(F.col(text), F.lit("")).alias("text"),
-    )
+    given, kind = packed(docs, keep, text=text)
+    whole = F.coalesce("text", F.lit(""))
+    given = given.select(F.struct("row", F.octet_length(whole).cast("bigint").alias("n_bytes")).alias("row"), whole.alias("text"))
     counted = map_batches(given, _count(tokenizer), f"row struct<row: {kind}, n_bytes: bigint>, n_tokens bigint")
     return counted.select("row.row", "row.n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))

@@ -383,8 +383,8 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
     inner = F.sum("n_ids").over(Window.partitionBy("shard").orderBy("segment").rowsBetween(Window.unboundedPreceding, -1))
     starts = files.select("shard", "segment", F.coalesce(inner, F.lit(0)).alias("before")).join(F.broadcast(starts), "shard")
     starts = starts.select("shard", "segment", (F.col("before") + F.col("shard_start")).alias("base"))
-    found = map_batches(files.select("shard", "segment", "data"), 
-        _read, "shard bigint, segment bigint, doc_id bigint, inner bigint, n_tokens bigint, ids_crc32 bigint"
+    found = map_batches(
+        files.select("shard", "segment", "data"), _read, "shard bigint, segment bigint, doc_id bigint, inner bigint, n_tokens bigint, ids_crc32 bigint"
     )
     found = found.join(starts, ["shard", "segment"])
     return found.select("doc_id", (F.col("inner") + F.col("base")).alias("start"), "n_tokens", "ids_crc32")

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martloom.llm.common import map_batches, mix, stored, text_blocks
+from martloom.llm.common import map_batches, mix, packed, stored, text_blocks
 
 ORDERS = (4, 6, 8)
 FEATURES = 1 << 18
@@ -176,17 +176,16 @@ def _score(model):
     return run
 
 
-def score(docs: DataFrame, labels: DataFrame, text: str = "text", id_column: str = "doc_id") -> DataFrame:
-    """``row`` (the given row as a struct) and ``score``, higher where the label 1 is likelier.
+def score(docs: DataFrame, labels: DataFrame, text: str = "text", id_column: str = "doc_id", keep: tuple[str, ...] | None = None) -> DataFrame:
+    """``row`` (the columns ``keep``, or all, as a struct) and ``score``, higher where the label 1 is likelier.
 
     The score depends on the text alone; NULL counts as empty and gets the score of a text without features. Rows without
     id are scored and never used for the fit. Repeated rows get equal scores; an empty table gives an empty result.
     """
     named = docs.select(F.col(id_column).alias("doc_id"), F.col(text).alias("text"))
     model = docs.sparkSession.sparkContext.broadcast(fit(*training_sample(named, labels)))
-    row = docs.select(F.struct("*").alias("row"))
-    kind = row.schema["row"].dataType.simpleString()
-    given = docs.select(F.struct("*").alias("row"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    given, kind = packed(docs, keep, text=text)
+    given = given.select("row", F.coalesce("text", F.lit("")).alias("text"))
     return map_batches(given, _score(model), f"row {kind}, score double")
 
 
