@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martloom.session import scratch_path
@@ -165,3 +165,8 @@ def packed(docs: DataFrame, keep: tuple[str, ...] | None, **columns: str) -> tup
     row = F.struct(*[F.col(f"`{c}`") for c in keep or docs.columns]).alias("row")
     df = docs.select(row, *[F.col(f"`{given}`").alias(name) for name, given in columns.items()])
     return df, df.schema["row"].dataType.simpleString()
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with the value computed once; inside a lambda, an outer expression would be computed for each element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))

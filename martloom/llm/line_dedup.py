@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from martloom.llm.common import stored
+from martloom.llm.common import let, stored
 
 MIN_LENGTH = 20
 MIN_DOCUMENTS = 3
@@ -67,7 +67,8 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_column: str = "doc_id"
     joined = rows.join(bitmaps.drop("n_lines"), ["id", "text_hash"], "left")
     whole = F.coalesce(F.col(f"row.{text}"), F.lit(""))
     lines = F.split(whole, "\n", -1)
-    kept = F.array_join(F.flatten(F.transform("keep", lambda r: F.slice(lines, r["first"] + 1, r["lines"]))), "\n")
+    parts = let(lines, lambda every: F.transform("keep", lambda r: F.slice(every, r["first"] + 1, r["lines"])))
+    kept = F.array_join(F.flatten(parts), "\n")
     return joined.select(
         "row", F.size(lines).cast("bigint").alias("n_lines"), F.coalesce("n_dropped", F.lit(0)).cast("bigint").alias("n_dropped"),
         F.when(F.col("keep").isNull(), whole).otherwise(kept).alias("kept_text"),

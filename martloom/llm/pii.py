@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martloom.llm.common import stored
+from martloom.llm.common import let, stored
 
 KINDS = ("email", "ip", "card", "phone")
 ROUNDS = 3
@@ -39,30 +39,46 @@ _NUMBER_LIKE = r"(?<![\p{L}0-9_])[+(]?[0-9](?:[\x20.()/:-]{0,2}[0-9])++(?![\p{L}
 def _running(sizes: Column) -> Column:
     """Running totals of an array of numbers, in blocks so that the work stays near linear."""
     n = 64
-    blocks = F.transform(F.sequence(F.lit(0), F.size(sizes) - 1, F.lit(n)), lambda b: F.slice(sizes, b + 1, n))
-    add = lambda part: F.aggregate(part, F.lit(0), lambda a, x: a + x)
-    sums = F.transform(blocks, add)
-    return F.flatten(
-        F.transform(
-            blocks, lambda block, i: F.transform(block, lambda _, j: add(F.slice(sums, F.lit(1), i)) + add(F.slice(block, F.lit(1), j + 1)))
+
+    def total(part: Column) -> Column:
+        return F.aggregate(part, F.lit(0), lambda a, x: a + x)
+
+    def in_blocks(blocks: Column) -> Column:
+        before = let(F.transform(blocks, total), lambda sums: F.transform(sums, lambda _, i: total(F.slice(sums, F.lit(1), i))))
+        each = F.zip_with(
+            blocks, before, lambda block, base: F.transform(block, lambda _, j: base + total(F.slice(block, F.lit(1), j + 1)))
         )
-    )
+        return F.flatten(each)
+
+    cut = lambda all_sizes: F.transform(F.sequence(F.lit(0), F.size(all_sizes) - 1, F.lit(n)), lambda b: F.slice(all_sizes, b + 1, n))
+    return let(sizes, lambda all_sizes: let(cut(all_sizes), in_blocks))
 
 
 def _spans(text: Column, pattern: str, maybe: Column) -> Column:
     """All matches as (start, end, value, left, right): code points, and the text next to the match. ``maybe`` is a cheap test."""
     kind = "array<struct<start:int,end:int,value:string,left:string,right:string>>"
-    values, pieces = F.regexp_extract_all(text, F.lit(pattern), 0), F.split(text, pattern, -1)
-    ends = _running(F.transform(values, lambda v, i: F.length(v) + F.length(F.get(pieces, i))))
-    found = F.zip_with(ends, values, lambda e, v: F.struct(e.alias("e"), v.alias("v")))
-    found = F.transform(
-        found,
-        lambda s, i: F.struct(
-            (s["e"] - F.length(s["v"])).alias("start"), s["e"].alias("end"), s["v"].alias("value"),
-            F.right(F.get(pieces, i), F.lit(80)).alias("left"), F.left(F.get(pieces, i + 1), F.lit(80)).alias("right"),
-        ),
+
+    def placed(parts: Column) -> Column:
+        values, pieces = parts["values"], parts["pieces"]
+        sides = F.zip_with(F.slice(pieces, F.lit(1), F.size(values)), F.slice(pieces, F.lit(2), F.size(values)), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+        rows = F.zip_with(values, sides, lambda v, s: F.struct(v.alias("v"), s["a"].alias("a"), s["b"].alias("b")))
+        ends = _running(F.transform(rows, lambda r: F.length(r["v"]) + F.length(r["a"])))
+        return F.zip_with(
+            rows, ends,
+            lambda r, e: F.struct(
+                (e - F.length(r["v"])).alias("start"), e.alias("end"), r["v"].alias("value"),
+                F.right(r["a"], F.lit(80)).alias("left"), F.left(r["b"], F.lit(80)).alias("right"),
+            ),
+        ).cast(kind)
+
+    none = F.array().cast(kind)
+    values = F.when(maybe, F.regexp_extract_all(text, F.lit(pattern), 0)).otherwise(F.array().cast("array<string>"))
+    return let(
+        values,
+        lambda found: F.when(
+            F.size(found) > 0, let(F.struct(found.alias("values"), F.split(text, pattern, -1).alias("pieces")), placed)
+        ).otherwise(none),
     )
-    return F.when(maybe & (F.size(values) > 0), found.cast(kind)).otherwise(F.array().cast(kind))
 
 
 def _digits(value: Column) -> Column:
@@ -71,9 +87,13 @@ def _digits(value: Column) -> Column:
 
 def luhn(digits: Column) -> Column:
     """Whether the check digit of a string of digits holds."""
-    at = lambda i: F.substring(F.reverse(digits), i, F.lit(1)).cast("int")
-    one = lambda i: F.when(i % 2 == 1, at(i)).when(at(i) > 4, at(i) * 2 - 9).otherwise(at(i) * 2)
-    return F.aggregate(F.sequence(F.lit(1), F.length(digits)), F.lit(0), lambda a, i: a + one(i)) % 10 == 0
+
+    def total(backwards: Column) -> Column:
+        at = lambda i: F.substring(backwards, i, F.lit(1)).cast("int")
+        one = lambda i: F.when(i % 2 == 1, at(i)).when(at(i) > 4, at(i) * 2 - 9).otherwise(at(i) * 2)
+        return F.aggregate(F.sequence(F.lit(1), F.length(backwards)), F.lit(0), lambda a, i: a + one(i))
+
+    return let(F.reverse(digits), total) % 10 == 0
 
 
 def _base(text: Column) -> dict[str, Column]:
@@ -91,7 +111,7 @@ def _contexts(span: Column) -> Column:
     """Lexical patterns of a span: two words before it, one before and one after it, and the word before it if that ends in a mark."""
     words = lambda c: F.filter(F.split(F.lower(F.regexp_replace(c, "[0-9]", "0")), r"\s+"), lambda w: w != "")
     before, after = words(span["left"]), words(span["right"])
-    last = lambda n: F.coalesce(F.get(before, F.size(before) - n), F.lit("^"))
+    last = lambda n: F.coalesce(F.element_at(F.concat(F.array(F.lit("^"), F.lit("^")), before), -n), F.lit("^"))
     patterns = F.array(
         F.concat(F.lit("2 "), last(2), F.lit(" "), last(1)),
         F.concat(F.lit("b "), last(1), F.lit(" "), F.coalesce(F.get(after, F.lit(0)), F.lit("$"))),
