@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from array import array
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -19,13 +21,13 @@ from martloom.llm.common import text_bytes
 # The split rule of the file for lower-cased text, over the code points below LATIN and the marks U+2010-2027.
 CONTRACTIONS = ("'s", "'t", "'re", "'ve", "'m", "'ll", "'d")
 WHITE = "\t\n\x0b\x0c\r \x85\xa0"
-LATIN = 0x240
+LATIN = 0x180
 CACHE = 1 << 19
 
 
 def _in_class(kind: str) -> str:
-    # Lower-casing stays below U+0300, apart from a combining dot that is a mark.
-    return "".join(re.escape(chr(c)) for c in range(0x300) if unicodedata.category(chr(c))[0] == kind)
+    # Lower-casing letters below LATIN stays below LATIN, apart from a combining dot that is a mark.
+    return "".join(re.escape(chr(c)) for c in range(LATIN) if unicodedata.category(chr(c))[0] == kind)
 
 
 _L, _N = _in_class("L"), _in_class("N")
@@ -45,25 +47,29 @@ def _byte_alphabet() -> dict[int, str]:
 _BYTES = _byte_alphabet()
 
 
-class Pieces:
-    """Ids of pre-tokens by one tokenizer. The cache of pre-tokens is bounded; it starts anew when it is full."""
+class Pieces(dict):
+    """The number of each pre-token met so far, and the ids of each number. Bounded: between blocks a full one starts anew."""
 
     def __init__(self, tokenizer_json: str) -> None:
+        super().__init__()
         self.library = Tokenizer.from_str(tokenizer_json)
         self.library.no_truncation()
         self.library.no_padding()
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.ids: dict[str, tuple[int, ...]] = {}
-
-    def of(self, pretoken: str) -> tuple[int, ...]:
-        found = self.ids.get(pretoken)
-        if found is None:
-            if len(self.ids) >= CACHE:
-                self.ids.clear()
-            name = "".join([_BYTES[b] for b in pretoken.encode("utf-8")])
-            found = tuple([t.id for t in self.library.model.tokenize(name)])
-            self.ids[pretoken] = found
-        return found
+        self.flat, self.sizes = array("I"), array("I")
+
+    def __missing__(self, pretoken: str) -> int:
+        name = "".join([_BYTES[b] for b in pretoken.encode("utf-8")])
+        ids = [t.id for t in self.library.model.tokenize(name)]
+        self.flat.extend(ids)
+        self.sizes.append(len(ids))
+        self[pretoken] = number = len(self.sizes) - 1
+        return number
+
+    def begin_block(self) -> None:
+        if len(self) >= CACHE:
+            self.clear()
+            self.flat, self.sizes = array("I"), array("I")
 
     def cut(self, text: str, plain: bool) -> list[str] | None:
         """Pre-tokens of a text; None if the library has to encode the whole text."""
@@ -81,7 +87,7 @@ class Pieces:
 def plain_rows(column: pa.Array) -> np.ndarray:
     """For each row whether all its code points are below LATIN or marks of U+2010-2027."""
     data, offsets = text_bytes(column)
-    odd = data >= 0xC9
+    odd = data >= 0xC6
     lead = np.flatnonzero(data[:-2] == 0xE2) if len(data) > 2 else np.zeros(0, np.int64)
     lead = lead[(data[lead + 1] == 0x80) & (data[lead + 2] >= 0x90) & (data[lead + 2] <= 0xA7)]
     odd[lead] = False
@@ -89,17 +95,28 @@ def plain_rows(column: pa.Array) -> np.ndarray:
     return sums[offsets[1:]] == sums[offsets[:-1]]
 
 
-def block_pieces(column: pa.Array, pieces: Pieces) -> tuple[np.ndarray, np.ndarray, list[tuple[int, ...]], dict[int, np.ndarray]]:
-    """For a block of texts: pre-token numbers in order, the row bounds of them, the ids of each distinct pre-token, and the
-    ids of the rows that only the library can encode."""
-    flat: list[str] = []
+@dataclass
+class Block:
+    """A block of texts: pre-token numbers in order and their bounds per row; size of each number's ids and all those ids one
+    after the other; and the ids of rows that only the library can encode."""
+
+    code: np.ndarray
+    bounds: np.ndarray
+    sizes: np.ndarray
+    flat: np.ndarray
+    wholes: dict[int, np.ndarray]
+
+
+def block_pieces(column: pa.Array, pieces: Pieces) -> Block:
+    pieces.begin_block()
+    found: list[str] = []
     bounds, wholes = [0], {}
     for i, (text, plain) in enumerate(zip(column.to_pylist(), plain_rows(column), strict=True)):
-        found = pieces.cut(text, plain) if text else []
-        if found is None:
+        cut = pieces.cut(text, plain) if text else []
+        if cut is None:
             wholes[i] = pieces.whole(text)
         else:
-            flat += found
-        bounds.append(len(flat))
-    coded = pa.array(flat, pa.large_string()).dictionary_encode()
-    return coded.indices.to_numpy(), np.array(bounds), [pieces.of(p) for p in coded.dictionary.to_pylist()], wholes
+            found += cut
+        bounds.append(len(found))
+    code = np.fromiter(map(pieces.__getitem__, found), np.int64, len(found))
+    return Block(code, np.array(bounds), np.array(pieces.sizes, np.int64), np.array(pieces.flat, np.uint32), wholes)

@@ -21,11 +21,10 @@ LIMIT = 2048
 
 
 def count_block(column: pa.Array, pieces: Pieces) -> np.ndarray:
-    code, bounds, ids, wholes = block_pieces(column, pieces)
-    per_pretoken = np.array([len(i) for i in ids], np.int64)
-    sums = np.concatenate([[0], np.cumsum(per_pretoken[code])]) if len(code) else np.zeros(1, np.int64)
-    counts = sums[bounds[1:]] - sums[bounds[:-1]]
-    for row, found in wholes.items():
+    block = block_pieces(column, pieces)
+    sums = np.concatenate([[0], np.cumsum(block.sizes[block.code])]) if len(block.code) else np.zeros(1, np.int64)
+    counts = sums[block.bounds[1:]] - sums[block.bounds[:-1]]
+    for row, found in block.wholes.items():
         counts[row] = len(found)
     return counts
 

@@ -21,7 +21,6 @@ import struct
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -290,11 +289,10 @@ def unpack(data: bytes) -> Segment:
 
 def block_ids(column: pa.Array, pieces: Pieces, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts of a block, each with the end id, and the number of ids of each."""
-    code, bounds, found, wholes = block_pieces(column, pieces)
-    sizes = np.array([len(f) for f in found], np.int64)
-    starts = np.concatenate([[0], np.cumsum(sizes)])[:-1].astype(np.int64)
-    flat = np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum()))
-    per_token = sizes[code] if len(code) else np.zeros(0, np.int64)
+    block = block_pieces(column, pieces)
+    code, bounds, wholes = block.code, block.bounds, block.wholes
+    starts = np.cumsum(block.sizes) - block.sizes
+    per_token = block.sizes[code] if len(code) else np.zeros(0, np.int64)
     before = np.concatenate([[0], np.cumsum(per_token)])
     per_row = before[bounds[1:]] - before[bounds[:-1]]
     for row, whole in wholes.items():
@@ -304,7 +302,7 @@ def block_ids(column: pa.Array, pieces: Pieces, end_id: int) -> tuple[np.ndarray
     shift = np.repeat(row_start - before[bounds[:-1]], np.diff(bounds))
     target = before[:-1] + shift
     inner = np.arange(int(per_token.sum())) - np.repeat(before[:-1], per_token)
-    out[np.repeat(target, per_token) + inner] = flat[np.repeat(starts[code], per_token) + inner] if len(code) else 0
+    out[np.repeat(target, per_token) + inner] = block.flat[np.repeat(starts[code], per_token) + inner] if len(code) else 0
     for row, whole in wholes.items():
         out[row_start[row] : row_start[row] + len(whole)] = whole
     return out, per_row + 1
