@@ -24,10 +24,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write to the folder all executors share and read back: cuts the lineage and survives lost executors."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    # Small row groups: a writer holds one in memory.
+    df.write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+ROW_GROUP_BYTES = 16 << 20
 # Bytes that Spark hands to a Python worker at a time, so that neither side holds a large batch of long texts.
 BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
 _UNSET = "67108864b"
@@ -38,7 +40,13 @@ def map_batches(df: DataFrame, function, schema: str) -> DataFrame:
     conf = df.sparkSession.conf
     if conf.get(BATCH_SETTING, _UNSET) == _UNSET:
         conf.set(BATCH_SETTING, str(BATCH_BYTES))
-    return df.mapInArrow(function, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # The default pool of a worker keeps freed memory.
+        pa.set_memory_pool(pa.system_memory_pool())
+        return function(batches)
+
+    return df.mapInArrow(run, schema)
 
 
 def text_blocks(batch: pa.RecordBatch, column: str, limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:

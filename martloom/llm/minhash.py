@@ -33,6 +33,8 @@ COMPONENTS = BANDS * BAND_ROWS
 # A pair at 0.8 agrees in fewer components than this with probability below 1e-8 (six standard deviations).
 LEAST_AGREEMENT = 96
 _SLACK = 3.0
+# The points of a block are several times its text.
+_BLOCK_BYTES = 1 << 19
 
 
 def multisets(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -147,7 +149,7 @@ def _binary_digest(one: np.ndarray, two: np.ndarray) -> pa.Array:
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for block in text_blocks(batch, "text"):
+        for block in text_blocks(batch, "text", _BLOCK_BYTES):
             column = block.column("text")
             value, weight, row, one, two = multisets(column)
             sketch = signatures(value, weight, row, len(column))
@@ -168,7 +170,7 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Digest and multiset (sorted hashes, then multiplicities) of each text."""
     for batch in batches:
-        for block in text_blocks(batch, "text"):
+        for block in text_blocks(batch, "text", _BLOCK_BYTES):
             value, weight, row, one, two = multisets(block.column("text"))
             bounds = np.searchsorted(row, np.arange(block.num_rows + 1))
             packed = []
@@ -306,7 +308,7 @@ def _cross_pairs(buckets: DataFrame, parts: DataFrame, rows: DataFrame) -> DataF
 
 def _digest_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for block in text_blocks(batch, "text"):
+        for block in text_blocks(batch, "text", _BLOCK_BYTES):
             column = block.column("text")
             words = scan_words(column)
             digest = _binary_digest(*digests(column, words, words.hashes()))
