@@ -17,10 +17,10 @@ from martloom.functions.money import or_zero, tiered_commission
 from martloom.functions.text import status_name, try_decimal
 from martloom.operators import compare, quality
 from martloom.operators.eav import eav_pivot
-from martloom.operators.keys import dense_key
+from martloom.operators.keys import dense_key, stable_key
 from martloom.operators.latest import latest_per_key
 from martloom.operators.listagg import Listed, listagg_distinct
-from martloom.plans import dims, facts, measures, metrics, report
+from martloom.plans import dims, facts, measures, metrics, pipeline, report
 from martloom.session import scratch_path
 from martloom.sinks import runlog, writers
 from martloom.streaming.refresh import changed_since, upsert
@@ -273,10 +273,33 @@ _RUN = {"RUN_VERSION": "string", "RUN_DATE": "date", "RUN_DESCRIPTION": "string"
 def report_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored copy, read back."""
     rows = report.commission_report(open_mart(spark, sf_dir), REPORT, ordered=False)
-    path = scratch_path(spark, "baseline")
-    writers.append(writers.stamp_run(rows, "1.0.0", date(2024, 11, 18), "baseline"), path, ["RUN_VERSION"])
-    shape = {**{k: v for k, v in {**_RUN, **_FULL_REPORT}.items() if k != "RUN_VERSION"}, "RUN_VERSION": "string"}
-    return spark.read.schema(schemas.ddl(shape)).parquet(path)
+    root = scratch_path(spark, "baseline")
+    for _ in range(2):
+        stamped = writers.stamp_run(rows, "1.0.0", date(2024, 11, 18), "baseline")
+        writers.replace_run(stamped, f"{root}/{pipeline.BASELINE}", ["RUN_VERSION"])
+    return pipeline.read_baseline(spark, root, "1.0.0")
+
+
+@check(
+    "baseline_versions_diff",
+    """SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN 'removed' WHEN o_orderkey % 5 = 0 THEN 'added' ELSE 'changed' END
+              AS change, CASE WHEN o_orderkey % 7 <> 0 AND o_orderkey % 5 <> 0 THEN 'price' END AS changed_columns
+       FROM orders
+       WHERE CASE WHEN o_orderkey % 7 = 0 THEN o_orderkey % 5 <> 0 ELSE o_orderkey % 5 = 0 OR o_orderstatus = 'P' END""",
+)
+def baseline_versions_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two stored versions whose names differ only as texts. The second lacks some rows, has others, and a changed price."""
+    root = scratch_path(spark, "versions")
+    price = F.when(F.col("o_orderstatus") == "P", F.col("o_totalprice") * 2).otherwise(F.col("o_totalprice"))
+    orders = base_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", F.col("o_totalprice").alias("price"), price.alias("later"))
+    versions = {
+        "1.1": orders.filter("o_orderkey % 5 <> 0").select("o_orderkey", "price"),
+        "1.10": orders.filter("o_orderkey % 7 <> 0").select("o_orderkey", F.col("later").alias("price")),
+    }
+    for version, rows in versions.items():
+        stamped = writers.stamp_run(rows, version, date(2024, 11, 18), "compared")
+        writers.replace_run(stamped, f"{root}/{pipeline.BASELINE}", ["RUN_VERSION"])
+    return pipeline.compare_baselines(spark, root, "1.1", "1.10", ["o_orderkey"])
 
 
 # ---- metric views and metrics -------------------------------------------------------------------------------------
@@ -388,11 +411,10 @@ def metrics_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.metrics_long(metrics.metric_views(open_mart(spark, sf_dir)))
 
 
-@check("metrics_from_sql", oracle.compose(f"SELECT * FROM ({_METRICS_SQL}) WHERE category <> 'service_agreement'"))
+@check("metrics_from_sql", oracle.compose(_METRICS_SQL))
 def metrics_from_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same figures from metric definitions whose SQL reads the temporary views."""
     metrics.metric_views(open_mart(spark, sf_dir), register=True)
-    chosen = [m for m in metrics.DEFAULT_METRICS if m.category != "service_agreement"]
     frames = [
         metrics.sql_metric(
             spark,
@@ -401,7 +423,7 @@ def metrics_from_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
                 "query": f"SELECT {m.value} AS metric_value, {m.count} AS metric_count FROM {m.view}",
             },
         )
-        for m in chosen
+        for m in metrics.DEFAULT_METRICS
     ]
     return reduce(DataFrame.unionByName, frames)
 
@@ -453,10 +475,7 @@ def _metric_versions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataF
 @check("metric_compare", _COMPARED_SQL)
 def metric_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     compared = compare.compare_metrics(*_metric_versions(spark, sf_dir))
-    percent = (F.col("difference").cast("double") / F.col("previous_value").cast("double")) * 100
-    return compared.withColumn(
-        "difference_pct", F.round(F.when(F.col("difference_pct").isNotNull(), percent), 4)
-    )
+    return compared.withColumn("difference_pct", F.round(F.col("difference_pct").cast("double"), 4))
 
 
 @check(
@@ -603,6 +622,26 @@ def surrogate_key_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dense_key(orders, "OrderKey", ["o_custkey", "o_orderkey"])
 
 
+@check(
+    "surrogate_key_stable",
+    """WITH early AS (
+           SELECT o_custkey, o_orderkey, row_number() OVER (ORDER BY o_custkey, o_orderkey) AS OrderKey
+           FROM orders WHERE o_orderdate >= DATE '1997-01-01'
+       )
+       SELECT o_custkey, o_orderkey, OrderKey FROM early
+       UNION ALL
+       SELECT o_custkey, o_orderkey,
+              (SELECT max(OrderKey) FROM early) + row_number() OVER (ORDER BY o_custkey, o_orderkey) AS OrderKey
+       FROM orders WHERE o_orderdate < DATE '1997-01-01'""",
+)
+def surrogate_key_stable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K5: the second load adds older orders, many with lower ids; keys of the first load stay."""
+    orders = base_table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderdate")
+    natural = ["o_custkey", "o_orderkey"]
+    first, _ = stable_key(orders.filter("o_orderdate >= DATE '1997-01-01'"), "OrderKey", natural)
+    return stable_key(orders, "OrderKey", natural, first)[0].select(*natural, "OrderKey")
+
+
 @check(
     "sa_renewal_year",
     oracle.compose("SELECT a.id, a.renewalgroupinitialagreement_id, a.startdate, a.RenewalYear FROM m_agreement a"),
@@ -905,12 +944,12 @@ def period_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @check(
     "upsert_incremental",
-    """SELECT o_orderkey, CAST(o_totalprice AS DOUBLE) * CASE WHEN o_orderdate > DATE '1999-12-31' THEN 2 ELSE 1 END
+    """SELECT o_orderkey, CAST(o_totalprice AS DOUBLE) * CASE WHEN o_orderdate >= DATE '1999-12-31' THEN 2 ELSE 1 END
               AS amount
-       FROM orders WHERE o_orderdate > DATE '1999-12-31' OR o_orderstatus <> 'P'""",
+       FROM orders WHERE o_orderdate >= DATE '1999-12-31' OR o_orderstatus <> 'P'""",
 )
 def upsert_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders changed after 1999 arrive doubled; those not yet in the target (status P) are new."""
+    """Orders changed from the last day of 1999 on arrive doubled; those not yet in the target (status P) are new."""
     orders = base_table(spark, sf_dir, "orders").withColumn("amount", _money("o_totalprice"))
     target = orders.filter("o_orderstatus <> 'P'").select("o_orderkey", "amount")
     changes = changed_since(orders, "o_orderdate", F.lit(date(1999, 12, 31)).cast("timestamp_ntz")).select(

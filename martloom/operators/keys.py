@@ -38,6 +38,33 @@ def dense_key(df: DataFrame, name: str, order_by: Sequence[str]) -> DataFrame:
     )
 
 
+def stable_key(
+    df: DataFrame, name: str, natural: Sequence[str], known: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """``df`` with a key per natural key that never changes, and the members that got a new one.
+
+    ``known`` has the natural keys and numbers handed out so far, those of deleted members included; they keep theirs. New
+    members are numbered from the highest one on, in the order of their natural keys. Only natural keys are sorted and
+    numbered. NULL is a value of a natural key like any other.
+    """
+    members = df.select(*natural).distinct()
+    if known is None:
+        fresh, highest = dense_key(members, name, natural), 0
+    else:
+        known = known.select(*natural, name)
+        highest = known.agg(F.max(name)).first()[0] or 0
+        fresh = dense_key(members.join(known, _same(members, known, natural), "left_anti"), name, natural)
+    fresh = fresh.select(*natural, (F.col(name) + highest).alias(name))
+    every = fresh if known is None else known.unionByName(fresh)
+    numbered = every.select(*[F.col(c).alias(f"_key_{c}") for c in natural], name)
+    same = [F.col(c).eqNullSafe(F.col(f"_key_{c}")) for c in natural]
+    return df.join(numbered, same).drop(*[f"_key_{c}" for c in natural]), fresh
+
+
+def _same(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> list:
+    return [left[c].eqNullSafe(right[c]) for c in columns]
+
+
 def unique_key(df: DataFrame, name: str) -> DataFrame:
     """A unique, unordered number per row, assigned while the rows are written: no shuffle, gaps allowed.
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from martloom import schemas
 from martloom.functions.dates import date_key, weekday
 from martloom.functions.text import status_name
-from martloom.operators.keys import dense_key
+from martloom.operators.keys import stable_key
 from martloom.operators.latest import position_in_group
 from martloom.operators.star import Lookup, star_lookup
 from martloom.settings import MartSettings
@@ -265,7 +265,20 @@ _KEYED = {
 KEYED_DIMENSIONS = tuple(_KEYED)
 
 
-def keyed(table: str, src: Sources, settings: MartSettings) -> DataFrame:
-    """A keyed dimension in its declared shape."""
+def key_columns(table: str) -> tuple[str, tuple[str, ...]]:
+    """Surrogate key and natural key of a keyed dimension."""
+    return _KEYED[table][1:]
+
+
+def keyed_with_new(
+    table: str, src: Sources, settings: MartSettings, known: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """A keyed dimension in its declared shape, and the members (natural key, key) that ``known`` does not have."""
     rows, key, natural = _KEYED[table]
-    return schemas.conform(dense_key(rows(src, settings), key, natural), schemas.MART[table])
+    numbered, fresh = stable_key(rows(src, settings), key, natural, known)
+    return schemas.conform(numbered, schemas.MART[table]), fresh
+
+
+def keyed(table: str, src: Sources, settings: MartSettings) -> DataFrame:
+    """A keyed dimension of a first load."""
+    return keyed_with_new(table, src, settings)[0]

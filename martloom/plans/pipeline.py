@@ -8,16 +8,16 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from martloom import schemas
-from martloom.operators.compare import compare_metrics
+from martloom.operators.compare import compare_metrics, diff_rows
 from martloom.operators.quality import min_rows
 from martloom.plans import dims, facts, measures, metrics, report
 from martloom.settings import MartSettings
 from martloom.sinks.runlog import RunLog
-from martloom.sinks.writers import append, empty, stamp_run, with_audit, write_full, write_period
-from martloom.sources.readers import mart_tables, read_mart, read_sources
+from martloom.sinks.writers import append, empty, replace_run, stamp_run, with_audit, write_full, write_period
+from martloom.sources.readers import mart_tables, read_keys, read_sources
 
 # table -> (run-log name, job). Order is a valid dependency order; agreement measures come before the agreement fact.
 _MEASURES = {
@@ -62,6 +62,9 @@ def build(table: str, spark: SparkSession, src: dims.Sources, mart: facts.Mart,
     return dimension(spark, table, src, settings)
 
 
+# The stored reports, and what names a row of a report.
+BASELINE = "mat_report_baseline"
+REPORT_KEYS = ("_TenantId", "JobId", "InvoiceId", "ServiceAgreementId")
 TABLES = (*_LOG_NAMES, *_MEASURES, *_FACTS)
 
 
@@ -69,6 +72,21 @@ def log_name(table: str) -> str:
     return _LOG_NAMES.get(table) or {**_MEASURES, **_FACTS}[table][0]
 
 
+def _load_dimension(spark: SparkSession, table: str, src: dims.Sources, mart: facts.Mart, settings: MartSettings, root: str) -> DataFrame:
+    """A keyed dimension. Numbers once handed out are kept in ``_keys``, those of deleted members too.
+
+    New numbers are stored there before the dimension is written, so a load that fails in between repeats with the same.
+    """
+    key, natural = dims.key_columns(table)
+    known = read_keys(spark, root, table, [*natural, key])
+    stored = known is not None
+    if known is None and table in mart and mart.get(table) is not None:
+        known = mart[table].select(*natural, key)
+    rows, fresh = dims.keyed_with_new(table, src, settings, known)
+    append(fresh if stored or known is None else known.unionByName(fresh), f"{root}/_keys/{table}")
+    return rows
+
+
 def build_warehouse(
     spark: SparkSession, settings: MartSettings, raw_root: str, external_root: str, mart_root: str,
     tables: Sequence[str] = TABLES,
@@ -86,7 +104,10 @@ def build_warehouse(
     for table in (t for t in TABLES if t in tables):
 
         def load(name: str = table) -> int:
-            df = with_audit(build(name, spark, src, mart, settings))
+            if name in dims.KEYED_DIMENSIONS:
+                df = with_audit(_load_dimension(spark, name, src, mart, settings, mart_root))
+            else:
+                df = with_audit(build(name, spark, src, mart, settings))
             path = f"{mart_root}/{name}"
             if name in schemas.PERIOD_TABLES:
                 return write_period(df, path, settings.period_start, settings.period_end, settings.tenant_ids)
@@ -110,11 +131,16 @@ def track_metrics(
     spark: SparkSession, mart_root: str, version: str, run_date: date, description: str, settings: MartSettings,
     tolerance: float = 0.01, sql_metrics: list[dict] | None = None,
 ) -> tuple[DataFrame, dict[str, str]]:
-    """Compute the metrics, compare with the last stored run, append them, and store the report snapshot."""
+    """Compute the metrics, compare with the last run before this one, and store them and the report snapshot.
+
+    A run is named by its version and date, a snapshot by its version; repeating one replaces what it stored.
+    """
     mart = open_mart(spark, mart_root)
-    history_path = f"{mart_root}/mat_metric_summary"
-    append(empty(spark, "mat_metric_summary"), history_path)
-    history = read_mart(spark, mart_root, "mat_metric_summary")
+    history = mart.get("mat_metric_summary")
+    if history is None:
+        history = empty(spark, "mat_metric_summary")
+    own = (F.col("RUN_VERSION") == version) & (F.col("RUN_DATE") == F.lit(run_date))
+    history = history.where((F.col("RUN_DATE") <= F.lit(run_date)) & ~own)
     views = metrics.metric_views(mart, register=bool(sql_metrics))
     if sql_metrics:
         frames, errors = {}, {}
@@ -134,7 +160,23 @@ def track_metrics(
     # The comparison is fixed before the history grows; it has one row per metric.
     compared_rows = compare_metrics(current, history, tolerance)
     compared = spark.createDataFrame(compared_rows.collect(), compared_rows.schema)
-    append(metrics.summary_rows(compared, version, run_date, description), history_path)
+    summary = metrics.summary_rows(compared, version, run_date, description)
+    replace_run(summary, f"{mart_root}/mat_metric_summary", ["RUN_VERSION", "RUN_DATE"])
     snapshot = stamp_run(report.commission_report(mart, settings, ordered=False), version, run_date, description)
-    append(snapshot, f"{mart_root}/mat_report_baseline", ["RUN_VERSION"])
+    replace_run(snapshot, f"{mart_root}/{BASELINE}", ["RUN_VERSION"])
     return compared, errors
+
+
+def read_baseline(spark: SparkSession, mart_root: str, version: str) -> DataFrame:
+    """The report as stored for one version. The version is a text: 1.10 is not 1.1."""
+    folder = f"{mart_root}/{BASELINE}"
+    columns = spark.read.parquet(f"{folder}/RUN_VERSION={version}").schema.add("RUN_VERSION", "string")
+    return spark.read.schema(columns).parquet(folder).where(F.col("RUN_VERSION") == version)
+
+
+def compare_baselines(
+    spark: SparkSession, mart_root: str, before: str, after: str, keys: Sequence[str] = REPORT_KEYS
+) -> DataFrame:
+    """Rows of the report that were added, removed or changed between two stored versions."""
+    old, new = (read_baseline(spark, mart_root, v).drop("RUN_VERSION", "RUN_DATE", "RUN_DESCRIPTION") for v in (before, after))
+    return diff_rows(old, new, list(keys))

@@ -252,7 +252,7 @@ DIMENSION_KEYS: dict[str, tuple[str, ...]] = {
     ),
 }
 
-# Least row counts expected of a full source load.
+# Least row counts expected of a full source load.
 MIN_SOURCE_ROWS: dict[str, int] = {
     "businessunit": 10, "jobtype": 20, "customer": 500, "employee": 50, "location": 300,
     "generalledgeraccounttype": 5, "generalledgeraccount": 100, "material": 500, "equipment": 500,

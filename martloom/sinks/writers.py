@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from datetime import date, datetime
 
@@ -22,10 +23,40 @@ def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
     return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
 
+def _files(spark: SparkSession, path: str):
+    """The store of a path, and how to name paths in it."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path
+    return at(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
 def write_full(df: DataFrame, path: str) -> int:
-    """K1: replace the table; returns the number of rows written."""
+    """K1: replace the table; returns the number of rows written.
+
+    The rows are written beside the table first and take its place when they are complete: a load that fails leaves the
+    table as it was, and a load may read the table that it replaces.
+    """
+    spark, run = df.sparkSession, uuid.uuid4().hex
+    staged, before = f"{path}__new-{run}", f"{path}__old-{run}"
     df, seen = _counted(df)
-    df.write.mode("overwrite").parquet(path)
+    df.write.parquet(staged)
+    store, at = _files(spark, path)
+    replaces = store.exists(at(path))
+    if replaces and not store.rename(at(path), at(before)):
+        raise OSError(f"cannot move {path} aside")
+    if not store.rename(at(staged), at(path)):
+        if replaces:
+            store.rename(at(before), at(path))
+        raise OSError(f"cannot put {staged} in place")
+    if replaces:
+        store.delete(at(before), True)
+    return seen.get["rows"]
+
+
+def replace_run(df: DataFrame, path: str, run: Sequence[str]) -> int:
+    """Store the rows of one run, named by the columns ``run``; the same run again replaces its rows."""
+    df, seen = _counted(df)
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*run).parquet(path)
     return seen.get["rows"]
 
 
@@ -40,25 +71,21 @@ def write_period(df: DataFrame, root: str, start: date, end: date, tenant_ids: S
     """K2: replace one period of the given tenants and leave everything else; running it again changes nothing.
 
     One write replaces the folders of all tenants that have rows. A tenant without rows would keep its old folder then,
-    so the rows per tenant are counted on the way, and such a folder is overwritten with no rows.
+    so the tenants are noted on the way, and the folders of the others are removed.
     """
     seen = Observation()
     rows = df.filter(
         (F.col("PeriodStartDate") == F.lit(start)) & (F.col("PeriodEndDate") == F.lit(end))
         & F.col("TenantId").isin(*tenant_ids)
     )
-    per_tenant = [F.count_if(F.col("TenantId") == tenant).alias(str(tenant)) for tenant in tenant_ids]
-    rows.observe(seen, *per_tenant).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+    noted = F.count(F.lit(1)).alias("rows"), F.collect_set("TenantId").alias("tenants")
+    rows.observe(seen, *noted).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
         *schemas.PERIOD_COLUMNS
     ).parquet(root)
-    counts = seen.get
-    nothing = df.sparkSession.createDataFrame([], df.drop(*schemas.PERIOD_COLUMNS).schema)
-    for tenant in tenant_ids:
-        if not counts[str(tenant)]:
-            nothing.write.mode("overwrite").parquet(
-                f"{root}/PeriodStartDate={start}/PeriodEndDate={end}/TenantId={tenant}"
-            )
-    return sum(counts.values())
+    store, at = _files(df.sparkSession, root)
+    for tenant in set(tenant_ids) - set(seen.get["tenants"]):
+        store.delete(at(f"{root}/PeriodStartDate={start}/PeriodEndDate={end}/TenantId={tenant}"), True)
+    return seen.get["rows"]
 
 
 def missing_rows(rows: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:

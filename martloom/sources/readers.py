@@ -32,6 +32,17 @@ def read_mart(spark: SparkSession, root: str, name: str) -> DataFrame:
     return _scan(spark, root, name, schemas.MART[name])
 
 
+def read_keys(spark: SparkSession, root: str, table: str, columns: Iterable[str]) -> DataFrame | None:
+    """The surrogate keys handed out so far for a dimension; None before the first."""
+    shape = {c: schemas.MART[table][c] for c in columns}
+    try:
+        return spark.read.schema(schemas.ddl(shape)).parquet(f"{root}/_keys/{table}")
+    except AnalysisException as error:
+        if error.getCondition() in _MISSING:
+            return None
+        raise
+
+
 class _Tables(Mapping):
     """Tables by name, opened when first asked for. A table that does not exist is a missing key."""
 

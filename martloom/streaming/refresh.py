@@ -12,11 +12,15 @@ from martloom.operators.latest import latest_per_key
 
 
 def changed_since(df: DataFrame, changed_on: str, last_success: datetime | Column | None) -> DataFrame:
-    """Rows whose change time is later than the last success; all rows before the first success."""
+    """Rows whose change time is the bound or later, or not known; all rows before the first success.
+
+    Take the bound from the start of the last good run (``runlog.last_good_start``). A row that comes again is replaced by
+    itself, so taking too many does no harm.
+    """
     if last_success is None:
         return df
     bound = last_success if isinstance(last_success, Column) else F.lit(last_success)
-    return df.filter(F.col(changed_on) > bound)
+    return df.filter((F.col(changed_on) >= bound) | F.col(changed_on).isNull())
 
 
 def upsert(target: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -15,11 +15,12 @@ from martloom.functions.money import is_income, tiered_commission
 from martloom.functions.text import agreement_link, field_label, try_decimal
 from martloom.operators import quality
 from martloom.operators.compare import compare_metrics, diff_rows
-from martloom.operators.keys import clustered, unique_key
+from martloom.operators.keys import clustered, stable_key, unique_key
 from martloom.operators.latest import latest_per_key, position_in_group
 from martloom.operators.listagg import Listed, listagg_distinct
 from martloom.operators.star import Lookup, star_lookup
-from martloom.plans import metrics, report
+from martloom.plans import metrics, pipeline, report
+from martloom.settings import MartSettings
 from martloom.sinks import writers
 from martloom.sinks.runlog import PROCESSES, RunLog, etl_status, run_state
 from martloom.sources.readers import read_sources
@@ -163,7 +164,8 @@ def test_upsert_and_changed_since(spark):
     old = spark.createDataFrame([(1, "a", datetime(2024, 1, 1)), (2, "b", datetime(2024, 1, 1))], shape)
     new = spark.createDataFrame([(2, "B", datetime(2024, 1, 3)), (3, "C", datetime(2024, 1, 2))], shape)
     assert rows(upsert(old, new, ["k"]), "k", "v") == [(1, "a"), (2, "B"), (3, "C")]
-    assert rows(changed_since(new, "at", datetime(2024, 1, 2)), "k") == [(2,)]
+    unknown = spark.createDataFrame([(4, "D", None), (5, "E", datetime(2024, 1, 1))], shape)
+    assert rows(changed_since(new.union(unknown), "at", datetime(2024, 1, 2)), "k") == [(2,), (3,), (4,)]
     assert changed_since(new, "at", None).count() == 2
 
 
@@ -307,3 +309,52 @@ def test_facts_laid_out_by_date_can_skip_files(spark):
     ).orderBy("first").collect()
     assert all(a.last <= b.first for a, b in zip(files, files[1:]))
     assert spark.read.parquet(path).select("k").distinct().count() == 4000
+
+
+def test_stable_keys(spark):
+    shape = "k int, t string"
+    first, new = stable_key(spark.createDataFrame([(5, "a"), (None, "a"), (7, "b")], shape), "n", ["k", "t"])
+    assert rows(first, "k", "t", "n") == rows(new, "k", "t", "n")
+    known = {(r.k, r.t): r.n for r in first.collect()}
+    assert sorted(known.values()) == [1, 2, 3]
+    again, new = stable_key(spark.createDataFrame([(0, "a"), (None, "a"), (7, "b"), (9, "z")], shape), "n", ["k", "t"], first)
+    got = {(r.k, r.t): r.n for r in again.collect()}
+    assert got == {(None, "a"): known[None, "a"], (7, "b"): known[7, "b"], (0, "a"): 4, (9, "z"): 5}
+    assert rows(new, "k") == [(0,), (9,)]
+
+
+def test_dimension_keys_survive_new_and_deleted_members(spark, tables):
+    root, settings = folder(), MartSettings(tenant_ids=(1,))
+
+    def load(number, ids):
+        raw = f"{root}/raw{number}"
+        tables(customer=[{"id": i, "name": f"c{i}"} for i in ids])["customer"].write.parquet(f"{raw}/customer")
+        pipeline.build_warehouse(spark, settings, raw, raw, f"{root}/mart", ("dim_customer",))
+        return {r.CustomerId: r.CustomerKey for r in pipeline.open_mart(spark, f"{root}/mart")["dim_customer"].collect()}
+
+    assert load(1, [5, 6, 7]) == {5: 1, 6: 2, 7: 3}
+    assert load(2, [0, 5, 6]) == {0: 4, 5: 1, 6: 2}
+    # The deleted member's number is not handed out again, and it is its own when the member returns.
+    assert load(3, [1, 7]) == {1: 5, 7: 3}
+
+
+def test_a_failing_load_leaves_the_old_table(spark):
+    path = folder() + "/t"
+    writers.write_full(spark.createDataFrame([(1, "a")], "k int, v string"), path)
+    bad = spark.range(4).selectExpr("CAST(id AS int) AS k", "CASE WHEN id = 3 THEN raise_error('no') ELSE 'x' END AS v")
+    with pytest.raises(Exception, match="no"):
+        writers.write_full(bad, path)
+    read = lambda: spark.read.schema("k int, v string").parquet(path)
+    assert rows(read()) == [(1, "a")]
+    # A load may read what it replaces.
+    assert writers.write_full(read().unionByName(spark.createDataFrame([(2, "b")], "k int, v string")), path) == 2
+    assert rows(read()) == [(1, "a"), (2, "b")]
+
+
+def test_a_run_stored_twice_is_there_once(spark):
+    path = folder() + "/h"
+    run = spark.createDataFrame([("1.10", "m", 1), ("1.10", "n", 2)], "version string, name string, v int")
+    for frame in (run, run, run.withColumn("version", F.lit("1.1"))):
+        writers.replace_run(frame, path, ["version"])
+    got = spark.read.schema("name string, v int, version string").parquet(path)
+    assert rows(got, "version", "name", "v") == [("1.1", "m", 1), ("1.1", "n", 2), ("1.10", "m", 1), ("1.10", "n", 2)]

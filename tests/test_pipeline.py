@@ -145,6 +145,10 @@ def test_metrics_and_snapshot(spark, run):
     assert (row.previous_version, row.difference) == ("1", 1)
     history = spark.read.parquet(f"{root}/mart/mat_metric_summary")
     assert history.count() == 10
+    again, _ = pipeline.track_metrics(spark, f"{root}/mart", "1", date(2024, 6, 1), "first", SETTINGS)
+    assert {r.name: r.value for r in again.collect()} == {name: r.value for name, r in values.items()}
+    assert spark.read.parquet(f"{root}/mart/mat_metric_summary").count() == 10
+    assert pipeline.compare_baselines(spark, f"{root}/mart", "1", "2").count() == 0
     snapshot = spark.read.parquet(f"{root}/mart/mat_report_baseline")
     runs = {r.RUN_VERSION: r.n for r in snapshot.groupBy("RUN_VERSION").agg(F.count("*").alias("n")).collect()}
     assert runs[1] == runs[2] == report.commission_report(mart, SETTINGS).count()
