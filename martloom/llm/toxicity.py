@@ -52,7 +52,7 @@ def features(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     wordy &= (points != 0xA0) & ~((points >= 0x2000) & (points < 0x2070)) & (points != 0x3000)
     # White space and marks are one kind of edge; runs of them are a single one.
     keep = wordy.copy()
-    keep[1:] |= wordy[:-1]
+    keep[1:] |= wordy[:-1] | (row[1:] != row[:-1])
     keep[:1] = True
     points, row, wordy = np.where(wordy, points, 32)[keep].astype(np.uint64), row[keep], wordy[keep]
     edges = np.concatenate([[0], np.cumsum(~wordy)])
