@@ -16,7 +16,7 @@ def _with_least(arcs: DataFrame) -> DataFrame:
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    return _with_least(both).where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    return _with_least(both).where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
@@ -26,6 +26,20 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return out.where(F.col("u") != F.col("v")).distinct()
 
 
+def trees(links: DataFrame) -> DataFrame:
+    """(node, component) for links (u, v) with u < v in which each v has one u: every node looks up its parent's parent until
+    all hang on their root."""
+    steps = stored(links.select(F.col("v").alias("node"), F.col("u").alias("parent")), "trees")
+    while True:
+        above = steps.select(F.col("node").alias("parent"), F.col("parent").alias("above"))
+        moved = steps.select("node", "parent").join(above, "parent", "left")
+        steps = stored(moved.select("node", F.coalesce("above", "parent").alias("parent"), F.col("above").isNotNull().alias("moved")), "trees")
+        if steps.where("moved").isEmpty():
+            break
+    roots = steps.select(F.col("parent").alias("node"), F.col("parent").alias("component")).distinct()
+    return steps.select("node", F.col("parent").alias("component")).union(roots)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) for all nodes of the edges (u, v); the component is its least node. Loops and repeats are harmless."""
     edges = stored(edges.select("u", "v").where(F.col("u") != F.col("v")).distinct(), "edges")

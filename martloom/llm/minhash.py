@@ -6,11 +6,11 @@
    A component keeps the first point. Two texts agree in a component with the probability of their weighted Jaccard
    similarity, without bias. Points are drawn lazily: only those that can still be first.
 2. Exact copies collapse by digest, with map-side pre-aggregation.
-3. Bands of the signature are buckets, and the least text of a bucket (by hash) is its hub. Each text is first verified
+3. Bands of the signature are buckets, and the least digest of a bucket is its hub. Each text is first verified
    against one of its hubs, by the overlap of the whole multisets; verified links are joined into components. Then it is
    verified against those of its hubs that are still in another component. No bucket is expanded into pairs, none is capped.
 4. Buckets that still hold several components go to an exact step: their texts outside the bucket's main component are
-   compared with the texts of other components - by signature inside the join, then by multisets.
+   compared with the texts of other components, inside the join on the bucket; only pairs that are similar come out of it.
 """
 
 from __future__ import annotations
@@ -23,15 +23,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martloom.llm.common import map_batches, mix, runs_of_words, scan_words, stored, text_blocks
-from martloom.llm.graph import components
+from martloom.llm.graph import components, trees
 
 RUN = 5
 SIMILARITY = 0.8
 # 32 bands of 5: a pair at similarity 0.8 shares no band with probability 3e-6.
 BANDS, BAND_ROWS = 32, 5
 COMPONENTS = BANDS * BAND_ROWS
-# A pair at 0.8 agrees in fewer components than this with probability below 1e-8 (six standard deviations).
-LEAST_AGREEMENT = 96
 _SLACK = 3.0
 # The points of a block are several times its text.
 _BLOCK_BYTES = 1 << 19
@@ -154,16 +152,13 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             value, weight, row, one, two = multisets(column)
             sketch = signatures(value, weight, row, len(column))
             filled = np.bincount(row, minlength=len(column)) > 0
-            keys, packed = band_keys(sketch).view(np.int64), sketch.view(np.int64)
+            keys = band_keys(sketch).view(np.int64)
             bands = pa.array([k if f else k[:0] for k, f in zip(keys, filled, strict=True)], pa.list_(pa.int64()))
             digest = _binary_digest(one, two)
             missing = pa.compute.is_null(column)
             yield pa.RecordBatch.from_arrays(
-                [
-                    block.column("id"), pa.compute.if_else(missing, pa.scalar(None, pa.binary()), digest), bands,
-                    pa.array([k if f else k[:0] for k, f in zip(packed, filled, strict=True)], pa.list_(pa.int64())),
-                ],
-                ["id", "digest", "bands", "sketch"],
+                [block.column("id"), pa.compute.if_else(missing, pa.scalar(None, pa.binary()), digest), bands],
+                ["id", "digest", "bands"],
             )
 
 
@@ -206,25 +201,32 @@ def _verify(least: float):
     return run
 
 
-def _links(pairs: DataFrame, docs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
-    """The pairs (u, v) of digests whose multisets are similar enough. Each text is fetched by the id of its first copy."""
-    ends = pairs.select(F.col("u").alias("digest")).union(pairs.select(F.col("v").alias("digest"))).distinct()
-    wanted = texts.join(ends, "digest", "left_semi").select("id").distinct()
-    runs = docs.join(wanted, docs["id"].eqNullSafe(wanted["id"]), "left_semi").select("text")
-    runs = map_batches(runs, _runs, "digest binary, runs binary")
-    runs = stored(runs.join(ends, "digest", "left_semi").dropDuplicates(["digest"]), "runs")
+def _fetch_runs(digests_wanted: DataFrame, docs: DataFrame, texts: DataFrame) -> DataFrame:
+    """(digest, runs) of the wanted digests. Each text is fetched by the id of its first copy."""
+    wanted = texts.join(digests_wanted, "digest", "left_semi").select("id").distinct()
+    found = docs.join(wanted, docs["id"].eqNullSafe(wanted["id"]), "left_semi").select("text")
+    found = map_batches(found, _runs, "digest binary, runs binary")
+    return found.join(digests_wanted, "digest", "left_semi").dropDuplicates(["digest"])
+
+
+def _links(pairs: DataFrame, runs: DataFrame, least: float) -> DataFrame:
+    """The pairs (u, v) of digests whose multisets are similar enough."""
     joined = pairs.join(runs.select(F.col("digest").alias("u"), F.col("runs").alias("ru")), "u").join(
         runs.select(F.col("digest").alias("v"), F.col("runs").alias("rv")), "v"
     )
     return map_batches(joined.select("u", "v", "ru", "rv"), _verify(least), "u binary, v binary")
 
 
-def _agreement(a: str, b: str):
-    """Equal components of two packed signatures; four 14-bit components are in 16-bit lanes of a long."""
-    differing = " + ".join(
-        f"bit_count((({a}[{i}] ^ {b}[{i}]) + {0x3FFF3FFF3FFF3FFF}L) & {0x4000400040004000}L)" for i in range(COMPONENTS // 4)
-    )
-    return F.lit(COMPONENTS) - F.expr(differing)
+def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every occurrence of a run as a 32-bit number: the size of an intersection is the overlap of the multisets."""
+    for batch in batches:
+        out = []
+        for packed in batch.column("runs"):
+            value, weight = unpack(packed.as_py())
+            occurrence = np.arange(int(weight.sum())) - np.repeat(np.cumsum(weight) - weight, weight)
+            token = mix(np.repeat(value, weight) + mix(occurrence.astype(np.uint64)))
+            out.append((token >> np.uint64(32)).astype(np.uint32).view(np.int32))
+        yield pa.RecordBatch.from_arrays([batch.column("digest"), pa.array(out, pa.list_(pa.int32()))], ["digest", "tokens"])
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "text", least: float = SIMILARITY) -> DataFrame:
@@ -236,7 +238,7 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     equal. A NULL text is alone in its class. Repeated rows share a class; an empty table gives an empty result.
     """
     docs = docs.select(F.col(id_column).alias("id"), F.col(text).alias("text"))
-    rows = stored(map_batches(docs, _sketch, "id bigint, digest binary, bands array<bigint>, sketch array<bigint>"), "sketch")
+    rows = stored(map_batches(docs, _sketch, "id bigint, digest binary, bands array<bigint>"), "sketch")
     copies = rows.where(F.col("digest").isNotNull())
     texts = copies.groupBy("digest").agg(F.min("id").alias("id"))
     buckets = copies.dropDuplicates(["digest"]).select("digest", F.explode("bands").alias("key"))
@@ -246,20 +248,21 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
         .where(F.col("a") != F.col("b")).select("key")
     )
     buckets = stored(buckets.join(shared, "key"), "buckets")
-    hubs = buckets.groupBy("key").agg(F.min(F.struct(F.xxhash64("digest").alias("r"), "digest")).alias("hub"))
-    stars = stored(buckets.join(hubs, "key").where(F.col("hub.digest") != F.col("digest")), "stars")
+    hubs = buckets.groupBy("key").agg(F.min("digest").alias("hub"))
+    stars = stored(buckets.join(hubs, "key").where(F.col("hub") != F.col("digest")).select("digest", "hub"), "stars")
     # First each text meets one hub: the least of all its buckets' hubs.
-    pairs = _ordered(stars.groupBy("digest").agg(F.min("hub").alias("hub")).select("digest", F.col("hub.digest").alias("hub")))
-    pairs = stored(pairs, "pairs")
-    links = stored(_links(pairs, docs, texts, least), "links")
-    parts = components(links)
+    runs = stored(_fetch_runs(buckets.select("digest").distinct(), docs, texts), "runs")
+    pairs = stored(stars.groupBy("digest").agg(F.min("hub").alias("u")).select("u", F.col("digest").alias("v")), "pairs")
+    parts = trees(_links(pairs, runs, least))
     # Then the hubs that are still in another component, and last what the buckets hold beyond their hubs.
     for step in (_other_hubs, _cross_pairs):
-        more = stored(step(stars if step is _other_hubs else buckets, parts, rows).join(pairs, ["u", "v"], "left_anti"), "pairs")
+        more = step(stars, parts) if step is _other_hubs else step(buckets, parts, runs, least)
+        more = stored(more.join(pairs, ["u", "v"], "left_anti"), "pairs")
         if not more.isEmpty():
             pairs = pairs.union(more)
-            links = links.union(stored(_links(more, docs, texts, least), "links"))
-            parts = components(links)
+            links = stored(_links(more, runs, least), "links")
+            if not links.isEmpty():
+                parts = components(links.union(parts.select(F.col("node").alias("u"), F.col("component").alias("v"))))
     named = texts.join(parts, texts["digest"] == parts["node"], "left")
     named = named.select("digest", "id", F.coalesce("component", "digest").alias("component"))
     least_id = named.groupBy("component").agg(F.min("id").alias("class_id"))
@@ -273,37 +276,39 @@ def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("hub", "digest").alias("u"), F.greatest("hub", "digest").alias("v")).distinct()
 
 
-def _other_hubs(stars: DataFrame, parts: DataFrame, rows: DataFrame) -> DataFrame:
+def _other_hubs(stars: DataFrame, parts: DataFrame) -> DataFrame:
     """Pairs of a text and a bucket's hub that are in different components."""
-    pairs = _ordered(stars.select("digest", F.col("hub.digest").alias("hub")))
+    pairs = _ordered(stars)
     for end, part in (("u", "pu"), ("v", "pv")):
         pairs = pairs.join(parts.select(F.col("node").alias(end), F.col("component").alias(part)), end, "left")
     return pairs.where(F.coalesce("pu", "u") != F.coalesce("pv", "v")).select("u", "v")
 
 
-def _cross_pairs(buckets: DataFrame, parts: DataFrame, rows: DataFrame) -> DataFrame:
-    """Pairs of one bucket and different components whose signatures agree enough.
+def _cross_pairs(buckets: DataFrame, parts: DataFrame, runs: DataFrame, least: float) -> DataFrame:
+    """Pairs of one bucket and different components that are similar enough, up to chance hits of 32-bit numbers.
 
-    Of each bucket, the component with most texts is the main one; a pair needs at least one text outside it.
+    Of each bucket, the component with most texts is the main one; a pair needs at least one text outside it. The overlap
+    is computed inside the join on the bucket, so pairs that are not similar are never written anywhere.
     """
     placed = buckets.join(parts, buckets["digest"] == parts["node"], "left")
     placed = placed.select("key", "digest", F.coalesce("component", "digest").alias("part"))
     sizes = placed.groupBy("key", "part").agg(F.count("*").alias("n"))
-    mixed = sizes.groupBy("key").agg(F.max(F.struct("n", "part")).alias("main"), F.count("*").alias("parts"))
-    mixed = mixed.where(F.col("parts") > 1).select("key", F.col("main.part").alias("main"))
     # The buckets of two texts are done: their only pair has been verified.
-    large = sizes.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") > 2).select("key")
-    placed = stored(placed.join(mixed, "key").join(large, "key", "left_semi"), "mixed")
-    sketches = rows.join(placed.select("digest").distinct(), "digest", "left_semi").dropDuplicates(["digest"])
-    placed = placed.join(sketches.select("digest", "sketch"), "digest")
-    left = placed.where(F.col("part") != F.col("main")).select("key", F.col("digest").alias("d1"), F.col("part").alias("p1"), F.col("sketch").alias("s1"))
-    right = placed.select("key", F.col("digest").alias("d2"), F.col("part").alias("p2"), F.col("sketch").alias("s2"), F.col("main").alias("m2"))
+    mixed = sizes.groupBy("key").agg(F.max(F.struct("n", "part")).alias("main"), F.count("*").alias("parts"), F.sum("n").alias("all"))
+    mixed = mixed.where((F.col("parts") > 1) & (F.col("all") > 2)).select("key", F.col("main.part").alias("main"))
+    placed = stored(placed.join(mixed, "key"), "mixed")
+    held = runs.join(placed.select("digest").distinct(), "digest", "left_semi")
+    placed = placed.join(map_batches(held, _tokens, "digest binary, tokens array<int>"), "digest").withColumn("size", F.size("tokens"))
+    names = ("digest", "part", "tokens", "size")
+    left = placed.where(F.col("part") != F.col("main")).select("key", *[F.col(c).alias(c + "1") for c in names])
+    right = placed.select("key", *[F.col(c).alias(c + "2") for c in names], "main")
     # Two texts outside the main component meet once.
-    once = (F.col("p2") == F.col("m2")) | (F.col("p1") < F.col("p2"))
-    pairs = left.join(
-        right, (left["key"] == right["key"]) & (F.col("p1") != F.col("p2")) & once & (_agreement("s1", "s2") >= LEAST_AGREEMENT)
-    )
-    return _ordered(pairs.select(F.col("d1").alias("digest"), F.col("d2").alias("hub")))
+    once = (F.col("part2") == F.col("main")) | (F.col("part1") < F.col("part2"))
+    sized = (F.col("size1") >= least * F.col("size2")) & (F.col("size2") >= least * F.col("size1"))
+    shared = F.size(F.array_intersect("tokens1", "tokens2"))
+    near = shared * (1 + least) >= least * (F.col("size1") + F.col("size2")) - 1e-6
+    pairs = left.join(right, (left["key"] == right["key"]) & (F.col("part1") != F.col("part2")) & once & sized & near)
+    return _ordered(pairs.select(F.col("digest1").alias("digest"), F.col("digest2").alias("hub")))
 
 
 def _digest_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -41,6 +41,13 @@ def test_components_equal_union_find(spark):
     assert graph.components(spark.createDataFrame([], "u bigint, v bigint")).count() == 0
 
 
+def test_trees_find_their_roots(spark):
+    links = [(0, 1), (1, 2), (2, 3), (3, 4), (10, 11), (10, 12), (12, 13), (0, 20)]
+    got = dict(map(tuple, graph.trees(spark.createDataFrame(links, "u bigint, v bigint")).collect()))
+    assert got == {**dict.fromkeys([0, 1, 2, 3, 4, 20], 0), **dict.fromkeys([10, 11, 12, 13], 10)}
+    assert graph.trees(spark.createDataFrame([], "u bigint, v bigint")).count() == 0
+
+
 def multiset(text):
     words = WORD.findall(text.translate(LOWER))
     return Counter(tuple(words[i : i + 5]) for i in range(len(words) - 4)) if len(words) >= 5 else Counter([tuple(words)] if words else [])
