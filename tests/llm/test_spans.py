@@ -158,3 +158,59 @@ def test_network_gradients_equal_differences():
 def test_no_findings_no_network():
     assert secret_scan.train([], np.zeros(0)) is None
     assert secret_scan.train([b"\0" * secret_scan._SIZE] * 50, np.zeros(50)) is None
+
+
+def _trained(seed=7, n=600):
+    rng = random.Random(seed)
+    words = ["alder", "birchwood", "cedarhouse", "dogwood", "elmstreet", "firtrees", "reports", "archive", "gardens"]
+
+    def key(size):
+        return "".join(rng.choices("abcdefghijkmnopqrstuvwxyzABCDEFGHJKLMNPQRSTUVWXYZ23456789", k=size))
+
+    windows, labels = [], []
+    for i in range(n):
+        secret = i % 2 == 0
+        body = key(rng.randint(8, 40)) if secret else rng.choice([rng.choice(words), "/" + "/".join(rng.choices(words, k=5))])
+        whole = f"elm fir {'token = ' if secret else 'see '}{body} dogwood alder"
+        at = whole.index(body, 11 if not secret else 16)
+        windows.append(secret_scan.window(whole, at, at + len(body)))
+        labels.append(float(secret))
+    return secret_scan.train(windows, np.array(labels)), key, words
+
+
+def _span_scores(net, text):
+    codes, first, _, start, end = secret_scan._block([text])
+    return {text[a - first[0] : b - first[0]]: s for a, b, s in zip(start, end, net.score_spans(codes, start, end), strict=True)}
+
+
+def test_network_sees_whole_candidates():
+    net, key, words = _trained()
+    found = clean = 0
+    for _ in range(40):
+        path = "/srv/" + "/".join(random.Random(3).choices(words, k=8)) + "/"
+        assert len(path) > secret_scan.BODY
+        got = _span_scores(net, f"elm see {path}{key(40)} dogwood")
+        # The largest score over all places of the body, as the slow form gives it.
+        text = f"elm see {path}{key(40)} dogwood"
+        (value, score), = ((v, s) for v, s in _span_scores(net, text).items() if v.startswith(path))
+        slow = net.score([secret_scan.window(text, 8, 8 + len(value), at) for at in range(len(value) - secret_scan.BODY + 1)]).max()
+        assert abs(score - slow) < 1e-3
+        found += max(s for v, s in got.items() if v.startswith(path)) >= net.threshold
+        clean += max(_span_scores(net, f"elm see {path}{words[0]} dogwood").values()) >= net.threshold
+    assert found > 35 and clean < found
+
+
+def test_candidates_reach_down_to_the_rules_length():
+    texts = ["pin a1B2c3 and qWxZkV. End", "key.with.dots9 short abc12", "", "token=abcdef/rest99xyz"]
+    codes, first, _, start, end = secret_scan._block(texts)
+    rows = np.searchsorted(first, start, "right") - 1
+    got = [texts[r][a - first[r] : b - first[r]] for r, a, b in zip(rows, start, end, strict=True)]
+    assert got == ["a1B2c3", "qWxZkV", "key.with.dots9"]
+
+
+def test_short_and_long_spans_score_alike_in_both_forms():
+    net, key, _ = _trained(n=200)
+    for size in (6, 11, 12, 19, 20, 43, 48, 49):
+        body = key(size)
+        text = f"ab {body} cd"
+        assert abs(_span_scores(net, text)[body] - net.score([secret_scan.window(text, 3, 3 + size, at) for at in range(max(1, size - 47))]).max()) < 1e-3
