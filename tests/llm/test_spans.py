@@ -214,3 +214,15 @@ def test_short_and_long_spans_score_alike_in_both_forms():
         body = key(size)
         text = f"ab {body} cd"
         assert abs(_span_scores(net, text)[body] - net.score([secret_scan.window(text, 3, 3 + size, at) for at in range(max(1, size - 47))]).max()) < 1e-3
+
+
+def test_threshold_keeps_the_recall_of_findings_that_look_ordinary(monkeypatch):
+    rng = np.random.default_rng(4)
+    labels = np.repeat([1.0, 0.0], 400)
+    raw = rng.normal(0, 1, 800) + 0.7 * labels
+    net = secret_scan.Network(np.zeros(1), np.zeros(1), np.zeros(1), np.zeros(1))
+    monkeypatch.setattr(net, "raw", lambda codes: raw)
+    secret_scan._calibrate(net, np.zeros(800), labels)
+    scores = 1 / (1 + np.exp(-(net.slope * raw + net.offset)))
+    assert (scores[labels > 0] >= net.threshold).mean() >= secret_scan.RECALL
+    assert net.recall >= secret_scan.RECALL and net.threshold < 0.5
