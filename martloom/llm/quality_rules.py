@@ -3,8 +3,8 @@
 Every text is compared with the reference of its language: the histogram of its character classes and the histogram of its
 common words, by Jensen-Shannon distance (base 2, so 0 to 1). References are sums over all documents of a language. Words
 fall into hashed slots; a slot that holds at least ``COMMON`` of a language's words is a common-word bin, all others form
-one further bin, so a reference has at most 1 / COMMON + 1 bins. Languages beyond the ``LANGUAGES`` with most words, and
-those with few words, use the reference of all languages together.
+one further bin, so a reference has at most 1 / COMMON + 1 bins. Every language has its own reference, whatever their number; texts of a
+language with fewer than ``MIN_REFERENCE_WORDS`` words in all are not judged by distance and have none.
 
 Sampling alone moves the histogram of a short text away from its reference. A distance therefore counts only beyond a
 limit plus a term that falls with the square root of the text's size, and texts below ``MIN_WORDS`` are not judged by it.
@@ -23,6 +23,7 @@ from martloom.llm.common import ALNUM, DARK, Words, map_batches, mix, packed, ru
 
 SLOTS = 1 << 13
 COMMON = 0.002
+# A task sums up so many languages at a time.
 LANGUAGES = 256
 MIN_REFERENCE_WORDS = 1000
 MIN_WORDS = 30
@@ -134,43 +135,44 @@ def _count_histograms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
         yield out()
 
 
-def references(docs: DataFrame) -> dict:
-    """Reference histograms by language: {language: (class shares, bin of each slot, bin shares)}; key ``...`` is all together.
+def references(docs: DataFrame) -> DataFrame:
+    """(language, reference): one row for each language with enough words, as a table that stays on the executors.
 
-    ``docs`` has columns text and lang. The driver receives at most LANGUAGES times 1 / COMMON bins.
+    ``docs`` has columns text and lang. A reference holds counts of at most 1 / COMMON word slots and of the classes.
     """
     counts = stored(
         map_batches(docs, _count_histograms, "lang string, bin bigint, n bigint").groupBy("lang", "bin").agg(F.sum("n").alias("n")),
         "histograms",
     )
     words = F.sum(F.when(F.col("bin") >= 0, F.col("n")).otherwise(0)).alias("words")
-    by_lang = counts.groupBy("lang").agg(words).where(F.col("words") >= MIN_REFERENCE_WORDS)
-    top = by_lang.orderBy(F.desc("words"), "lang").limit(LANGUAGES).collect()
-    # At most LANGUAGES rows.
-    chosen = F.broadcast(counts.sparkSession.createDataFrame([(r["lang"], r["words"]) for r in top], "lang2 string, words bigint"))
+    by_lang = counts.groupBy(F.col("lang").alias("language")).agg(words).where(F.col("words") >= MIN_REFERENCE_WORDS)
     heavy = (F.col("bin") < 0) | (F.col("n") >= COMMON * F.col("words"))
-    rows = counts.join(chosen, counts["lang"].eqNullSafe(F.col("lang2"))).where(heavy).select("lang", "bin", "n", "words").collect()
-    found: dict = {}
-    for r in rows:
-        found.setdefault(r["lang"], []).append((r["bin"], r["n"], r["words"]))
-    together = counts.groupBy("bin").agg(F.sum("n").alias("n"))
-    total = together.where("bin >= 0").agg(F.sum("n")).first()[0] or 0
-    found[...] = [(r["bin"], r["n"], total) for r in together.where((F.col("bin") < 0) | (F.col("n") >= COMMON * total)).collect()]
-    return {lang: _reference(bins) for lang, bins in found.items() if bins}
+    bins = counts.join(by_lang, counts["lang"].eqNullSafe(F.col("language"))).where(heavy)
+    bins = bins.groupBy("language").agg(F.first("words").alias("words"), F.collect_list(F.struct("bin", "n")).alias("bins"))
+    return stored(map_batches(bins, _pack, "language string, reference binary"), "references")
 
 
-def _reference(bins: list[tuple[int, int, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        values = []
+        for words, bins in zip(batch.column("words").to_pylist(), batch.column("bins").to_pylist(), strict=True):
+            values.append(np.array([(-len(CLASSES) - 1, words), *sorted((b["bin"], b["n"]) for b in bins)], np.int64).tobytes())
+        yield pa.RecordBatch.from_arrays([batch.column("language"), pa.array(values, pa.binary())], ["language", "reference"])
+
+
+def _reference(packed_bins: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Class shares, bin of each slot, bin shares."""
+    (_, words), *bins = np.frombuffer(packed_bins, np.int64).reshape(-1, 2).tolist()
     n = len(CLASSES)
     classes = np.zeros(n)
-    common = sorted((b, c) for b, c, _ in bins if b >= 0)
-    for b, c, _ in bins:
+    common = [(b, c) for b, c in bins if b >= 0]
+    for b, c in bins:
         if b < 0:
             classes[b + n] = c
-    words = max(bins[0][2], 1)
     place = np.full(SLOTS, len(common), np.int64)
     for i, (b, _) in enumerate(common):
         place[b] = i
-    shares = np.array([c / words for _, c in common] + [0.0])
+    shares = np.array([c / max(words, 1) for _, c in common] + [0.0])
     shares[-1] = max(0.0, 1 - shares.sum())
     return classes / max(classes.sum(), 1), place, shares
 
@@ -186,20 +188,21 @@ def jensen_shannon(counts: np.ndarray, reference: np.ndarray) -> np.ndarray:
     return np.where(total[:, 0] > 0, np.sqrt(np.clip((a + b) / 2, 0, 1)), 0.0)
 
 
-def _distances(column: pa.Array, langs: list, refs: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Class distance, word distance and number of compared words of each text."""
+def _distances(column: pa.Array, references: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Class distance, word distance and number of compared words of each text; distances are NaN without a reference."""
     words = scan_words(column, ALNUM)
     slot, classes, n = _slots(words), _classes(column), np.diff(words.first)
-    by_class, by_word = np.zeros(len(langs)), np.zeros(len(langs))
-    groups: dict = {}
-    for i, lang in enumerate(langs):
-        groups.setdefault(lang if lang in refs else ..., []).append(i)
-    for lang, members in groups.items():
-        if lang not in refs:
+    by_class, by_word = np.full(len(column), np.nan), np.full(len(column), np.nan)
+    # Equal references stand for one language.
+    codes = references.dictionary_encode(null_encoding="encode")
+    code = codes.indices.to_numpy()
+    for i, packed_bins in enumerate(codes.dictionary.to_pylist()):
+        if packed_bins is None:
             continue
-        shares, place, word_shares = refs[lang]
+        shares, place, word_shares = _reference(packed_bins)
+        members = np.flatnonzero(code == i)
         for low in range(0, len(members), 256):
-            part = np.array(members[low : low + 256])
+            part = members[low : low + 256]
             by_class[part] = jensen_shannon(classes[part], shares)
             local = np.repeat(np.arange(len(part)), n[part])
             picks = np.concatenate([np.arange(words.first[i], words.first[i + 1]) for i in part])
@@ -208,37 +211,36 @@ def _distances(column: pa.Array, langs: list, refs: dict) -> tuple[np.ndarray, n
     return by_class, by_word, n
 
 
-def _judge(shared):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for block in text_blocks(batch, "text"):
-                column = block.column("text")
-                base = base_counts(column)
-                by_class, by_word, n = _distances(column, block.column("lang").to_pylist(), shared.value)
-                root = np.sqrt(np.maximum(n, 1))
-                far = (by_class > CLASS_LIMIT + CLASS_SLACK / root) | (by_word > WORD_LIMIT + WORD_SLACK / root)
-                failed = (base["n_words"] < 10) | (100 * base["n_repeat_words"] > 20 * base["n_words"])
-                kept = ~failed & ~(far & (n >= MIN_WORDS))
-                yield pa.RecordBatch.from_arrays(
-                    [block.column("row"), *(pa.array(v, pa.int64()) for v in base.values()),
-                     pa.array(by_class), pa.array(by_word), pa.array(failed), pa.array(kept)],
-                    ["row", *base, "class_distance", "word_distance", "base_failed", "kept"],
-                )
-
-    return run
+def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for block in text_blocks(batch, "text"):
+            column = block.column("text")
+            base = base_counts(column)
+            by_class, by_word, n = _distances(column, block.column("reference"))
+            root = np.sqrt(np.maximum(n, 1))
+            # Not a number is never beyond a limit.
+            far = (by_class > CLASS_LIMIT + CLASS_SLACK / root) | (by_word > WORD_LIMIT + WORD_SLACK / root)
+            failed = (base["n_words"] < 10) | (100 * base["n_repeat_words"] > 20 * base["n_words"])
+            kept = ~failed & ~(far & (n >= MIN_WORDS))
+            yield pa.RecordBatch.from_arrays(
+                [block.column("row"), *(pa.array(v, pa.int64()) for v in base.values()),
+                 pa.array(by_class, from_pandas=True), pa.array(by_word, from_pandas=True), pa.array(failed), pa.array(kept)],
+                ["row", *base, "class_distance", "word_distance", "base_failed", "kept"],
+            )
 
 
 def judge(docs: DataFrame, text: str = "text", lang: str = "lang", keep: tuple[str, ...] | None = None) -> DataFrame:
     """``row`` (the columns ``keep``, or all, as a struct), the five counts, both distances, ``base_failed`` and ``kept``.
 
-    A NULL text counts as empty: no words, so the base rules fail it. A NULL language is a language of its own. Repeated
+    A NULL text counts as empty: no words, so the base rules fail it. A NULL language is a language of its own. Distances are
+    NULL where the language has too few words for a reference; such texts are judged by the base rules only. Repeated
     rows are judged alike; an empty table gives an empty result.
     """
-    refs = docs.sparkSession.sparkContext.broadcast(
-        references(docs.select(F.col(text).alias("text"), F.col(lang).alias("lang")))
-    )
+    refs = references(docs.select(F.col(f"`{text}`").alias("text"), F.col(f"`{lang}`").alias("lang")))
     given, kind = packed(docs, keep, text=text, lang=lang)
+    # Broadcast or shuffled by the size of the stored references.
+    given = given.join(refs, F.col("lang").eqNullSafe(F.col("language")), "left").select("row", "text", "reference")
     counts = ", ".join(f"{c} bigint" for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"))
     return map_batches(
-        given, _judge(refs), f"row {kind}, {counts}, class_distance double, word_distance double, base_failed boolean, kept boolean"
+        given, _judge, f"row {kind}, {counts}, class_distance double, word_distance double, base_failed boolean, kept boolean"
     )

@@ -68,3 +68,19 @@ def test_distance_is_a_distance():
 
 def test_empty_table(make_docs):
     assert quality_rules.judge(make_docs([(1, "x")]).limit(0)).count() == 0
+
+
+def test_every_language_has_its_own_reference(make_docs):
+    rng = random.Random(9)
+    # The last of 262 languages are smaller, with words and letters of their own.
+    rows = [(i, "\n".join(normal_text(rng, 14) for _ in range(110)), f"l{i}", "web") for i in range(257)]
+    for k in range(257, 262):
+        words = [f"ж{k}щ{j}" for j in range(40)]
+        rows += [(1000 + k * 4 + i, "\n".join(" ".join(rng.choices(words, k=12)) for _ in range(25)), f"l{k}", "web") for i in range(4)]
+    # A language without enough words is not judged by distance.
+    rows += [(9000, " ".join(f"юя{j}" for j in range(200)), "tiny", "web")]
+    got = quality_rules.judge(make_docs(rows)).select("row.doc_id", "row.lang", "class_distance", "base_failed", "kept").collect()
+    assert len(got) == len(rows)
+    assert all(r["kept"] for r in got if not r["base_failed"])
+    assert sum(not r["base_failed"] for r in got if r["doc_id"] >= 1000) == 21
+    assert all((r["class_distance"] is None) == (r["lang"] == "tiny") for r in got)
