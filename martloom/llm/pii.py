@@ -2,10 +2,12 @@
 
 Seeds are the identifiers that fixed rules find: e-mail and IP addresses, payment cards, phone numbers. Each seed induces
 lexical patterns from the words around it. Texts also hold candidates: spans that look like an identifier but that no rule
-accepts. Patterns and the values they occur with form a graph. Scores go to and fro over it: a pattern's score for a kind
-is the smoothed share of that kind among the values it occurs with; a candidate's score is the best score among its patterns,
-for kinds its form allows. After ROUNDS rounds, a candidate in a pattern of high score that enough different seeds
-support becomes a new span. Spans of the rules always stay.
+accepts. Patterns and the values they occur with form a graph. A pattern's score for a kind is the smoothed share of that kind
+among the known values it occurs with: the seeds, and the candidates whose form rules the kind out. Open candidates take the score of
+their pattern, which is where going to and fro between them ends, so their number does not lower it. Candidates in a
+pattern of high score that enough different known values support become known values of that kind themselves, and the
+next round counts them, until a round finds no new one. Each place of a candidate in such a pattern is a new span.
+Spans of the rules always stay.
 """
 
 from __future__ import annotations
@@ -16,8 +18,7 @@ from pyspark.sql import functions as F
 from martloom.llm.common import let, stored
 
 KINDS = ("email", "ip", "card", "phone")
-ROUNDS = 3
-# A pattern counts from so many different seed values on, and from this score.
+# A pattern counts from so many different known values of the kind on, and from this score.
 SUPPORT = 4
 CONFIDENCE = 0.7
 # Weight of the unknown in a pattern's share.
@@ -33,6 +34,7 @@ _OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|[01]?[0-9]?[0-9])"
 _IP_PARTS = rf"^{_OCTET}\.{_OCTET}\.{_OCTET}\.{_OCTET}$"
 # Spans that look like an identifier: a word with @ inside, or digits with at most two separators between them.
 _MAIL_LIKE = r"(?<![^\s<>\"'(),;:=\[\]@])[^\s<>\"'(),;:=\[\]@]++@[^\s<>\"'(),;:=\[\]@]++"
+_IP_FORM = r"^[0-9]+([.:][0-9]+){3,7}$"
 _NUMBER_LIKE = r"(?<![\p{L}0-9_])[+(]?[0-9](?:[\x20.()/:-]{0,2}[0-9])++(?![\p{L}_])"
 
 
@@ -125,7 +127,7 @@ def _forms(value: Column) -> Column:
     n = F.length(_digits(value))
     mail = F.contains(value, F.lit("@"))
     kinds = F.array(
-        F.when(mail, "email"), F.when(~mail & F.rlike(value, F.lit(r"^[0-9]+([.:][0-9]+){3,7}$")), "ip"),
+        F.when(mail, "email"), F.when(~mail & F.rlike(value, F.lit(_IP_FORM)), "ip"),
         F.when(~mail & n.between(12, 19), "card"), F.when(~mail & n.between(7, 15), "phone"),
     )
     return F.filter(kinds, lambda k: k.isNotNull())
@@ -145,7 +147,7 @@ def extract(docs: DataFrame, text: str = "text", id_column: str = "doc_id") -> D
     )
     base = F.concat(*[named(kind, spans) for kind, spans in _base(F.col("text")).items()])
     first = given.select("id", "text", F.xxhash64("text").alias("text_hash"), base.alias("base"))
-    numbers = F.filter(_spans(F.col("text"), _NUMBER_LIKE, F.rlike("text", F.lit(r"[0-9][^\p{L}]{0,2}[0-9]"))), lambda s: F.length(_digits(s["value"])) >= 7)
+    numbers = F.filter(_spans(F.col("text"), _NUMBER_LIKE, F.rlike("text", F.lit(r"[0-9][^\p{L}]{0,2}[0-9]"))), lambda s: (F.length(_digits(s["value"])) >= 7) | F.rlike(s["value"], F.lit(_IP_FORM)))
     mails = _spans(F.col("text"), _MAIL_LIKE, F.contains("text", F.lit("@")))
     free = lambda s: ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
     like = F.transform(
@@ -171,23 +173,36 @@ def _discover(found: DataFrame) -> DataFrame:
     places = seeds.select(*columns, F.lit(True).alias("seed")).union(likes.select(*columns, F.lit(False).alias("seed"))).distinct()
     edges = places.select("value", "kinds", "seed", F.explode("patterns").alias("pattern"))
     edges = stored(edges.groupBy("pattern", "value", "kinds", "seed").agg(F.count("*").cast("double").alias("n")), "graph")
-    # Candidates enter with no score; seeds keep 1 for their kind.
-    values = edges.select("pattern", "value", "seed", "n", F.explode("kinds").alias("kind"))
-    totals = edges.groupBy("pattern").agg(F.sum("n").alias("total"))
-    scores = None
-    for _ in range(ROUNDS):
-        weighted = values.where("seed").withColumn("score", F.lit(1.0))
-        if scores is not None:
-            weighted = weighted.unionByName(values.where("NOT seed").join(scores, ["value", "kind"]))
-        sums = weighted.groupBy("pattern", "kind").agg(
-            F.sum(F.col("n") * F.col("score")).alias("mass"), F.count(F.when(F.col("seed"), 1)).alias("support")
-        )
-        patterns = sums.join(totals, "pattern").select("pattern", "kind", (F.col("mass") / (F.col("total") + _PRIOR)).alias("score"), "support")
-        patterns = stored(patterns.where((F.col("support") >= SUPPORT) & (F.col("score") > 0)), "patterns")
-        scores = values.where("NOT seed").select("pattern", "value", "kind").join(patterns.select("pattern", "kind", "score"), ["pattern", "kind"])
-        scores = stored(scores.groupBy("value", "kind").agg(F.max("score").alias("score")), "scores")
-    # Of a pattern's kinds at most one reaches the confidence, since the scores of a pattern sum up to less than 1.
-    sure = patterns.where(F.col("score") >= CONFIDENCE).select("pattern", "kind", "score")
+    # A value's kinds are those its form allows; for seeds, the kind of their rule.
+    known = edges.where("seed").select("pattern", "value", F.col("kinds")[0].alias("kind"), "n")
+    open_edges = edges.where("NOT seed").select("pattern", "value", "kinds", "n")
+    totals = open_edges.groupBy("pattern").agg(F.sum("n").alias("open"))
+    promoted, count = None, 0
+    while True:
+        labelled, waiting = known, open_edges.select("pattern", F.explode("kinds").alias("kind"), "n")
+        everything = totals
+        if promoted is not None:
+            labelled = labelled.unionByName(open_edges.join(promoted, "value").select("pattern", "value", "kind", "n"))
+            rest = open_edges.join(promoted, "value", "left_anti")
+            waiting, everything = rest.select("pattern", F.explode("kinds").alias("kind"), "n"), rest.groupBy("pattern").agg(F.sum("n").alias("open"))
+        sums = labelled.groupBy("pattern", "kind").agg(F.sum("n").alias("mass"), F.countDistinct("value").alias("support"))
+        all_known = labelled.groupBy("pattern").agg(F.sum("n").alias("known"))
+        allowed = waiting.groupBy("pattern", "kind").agg(F.sum("n").alias("allowed"))
+        patterns = sums.where(F.col("support") >= SUPPORT).join(all_known, "pattern").join(everything, "pattern", "left")
+        patterns = patterns.join(allowed, ["pattern", "kind"], "left")
+        against = F.coalesce("open", F.lit(0.0)) - F.coalesce("allowed", F.lit(0.0))
+        patterns = patterns.select("pattern", "kind", (F.col("mass") / (F.col("known") + against + _PRIOR)).alias("score"))
+        # Of a pattern's kinds at most one reaches the confidence, since the scores of a pattern sum up to less than 1.
+        sure = stored(patterns.where(F.col("score") >= CONFIDENCE), "patterns")
+        reached = open_edges.join(sure, "pattern").where(F.array_contains("kinds", F.col("kind")))
+        reached = reached.groupBy("value").agg(F.max(F.struct("score", "kind"))["kind"].alias("kind"))
+        # What is known stays known, so the rounds come to an end.
+        if promoted is not None:
+            reached = promoted.unionByName(reached.join(promoted, "value", "left_anti"))
+        promoted = stored(reached, "promoted")
+        before, count = count, promoted.count()
+        if count == before:
+            break
     chosen = likes.select("id", "text_hash", "start", "end", "value", "kinds", F.explode("patterns").alias("pattern")).join(sure, "pattern")
     chosen = chosen.where(F.array_contains("kinds", F.col("kind")))
     best = chosen.groupBy("id", "text_hash", "start", "end", "value").agg(F.max(F.struct("score", "kind")).alias("b"))

@@ -226,3 +226,19 @@ def test_threshold_keeps_the_recall_of_findings_that_look_ordinary(monkeypatch):
     scores = 1 / (1 + np.exp(-(net.slope * raw + net.offset)))
     assert (scores[labels > 0] >= net.threshold).mean() >= secret_scan.RECALL
     assert net.recall >= secret_scan.RECALL and net.threshold < 0.5
+
+
+def test_discovered_identifiers_induce_patterns_and_many_candidates_keep_the_score(make_docs):
+    rows = [(i, f"elm please call: +1 (200) 555-{1000 + i} today") for i in range(6)]
+    # Twenty candidates for each seed in a seeded template.
+    rows += [(100 + i, f"elm please call: 555-{2000 + i} today") for i in range(120)]
+    # A template without seeds, reached by numbers that were found above, and other numbers in it.
+    rows += [(300 + i, f"birch office tel. 555-{2000 + i} fir") for i in range(8)] + [(400 + i, f"birch office tel. 555-{7000 + i} fir") for i in range(8)]
+    # Addresses with few digits, out of the rules' range, in a template of addresses.
+    rows += [(500 + i, f"cedar host: 10.0.0.{i} up") for i in range(6)] + [(600, "cedar host: 1.2.3.444 up"), (601, "cedar host: 1:2:3:4 up")]
+    rows += [(700 + i, f"dogwood counted 555-{8000 + i} leaves") for i in range(8)]
+    got = {r["doc_id"]: r["spans"] for r in pii.digest_columns(pii.extract(make_docs(rows))).collect()}
+    assert all(got[100 + i].startswith("phone:17:") for i in range(120))
+    assert all(got[i].startswith("phone:18:") for i in (*range(300, 308), *range(400, 408)))
+    assert got[600].startswith("ip:12:") and got[601].startswith("ip:12:")
+    assert all(got[700 + i] == "" for i in range(8))
