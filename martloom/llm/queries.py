@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import decontaminate, line_dedup, minhash, mixing, pii, quality_rules, secret_scan, token_counts, token_output, toxicity
+from martloom.llm import (
+    centroids, content_sort, decontaminate, line_dedup, merkle, minhash, mixing, pii, quality_rules, secret_scan, token_counts, token_output, toxicity,
+)
 from martloom.llm.common import table
 
 
@@ -68,6 +70,23 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digest_columns(line_dedup.apply_bitmaps(docs, line_dedup.keep_bitmaps(docs)))
 
 
+def op11_shallot_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return centroids.digest_columns(centroids.cluster(vectors, dimensions=64, k=8, rounds=10, seed=3))
+
+
+def op12_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return content_sort.digest_columns(content_sort.exact_duplicates(table(spark, sf_dir, "documents")))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    # Where 7 divides the id's checksum, a proof is tried on a row with one character more than it had.
+    tampered = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0, F.lit(False))
+    longer = F.when(tampered, F.col("n_chars") + 1).otherwise(F.col("n_chars"))
+    return merkle.digest_columns(merkle.manifest(docs, changed={"n_chars": longer}))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_contextual_pii": op1_contextual_pii,
     "op2_decontaminate": op2_decontaminate,
@@ -79,4 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_minhash": op8_minhash,
     "op9_token_files": op9_token_files,
     "op10_line_dedup": op10_line_dedup,
+    "op11_shallot_clusters": op11_shallot_clusters,
+    "op12_content_sort": op12_content_sort,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
