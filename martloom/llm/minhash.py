@@ -9,8 +9,10 @@
 3. Bands of the signature are buckets, and the least digest of a bucket is its hub. Each text is first verified
    against one of its hubs, by the overlap of the whole multisets; verified links are joined into components. Then it is
    verified against those of its hubs that are still in another component. No bucket is expanded into pairs, none is capped.
-4. Buckets that still hold several components go to an exact step: their texts outside the bucket's main component are
-   compared with the texts of other components, inside the join on the bucket; only pairs that are similar come out of it.
+4. Where a large bucket still holds several components, its texts are put in random orders and neighbours of different
+   components are verified, as long as that finds links: what is dense grows together in a few passes over linear work.
+5. What is still apart is joined exactly: two multisets at the similarity share one of the tokens that come first in each by
+   rarity, and enough tokens can follow in both; such pairs of different components are verified.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from martloom.llm.common import map_batches, mix, runs_of_words, scan_words, stored, text_blocks
@@ -31,6 +33,9 @@ SIMILARITY = 0.8
 BANDS, BAND_ROWS = 32, 5
 COMPONENTS = BANDS * BAND_ROWS
 _SLACK = 3.0
+# Buckets of more texts are put in random orders first, so many a pass and so many rows a piece.
+LARGE, ORDERS, PIECE = 32, 2, 20_000
+_SLOTS = 1 << 16
 # The points of a block are several times its text.
 _BLOCK_BYTES = 1 << 19
 
@@ -217,16 +222,39 @@ def _links(pairs: DataFrame, runs: DataFrame, least: float) -> DataFrame:
     return map_batches(joined.select("u", "v", "ru", "rv"), _verify(least), "u binary, v binary")
 
 
-def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Every occurrence of a run as a 32-bit number: the size of an intersection is the overlap of the multisets."""
+def occurrences(packed: bytes) -> np.ndarray:
+    """Every occurrence of a run as a 64-bit number: the overlap of two multisets is that of these sets."""
+    value, weight = unpack(packed)
+    occurrence = np.arange(int(weight.sum())) - np.repeat(np.cumsum(weight) - weight, weight)
+    return mix(np.repeat(value, weight) + mix(occurrence.astype(np.uint64)))
+
+
+def _slot_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    counts = np.zeros(_SLOTS, np.int64)
     for batch in batches:
-        out = []
         for packed in batch.column("runs"):
-            value, weight = unpack(packed.as_py())
-            occurrence = np.arange(int(weight.sum())) - np.repeat(np.cumsum(weight) - weight, weight)
-            token = mix(np.repeat(value, weight) + mix(occurrence.astype(np.uint64)))
-            out.append((token >> np.uint64(32)).astype(np.uint32).view(np.int32))
-        yield pa.RecordBatch.from_arrays([batch.column("digest"), pa.array(out, pa.list_(pa.int32()))], ["digest", "tokens"])
+            counts += np.bincount((occurrences(packed.as_py()) % np.uint64(_SLOTS)).astype(np.int64), minlength=_SLOTS)
+    filled = np.flatnonzero(counts)
+    yield pa.RecordBatch.from_arrays([pa.array(filled, pa.int64()), pa.array(counts[filled], pa.int64())], ["slot", "n"])
+
+
+def _first_tokens(common: np.ndarray, least: float):
+    """The tokens of a text that must hold one of its shared ones: by rarity, as many as can all be missing, and one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for digest, part, packed in zip(*[batch.column(c) for c in ("digest", "part", "runs")], strict=True):
+                token = occurrences(packed.as_py())
+                order = np.lexsort((token, common[(token % np.uint64(_SLOTS)).astype(np.int64)]))
+                size = len(token)
+                n = size - int(np.ceil(least * size - 1e-9)) + 1
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(token[order[:n]].view(np.int64)), pa.array([digest.as_py()] * n, pa.binary()), pa.array([part.as_py()] * n, pa.binary()),
+                     pa.array(np.arange(n), pa.int64()), pa.array([size] * n, pa.int64())],
+                    ["token", "digest", "part", "place", "size"],
+                )
+
+    return run
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "text", least: float = SIMILARITY) -> DataFrame:
@@ -254,15 +282,23 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     runs = stored(_fetch_runs(buckets.select("digest").distinct(), docs, texts), "runs")
     pairs = stored(stars.groupBy("digest").agg(F.min("hub").alias("u")).select("u", F.col("digest").alias("v")), "pairs")
     parts = trees(_links(pairs, runs, least))
-    # Then the hubs that are still in another component, and last what the buckets hold beyond their hubs.
-    for step in (_other_hubs, _cross_pairs):
-        more = step(stars, parts) if step is _other_hubs else step(buckets, parts, runs, least)
-        more = stored(more.join(pairs, ["u", "v"], "left_anti"), "pairs")
-        if not more.isEmpty():
-            pairs = pairs.union(more)
-            links = stored(_links(more, runs, least), "links")
-            if not links.isEmpty():
-                parts = components(links.union(parts.select(F.col("node").alias("u"), F.col("component").alias("v"))))
+    # Then the hubs that are still in another component.
+    more = stored(_other_hubs(stars, parts).join(pairs, ["u", "v"], "left_anti"), "pairs")
+    if not more.isEmpty():
+        links = stored(_links(more, runs, least), "links")
+        if not links.isEmpty():
+            parts = components(links.union(parts.select(F.col("node").alias("u"), F.col("component").alias("v"))))
+    # Last what the buckets hold beyond their hubs.
+    mixed = stored(_mixed(buckets, parts), "mixed")
+    if not mixed.isEmpty():
+        held = stored(runs.join(mixed.select("digest").distinct(), "digest", "left_semi"), "held")
+        parts = stored(parts.union(held.select("digest", F.col("digest").alias("component")).join(parts, F.col("digest") == F.col("node"), "left_anti")), "parts")
+        turn = 0
+        while (grown := _grown(parts, _links(_chance_pairs(mixed, turn), held, least))) is not None:
+            parts, turn = grown, turn + 1
+            mixed = stored(_mixed(buckets, parts), "mixed")
+        grown = _grown(parts, _links(_rare_pairs(mixed, held, least), held, least))
+        parts = parts if grown is None else grown
     named = texts.join(parts, texts["digest"] == parts["node"], "left")
     named = named.select("digest", "id", F.coalesce("component", "digest").alias("component"))
     least_id = named.groupBy("component").agg(F.min("id").alias("class_id"))
@@ -284,33 +320,66 @@ def _other_hubs(stars: DataFrame, parts: DataFrame) -> DataFrame:
     return pairs.where(F.coalesce("pu", "u") != F.coalesce("pv", "v")).select("u", "v")
 
 
-def _cross_pairs(buckets: DataFrame, parts: DataFrame, runs: DataFrame, least: float) -> DataFrame:
-    """Pairs of one bucket and different components that are similar enough, up to chance hits of 32-bit numbers.
-
-    Of each bucket, the component with most texts is the main one; a pair needs at least one text outside it. The overlap
-    is computed inside the join on the bucket, so pairs that are not similar are never written anywhere.
-    """
+def _mixed(buckets: DataFrame, parts: DataFrame) -> DataFrame:
+    """(key, digest, part, n) of the buckets that hold several components; those of two texts are done, their pair was verified."""
     placed = buckets.join(parts, buckets["digest"] == parts["node"], "left")
     placed = placed.select("key", "digest", F.coalesce("component", "digest").alias("part"))
-    sizes = placed.groupBy("key", "part").agg(F.count("*").alias("n"))
-    # The buckets of two texts are done: their only pair has been verified.
-    mixed = sizes.groupBy("key").agg(F.max(F.struct("n", "part")).alias("main"), F.count("*").alias("parts"), F.sum("n").alias("all"))
-    mixed = mixed.where((F.col("parts") > 1) & (F.col("all") > 2)).select("key", F.col("main.part").alias("main"))
-    placed = stored(placed.join(mixed, "key"), "mixed")
-    held = runs.join(placed.select("digest").distinct(), "digest", "left_semi")
-    placed = placed.join(map_batches(held, _tokens, "digest binary, tokens array<int>"), "digest").withColumn("size", F.size("tokens"))
-    names = ("digest", "part", "tokens", "size")
-    left = placed.where(F.col("part") != F.col("main")).select("key", *[F.col(c).alias(c + "1") for c in names])
-    right = placed.select("key", *[F.col(c).alias(c + "2") for c in names], "main")
+    several = placed.groupBy("key").agg(F.min("part").alias("a"), F.max("part").alias("b"), F.count("*").alias("n"))
+    return placed.join(several.where((F.col("a") != F.col("b")) & (F.col("n") > 2)).select("key", "n"), "key")
+
+
+def _chance_pairs(mixed: DataFrame, turn: int) -> DataFrame:
+    """Neighbours of different components in random orders of each large bucket, which is cut into pieces at random, too."""
+    orders = F.explode(F.array(*[F.lit(turn * ORDERS + i) for i in range(ORDERS)]))
+    rows = mixed.where(F.col("n") > LARGE).withColumn("turn", orders)
+    piece = F.pmod(F.xxhash64("digest", "turn", F.lit("piece")), F.ceil(F.col("n") / PIECE))
+    order = Window.partitionBy("key", "turn", "piece").orderBy(F.xxhash64("turn", "digest"), "digest")
+    rows = rows.withColumn("piece", piece).select("digest", "part", F.lag("digest").over(order).alias("hub"), F.lag("part").over(order).alias("other"))
+    return _ordered(rows.where(F.col("part") != F.col("other")))
+
+
+def _rare_pairs(mixed: DataFrame, held: DataFrame, least: float) -> DataFrame:
+    """Pairs of texts in different components that can be similar: they share a first token and can share enough after it.
+
+    Rarity is counted in hashed slots; any order that is the same for all texts loses no pair, this one makes few. Of each
+    token, the component with most texts is only ever the second side.
+    """
+    placed = mixed.select("digest", "part").distinct()
+    texts = held.join(placed, "digest")
+    common = np.zeros(_SLOTS, np.int64)
+    # One number per slot.
+    for row in map_batches(texts.select("runs"), _slot_counts, "slot bigint, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).collect():
+        common[row["slot"]] = row["n"]
+    rows = stored(map_batches(texts, _first_tokens(common, least), "token bigint, digest binary, part binary, place bigint, size bigint"), "tokens")
+    sizes = rows.groupBy("token", "part").agg(F.count("*").alias("n"))
+    shared = sizes.groupBy("token").agg(F.max(F.struct("n", "part"))["part"].alias("main"), F.count("*").alias("parts")).where("parts > 1")
+    rows = rows.join(shared.select("token", "main"), "token")
+    names = ("digest", "part", "place", "size")
+    left = rows.where(F.col("part") != F.col("main")).select("token", *[F.col(c).alias(c + "1") for c in names])
+    right = rows.select(F.col("token").alias("token2"), *[F.col(c).alias(c + "2") for c in names], "main")
     # Two texts outside the main component meet once.
     once = (F.col("part2") == F.col("main")) | (F.col("part1") < F.col("part2"))
     sized = (F.col("size1") >= least * F.col("size2")) & (F.col("size2") >= least * F.col("size1"))
-    shared = F.size(F.array_intersect("tokens1", "tokens2"))
-    near = shared * (1 + least) >= least * (F.col("size1") + F.col("size2")) - 1e-6
-    pairs = left.join(right, (left["key"] == right["key"]) & (F.col("part1") != F.col("part2")) & once & sized & near)
+    follow = F.least(F.col("size1") - F.col("place1"), F.col("size2") - F.col("place2"))
+    enough = follow * (1 + least) >= least * (F.col("size1") + F.col("size2")) - 1e-6
+    pairs = left.join(right, (F.col("token") == F.col("token2")) & (F.col("part1") != F.col("part2")) & once & sized & enough)
     return _ordered(pairs.select(F.col("digest1").alias("digest"), F.col("digest2").alias("hub")))
 
 
+def _grown(parts: DataFrame, links: DataFrame) -> DataFrame | None:
+    """The components after these links join them, or None if there is no link."""
+    links = stored(links, "links")
+    if links.isEmpty():
+        return None
+    edges = links
+    for end, part in (("u", "pu"), ("v", "pv")):
+        edges = edges.join(parts.select(F.col("node").alias(end), F.col("component").alias(part)), end)
+    merged = components(edges.select(F.col("pu").alias("u"), F.col("pv").alias("v")))
+    merged = merged.select(F.col("node").alias("old"), F.col("component").alias("new"))
+    moved = parts.join(merged, parts["component"] == merged["old"], "left")
+    return stored(moved.select("node", F.coalesce("new", "component").alias("component")), "parts")
+
+
 def _digest_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for block in text_blocks(batch, "text", _BLOCK_BYTES):

@@ -143,6 +143,12 @@ def test_one_of_each_class_stays(make_docs, near):
     assert kept.dtypes == docs.dtypes
     rows = kept.collect()
     assert len(rows) == len({(r["class_id"], r["digest"] is None) for r in classes})
+    # The one that stays is the least of its class; a class without any id has one row, too.
+    least = {}
+    for r in classes:
+        key = (r["class_id"], r["digest"] is None)
+        least[key] = min((i for i in (least.get(key), r["id"]) if i is not None), default=None)
+    assert sorted([r["doc_id"] for r in rows], key=repr) == sorted(least.values(), key=repr)
     assert minhash.keep_one(docs.limit(0)).count() == 0
 
 
@@ -162,3 +168,72 @@ def test_pairs_beyond_the_hubs_are_found(spark):
                 union.join(i, j)
     got = {r["id"]: r["class_id"] for r in minhash.near_duplicates(docs).collect()}
     assert got == {i: union.find(i) for i in range(len(texts))}
+
+
+def classes_by_brute_force(texts):
+    union, sets = Union(), [multiset(t) for t in texts]
+    holders = {}
+    for i, runs in enumerate(sets):
+        union.find(i)
+        shared = Counter()
+        for run, n in runs.items():
+            for j, m in holders.get(run, ()):
+                shared[j] += min(n, m)
+            holders.setdefault(run, []).append((i, n))
+        for j, overlap in shared.items():
+            if overlap >= 0.8 * (sum(runs.values()) + sum(sets[j].values()) - overlap):
+                union.join(i, j)
+    return {i: union.find(i) for i in range(len(texts))}
+
+
+@pytest.fixture(scope="module")
+def crowd():
+    """1,000 texts around one, half of whose pairs are similar and half are not, and 200 that share most buckets but are apart."""
+    rng = random.Random(8)
+    base = [f"b{i}" for i in range(150)]
+    texts = []
+    for i in range(1200):
+        words = list(base)
+        for j in rng.sample(range(150), rng.randint(1, 4) if i < 1000 else 9):
+            words[j] = f"x{i}x{j}"
+        texts.append(" ".join(words))
+    rng.shuffle(texts)
+    return texts
+
+
+def test_a_large_bucket_of_texts_around_the_similarity(spark, crowd):
+    docs = spark.createDataFrame(list(enumerate(crowd)), "doc_id bigint, text string").repartition(8)
+    expected = classes_by_brute_force(crowd)
+    assert len(set(expected.values())) > 20
+    assert {r["id"]: r["class_id"] for r in minhash.near_duplicates(docs).collect()} == expected
+
+
+def test_pairs_sent_to_the_exact_step_stay_linear(spark, crowd, monkeypatch):
+    seen = []
+    plain = minhash._links
+
+    def counted(pairs, runs, least):
+        seen.append(pairs.count())
+        return plain(pairs, runs, least)
+
+    monkeypatch.setattr(minhash, "_links", counted)
+    for n in (300, 1200):
+        seen.append(None)
+        minhash.near_duplicates(spark.createDataFrame(list(enumerate(crowd[:n])), "doc_id bigint, text string").repartition(8)).count()
+    small, large = seen[1 : seen.index(None, 1)], seen[seen.index(None, 1) + 1 :]
+    # A pass looks at two orders of at most 32 buckets a text; pairs do not grow with the square.
+    assert max(large) <= 2 * 32 * 1200 and sum(large) <= 8 * sum(small)
+
+
+def test_the_exact_step_alone_loses_nothing(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "LARGE", 10**9)
+    rng = random.Random(21)
+    base = [f"b{i}" for i in range(80)]
+    texts = []
+    for i in range(150):
+        words = list(base) + ["same same same"] * rng.randint(0, 3)
+        for j in rng.sample(range(80), rng.randint(1, 4)):
+            words[j] = f"x{i}x{j}"
+        texts.append(" ".join(words))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(4)
+    assert {r["id"]: r["class_id"] for r in minhash.near_duplicates(docs).collect()} == classes_by_brute_force(texts)
