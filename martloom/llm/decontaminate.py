@@ -5,8 +5,9 @@ with fewer words the whole item. Windows of equal length form one search: a tabl
 far the search may shift without passing an occurrence; where it says 0, the windows whose last two words have the block's
 hash are candidates, and their text is compared directly. Many stretches of text are searched side by side.
 
-The benchmark is cut into parts of at most ``part_bytes`` text. Each part is a bounded broadcast, and one pass over the
-documents applies the parts one after the other.
+Spark cuts the benchmark into windows and deals them by a hash of window and item into parts of about ``part_bytes``, stored in the
+shared folder. A part's search tables are a bounded broadcast. One part is one pass over the documents; with several, each
+pass stores the hits of its part, its broadcast is destroyed before the next one, and the hits meet their texts at the end.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martloom.llm.common import Words, map_batches, mix, packed, scan_words, text_blocks
+from martloom.llm.common import Words, map_batches, mix, packed, scan_words, stored, text_blocks
 
 WINDOW = 13
 # Hit share from which a document is contaminated: 1 word in 20.
@@ -111,18 +112,22 @@ def _joined(words: Words) -> tuple[bytes, np.ndarray, np.ndarray]:
     return plain.tobytes(), begin, end
 
 
-def benchmark_windows(items: list[tuple[str | None, str]], window: int = WINDOW) -> list[WuManber]:
-    """One search per window length. Items are (id, text); a text without words has no window."""
+def item_windows(item: str | None, text: str, window: int = WINDOW) -> list[tuple[int, bytes, str | None]]:
+    """(words, window's words joined by spaces, item) of all windows of an item; none for a text without words."""
+    words = scan_words(pa.array([text], pa.large_string()))
+    tokens = [words.data[a:b].tobytes() for a, b in zip(words.start, words.end, strict=True)]
+    length = min(window, len(tokens))
+    return [(length, b" ".join(tokens[at : at + length]), item) for at in range(len(tokens) - length + 1 if tokens else 0)]
+
+
+def searches_of(windows: list[tuple[int, bytes, str | None]]) -> list[WuManber]:
+    """One search per window length."""
     by_length: dict[int, dict[bytes, list]] = defaultdict(lambda: defaultdict(list))
-    for item, text in items:
-        words = scan_words(pa.array([text], pa.large_string()))
-        tokens = [words.data[a:b].tobytes() for a, b in zip(words.start, words.end, strict=True)]
-        length = min(window, len(tokens))
-        for at in range(len(tokens) - length + 1 if tokens else 0):
-            ids = by_length[length][b" ".join(tokens[at : at + length])]
-            if item not in ids[-1:]:
-                ids.append(item)
-    return [WuManber(length, dict(windows)) for length, windows in sorted(by_length.items())]
+    for length, text, item in windows:
+        ids = by_length[length][text]
+        if item not in ids:
+            ids.append(item)
+    return [WuManber(length, dict(found)) for length, found in sorted(by_length.items())]
 
 
 def find_hits(column: pa.Array, searches: list[WuManber]) -> tuple[np.ndarray, list[list[dict]]]:
@@ -161,43 +166,81 @@ _HITS = pa.list_(pa.struct([("item", pa.string()), ("from", pa.int64()), ("until
 _HITS_DDL = "array<struct<item: string, `from`: bigint, until: bigint>>"
 
 
-def _search_part(tables: Broadcast, last: bool):
-    """Adds the part's hits to those of earlier parts; the last part sums up."""
+def _windows(window: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for item, text in zip(batch.column("item").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                rows = item_windows(item, text, window)
+                for low in range(0, len(rows), 1 << 12):
+                    length, words, items = zip(*rows[low : low + (1 << 12)], strict=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(length, pa.int32()), pa.array(words, pa.binary()), pa.array(items, pa.string())], ["length", "words", "item"])
+
+    return run
+
+
+def _summed(n_words: np.ndarray, hits: list[list[dict]]) -> tuple[pa.Array, pa.Array, pa.Array]:
+    """Words, hit words and sorted item ids of each row."""
+    ids = [sorted({h["item"] for h in found} - {None}) for found in hits]
+    n_hit = [covered(n, h) for n, h in zip(n_words, hits, strict=True)]
+    return pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), pa.array(ids, pa.list_(pa.string()))
+
 
+def _one_pass(tables: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block in text_blocks(batch, "text"):
                 n_words, hits = find_hits(block.column("text"), tables.value)
-                if "hits" in block.schema.names:
-                    hits = [a + b for a, b in zip(block.column("hits").to_pylist(), hits, strict=True)]
-                columns = [block.column("row"), block.column("text"), pa.array(hits, _HITS)]
-                names = ["row", "text", "hits"]
-                if last:
-                    n_hit = [covered(n, h) for n, h in zip(n_words, hits, strict=True)]
-                    ids = [sorted({h["item"] for h in found} - {None}) for found in hits]
-                    columns[1:2] = [pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), pa.array(ids, pa.list_(pa.string()))]
-                    names[1:2] = ["n_words", "n_hit", "item_ids"]
-                yield pa.RecordBatch.from_arrays(columns, names)
+                columns = [block.column("row"), *_summed(n_words, hits), pa.array(hits, _HITS)]
+                yield pa.RecordBatch.from_arrays(columns, ["row", "n_words", "n_hit", "item_ids", "hits"])
 
     return run
 
 
-def _parts(benchmark: DataFrame, item_id: str, text: str, part_bytes: int) -> Iterator[list[tuple]]:
-    """The benchmark in parts of bounded size, streamed through the driver one after the other; at least one part."""
-    part, size = [], 0
-    rows = benchmark.select(F.col(item_id).cast("string"), F.col(text)).where(F.col(text).isNotNull())
-    for item, content in rows.toLocalIterator():
-        if size + len(content) > part_bytes and part:
-            yield part
-            part, size = [], 0
-        part.append((item, content))
-        size += len(content)
-    yield part
+def _part_hits(tables: Broadcast):
+    """The hits of one part, of texts that have any."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block in text_blocks(batch, "text"):
+                _, hits = find_hits(block.column("text"), tables.value)
+                at = [i for i, found in enumerate(hits) if found]
+                if at:
+                    yield pa.RecordBatch.from_arrays([block.column("name").take(pa.array(at)), pa.array([hits[i] for i in at], _HITS)], ["name", "hits"])
+
+    return run
+
+
+def _merged(hits: list[dict]) -> list[dict]:
+    """The stretches of each item, with those that touch made one: windows of an item can be in several parts."""
+    out: list[dict] = []
+    for hit in sorted(hits, key=lambda h: (h["item"] is not None, h["item"] or "", h["from"])):
+        if out and out[-1]["item"] == hit["item"] and hit["from"] <= out[-1]["until"]:
+            out[-1]["until"] = max(out[-1]["until"], hit["until"])
+        else:
+            out.append(dict(hit))
+    return out
+
+
+def _all_hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for block in text_blocks(batch, "text"):
+            hits = [_merged(found or []) for found in block.column("hits").to_pylist()]
+            n_words = np.diff(scan_words(block.column("text")).first)
+            yield pa.RecordBatch.from_arrays([block.column("row"), *_summed(n_words, hits), pa.array(hits, _HITS)], ["row", "n_words", "n_hit", "item_ids", "hits"])
+
+
+def _stored_windows(benchmark: DataFrame, item_id: str, text: str, window: int, part_bytes: int) -> tuple[DataFrame, int]:
+    """(length, words, item, part) of the whole benchmark, each once, and the number of parts."""
+    given = benchmark.select(F.col(item_id).cast("string").alias("item"), F.col(text).alias("text")).where(F.col(text).isNotNull())
+    rows = stored(map_batches(given, _windows(window), "length int, words binary, item string").distinct(), "windows")
+    size = rows.agg(F.sum(F.octet_length("words") + F.coalesce(F.octet_length("item"), F.lit(0)) + 64)).first()[0] or 0
+    parts = max(1, -(-size // part_bytes))
+    return rows.withColumn("part", F.pmod(F.xxhash64("words", "item"), F.lit(parts))), parts
 
 
 def find_overlaps(
     docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text",
-    window: int = WINDOW, part_bytes: int = 8 << 20, keep: tuple[str, ...] | None = None,
+    window: int = WINDOW, part_bytes: int = 32 << 20, keep: tuple[str, ...] | None = None,
 ) -> DataFrame:
     """``row`` (the columns ``keep``, or all, as a struct), ``n_words``, ``n_hit``, ``item_ids`` (sorted strings), ``hits`` (word ranges
     by item), ``contaminated``.
@@ -207,16 +250,32 @@ def find_overlaps(
     ``item_ids``; repeated items count once. Repeated documents are judged row by row.
     """
     sc = docs.sparkSession.sparkContext
+    windows, parts = _stored_windows(benchmark, item_id, item_text, window, part_bytes)
+
+    def tables(part: int) -> Broadcast:
+        # A part is bounded by ``part_bytes``.
+        rows = windows.where(F.col("part") == part).select("length", "words", "item").collect()
+        return sc.broadcast(searches_of([(r["length"], bytes(r["words"]), r["item"]) for r in rows]))
+
     df, row = packed(docs, keep, text=text)
-    parts = _parts(benchmark, item_id, item_text, part_bytes)
-    part = next(parts)
-    while part is not None:
-        after = next(parts, None)
-        tables = sc.broadcast(benchmark_windows(part, window))
-        columns = "text string" if after is not None else "n_words bigint, n_hit bigint, item_ids array<string>"
-        df = map_batches(df, _search_part(tables, after is None), f"row {row}, {columns}, hits {_HITS_DDL}")
-        part = after
-    return df.withColumn("contaminated", (F.col("n_hit") > 0) & (SHARE * F.col("n_hit") >= F.col("n_words")))
+    out = f"row {row}, n_words bigint, n_hit bigint, item_ids array<string>, hits {_HITS_DDL}"
+    if parts == 1:
+        found = map_batches(df, _one_pass(tables(0)), out)
+    else:
+        # Two hashes name a text; copies share their hits.
+        whole = F.coalesce("text", F.lit(""))
+        named = df.withColumn("name", F.struct(F.xxhash64(whole).alias("a"), F.xxhash64(F.lit("text"), whole).alias("b")))
+        every = None
+        for part in range(parts):
+            shared = tables(part)
+            some = stored(map_batches(named.select("name", "text"), _part_hits(shared), f"name struct<a: bigint, b: bigint>, hits {_HITS_DDL}"), "part-hits")
+            shared.destroy()
+            every = some if every is None else every.union(some)
+        once = every.distinct().groupBy("name").agg(F.flatten(F.collect_list("hits")).alias("hits"))
+        once = once.select(F.col("name.a").alias("a"), F.col("name.b").alias("b"), "hits")
+        met = named.join(once, (F.col("name.a") == F.col("a")) & (F.col("name.b") == F.col("b")), "left")
+        found = map_batches(met.select("row", "text", "hits"), _all_hits, out)
+    return found.withColumn("contaminated", (F.col("n_hit") > 0) & (SHARE * F.col("n_hit") >= F.col("n_words")))
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

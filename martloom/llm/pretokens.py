@@ -58,9 +58,15 @@ class Pieces(dict):
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.flat, self.sizes = array("I"), array("I")
 
+    def _model_tokens(self, pretoken: str) -> list:
+        return self.library.model.tokenize("".join([_BYTES[b] for b in pretoken.encode("utf-8")]))
+
+    def size(self, pretoken: str) -> int:
+        """The number of pieces; nothing is remembered."""
+        return len(self._model_tokens(pretoken))
+
     def __missing__(self, pretoken: str) -> int:
-        name = "".join([_BYTES[b] for b in pretoken.encode("utf-8")])
-        ids = [t.id for t in self.library.model.tokenize(name)]
+        ids = [t.id for t in self._model_tokens(pretoken)]
         self.flat.extend(ids)
         self.sizes.append(len(ids))
         self[pretoken] = number = len(self.sizes) - 1

@@ -11,6 +11,7 @@ one costs more than their share says.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -109,10 +110,13 @@ def training_sample(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLA
     usable = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic"))
     usable = usable.where(F.col("toxic").isin(0, 1) & (F.crc32(F.col("doc_id").cast("string").cast("binary")) % FOLDS != 0))
     share = usable.agg(F.avg("toxic")).first()[0]
-    distinct = usable.distinct().orderBy(F.xxhash64("doc_id"), "doc_id")
-    # At most two times per_class ids.
+    # An id with both labels counts as toxic.
+    distinct = usable.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id")
+    # At most two times per_class ids, and one text of each, whatever rows share an id.
     chosen = distinct.where("toxic = 0").limit(per_class).union(distinct.where("toxic = 1").limit(per_class))
-    return stored(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"), "toxic-sample"), share or 0.0
+    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    one = F.min_by(F.struct("text"), F.struct(F.xxhash64("text"), "text"))["text"].alias("text")
+    return stored(texts.groupBy("doc_id", "toxic").agg(one).select("doc_id", "text", "toxic"), "toxic-sample"), share or 0.0
 
 
 def fit(sample: DataFrame, share: float) -> Model:
@@ -147,9 +151,19 @@ def fit(sample: DataFrame, share: float) -> Model:
     w, bias = _logistic(np.concatenate(at).astype(np.int64), item, ratio[picked], label, weight, 0.0)
     weights = np.zeros(FEATURES, np.float32)
     weights[picked] = w * ratio[picked]
+    _give_back_memory()
     return Model(weights, bias)
 
 
+def _give_back_memory() -> None:
+    """The driver goes on with other stages: what the fit has used returns to the system where that can be asked for."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass
+
+
 def _logistic(at, item, ratio, label, weight, bias) -> tuple[np.ndarray, float]:
     """Weighted logistic regression on the scaled features, by Adam over all rows."""
     values = ratio[at]

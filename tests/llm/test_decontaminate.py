@@ -53,13 +53,46 @@ def case(messy):
     return docs, items
 
 
-@pytest.mark.parametrize("part_bytes", [8 << 20, 40])
-def test_equals_brute_force_with_one_and_many_parts(spark, make_docs, case, part_bytes):
+@pytest.fixture
+def broadcasts(spark, monkeypatch):
+    """How many broadcasts of search tables were alive whenever one was made."""
+    alive, seen = [], []
+    make, destroy = type(spark.sparkContext).broadcast, decontaminate.Broadcast.destroy
+
+    def made(self, value):
+        found = make(self, value)
+        if isinstance(value, list) and all(isinstance(v, decontaminate.WuManber) for v in value):
+            alive.append(found)
+            seen.append(len(alive))
+        return found
+
+    def destroyed(self, *a):
+        alive[:] = [b for b in alive if b is not self]
+        return destroy(self, *a)
+
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", made)
+    monkeypatch.setattr(decontaminate.Broadcast, "destroy", destroyed)
+    return seen
+
+
+@pytest.mark.parametrize("part_bytes, parts", [(8 << 20, 1), (900, 10)])
+def test_equals_brute_force_with_one_and_many_parts(spark, make_docs, case, broadcasts, part_bytes, parts):
     docs, items = case
     benchmark = spark.createDataFrame(items, "item_id bigint, text string")
     found = decontaminate.find_overlaps(make_docs(docs), benchmark, part_bytes=part_bytes)
     got = sorted([tuple(r) for r in decontaminate.digest_columns(found).collect()], key=repr)
     assert got == brute_force(docs, items)
+    assert set(broadcasts) == {1} and (len(broadcasts) >= parts if parts > 1 else len(broadcasts) == 1)
+
+
+def test_hits_are_the_same_for_any_number_of_parts(spark, make_docs, case):
+    docs, items = case
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    listed = []
+    for part_bytes in (8 << 20, 4000):
+        rows = decontaminate.find_overlaps(make_docs(docs), benchmark, part_bytes=part_bytes).select("row.doc_id", "row.text", "hits").collect()
+        listed.append(sorted([(r[0], r[1], sorted(map(repr, r["hits"]))) for r in rows], key=repr))
+    assert listed[0] == listed[1]
 
 
 def test_dropping_keeps_columns_and_clean_rows(spark, make_docs, case):

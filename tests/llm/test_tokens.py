@@ -30,7 +30,6 @@ def library_ids(text):
 
 def test_ids_and_counts_of_odd_texts_equal_the_library():
     column = pa.array([*ODD, None])
-    assert token_counts.count_block(column, PIECES).tolist() == [len(library_ids(t)) for t in [*ODD, None]]
     ids, sizes = token_output.block_ids(column, PIECES, 1)
     assert ids.tolist() == [i for t in [*ODD, None] for i in [*library_ids(t), 1]]
     assert sizes.tolist() == [len(library_ids(t)) + 1 for t in [*ODD, None]]
@@ -49,12 +48,32 @@ def test_a_full_cache_starts_anew(monkeypatch):
         small = pretokens.Pieces(file.read())
     column = pa.array(["one two three four five six one two"] * 3)
     for _ in range(3):
-        assert token_counts.count_block(column, small).tolist() == [len(library_ids(column[0].as_py()))] * 3
+        assert token_output.block_ids(column, small, 1)[1].tolist() == [len(library_ids(column[0].as_py())) + 1] * 3
         assert len(small) == 6
-    assert token_counts.count_block(pa.array(["seven"]), small).tolist() == [len(library_ids("seven"))]
+    assert token_output.block_ids(pa.array(["seven"]), small, 1)[1].tolist() == [len(library_ids("seven")) + 1]
     assert len(small) == 1
 
 
+@pytest.mark.parametrize("frequent", [0, 5, 1 << 17])
+def test_counts_equal_the_library_wherever_a_pretoken_is_joined(make_docs, messy, monkeypatch, frequent):
+    monkeypatch.setattr(token_counts, "_HELD", 7)
+    rng = random.Random(2)
+    rows = [*messy, *[(1000 + i, t) for i, t in enumerate(ODD)], *[(1000 + i, t) for i, t in enumerate(ODD)]]
+    rows += [(2000 + i, " ".join(rng.choices(["the", "of", "unlikely", "zyxwvutsrq", "é漢", "12"], k=rng.randint(0, 50)))) for i in range(60)]
+    got = token_counts.count_tokens(make_docs(rows), PATH, limit=20, frequent=frequent).collect()
+    expected = [(d, len((t or "").encode()), len(library_ids(t)), len(library_ids(t)) > 20) for d, t, *_ in rows]
+    assert sorted([(r["row"]["doc_id"], r["n_bytes"], r["n_tokens"], r["over_limit"]) for r in got], key=repr) == sorted(expected, key=repr)
+
+
+def test_a_pretoken_is_in_the_table_once_with_its_occurrences(spark, make_docs):
+    with open(PATH, encoding="utf-8") as file:
+        tokenizer = spark.sparkContext.broadcast(file.read())
+    docs = make_docs([(i, "Hello hello world" if i % 2 else "unbelievable") for i in range(20)]).repartition(5)
+    rows = token_counts.pretoken_table(docs, tokenizer).collect()
+    assert {r["pretoken"]: r["n"] for r in rows} == {"hello": 20, "world": 10, "unbelievable": 10}
+    assert {r["pretoken"]: r["pieces"] for r in rows} == {t: len(library_ids(t)) for t in ("hello", "world", "unbelievable")}
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.integers(0, 2**32 - 1), st.integers(0, 700), st.integers(1, 60000), st.integers(1, 90))
 def test_coder_round_trip(seed, n, kinds, block):
