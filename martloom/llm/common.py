@@ -8,7 +8,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from martloom.session import scratch_path
@@ -29,6 +29,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stored_with(df: DataFrame, name: str, *measures: Column) -> tuple[DataFrame, dict]:
+    """``stored``, and sums over the rows that are taken while they are written; ``rows`` is always among them."""
+    seen = Observation()
+    kept = stored(df.observe(seen, F.count(F.lit(1)).alias("rows"), *measures), name)
+    return kept, seen.get
+
+
 ROW_GROUP_BYTES = 16 << 20
 # Bytes that Spark hands to a Python worker at a time, so that neither side holds a large batch of long texts.
 BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
@@ -106,7 +113,7 @@ def _powers(base: int, n: int) -> np.ndarray:
 _POWER_TABLES: dict[str, np.ndarray] = {}
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+def power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_POWER_TABLES.get("up", ())) < n:
         size = max(n, BLOCK_BYTES + 1)
         _POWER_TABLES.update(up=_powers(_STEP, size), down=_powers(_STEP_INVERSE, size))
@@ -129,7 +136,7 @@ class Words:
 
     def hashes(self) -> np.ndarray:
         """A 64-bit value for each word, equal for equal words in every block and process."""
-        up, down = _power_tables(len(self.data) + 1)
+        up, down = power_tables(len(self.data) + 1)
         sums = np.zeros(len(self.data) + 1, np.uint64)
         np.cumsum(_BYTE_CODES[self.data] * up[: len(self.data)], out=sums[1:])
         return mix((sums[self.end] - sums[self.start]) * down[self.start])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martloom.llm.common import stored
+from martloom.llm.common import stored, stored_with
 
 
 def _with_least(arcs: DataFrame) -> DataFrame:
@@ -33,8 +33,9 @@ def trees(links: DataFrame) -> DataFrame:
     while True:
         above = steps.select(F.col("node").alias("parent"), F.col("parent").alias("above"))
         moved = steps.select("node", "parent").join(above, "parent", "left")
-        steps = stored(moved.select("node", F.coalesce("above", "parent").alias("parent"), F.col("above").isNotNull().alias("moved")), "trees")
-        if steps.where("moved").isEmpty():
+        moved = moved.select("node", F.coalesce("above", "parent").alias("parent"), F.col("above").isNotNull().alias("moved"))
+        steps, seen = stored_with(moved, "trees", F.count_if("moved").alias("moved"))
+        if not seen["moved"]:
             break
     roots = steps.select(F.col("parent").alias("node"), F.col("parent").alias("component")).distinct()
     return steps.select("node", F.col("parent").alias("component")).union(roots)
@@ -44,9 +45,9 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, component) for all nodes of the edges (u, v); the component is its least node. Loops and repeats are harmless."""
     edges = stored(edges.select("u", "v").where(F.col("u") != F.col("v")).distinct(), "edges")
     before = None
+    total = F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("total")
     while True:
-        edges = stored(_small_star(_large_star(edges)), "edges")
-        state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        edges, state = stored_with(_small_star(_large_star(edges)), "edges", total)
         if state == before:
             break
         before = state

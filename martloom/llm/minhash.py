@@ -10,7 +10,8 @@
    against one of its hubs, by the overlap of the whole multisets; verified links are joined into components. Then it is
    verified against those of its hubs that are still in another component. No bucket is expanded into pairs, none is capped.
 4. Where a large bucket still holds several components, its texts are put in random orders and neighbours of different
-   components are verified, as long as that finds links: what is dense grows together in a few passes over linear work.
+   components are verified, as long as a pass joins a good part of the components: what is dense grows together in a few
+   passes over linear work, and only what has few partners in its buckets is left.
 5. What is still apart is joined exactly: two multisets at the similarity share one of the tokens that come first in each by
    rarity, and enough tokens can follow in both; such pairs of different components are verified.
 """
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from martloom.llm.common import map_batches, mix, runs_of_words, scan_words, stored, text_blocks
+from martloom.llm.common import map_batches, mix, runs_of_words, scan_words, stored, stored_with, text_blocks
 from martloom.llm.graph import components, trees
 
 RUN = 5
@@ -33,8 +34,10 @@ SIMILARITY = 0.8
 BANDS, BAND_ROWS = 32, 5
 COMPONENTS = BANDS * BAND_ROWS
 _SLACK = 3.0
-# Buckets of more texts are put in random orders first, so many a pass and so many rows a piece.
-LARGE, ORDERS, PIECE = 32, 2, 20_000
+# Buckets of more texts are put in random orders first, in pieces of about so many rows.
+LARGE, PIECE = 64, 20_000
+# Passes go on while one joins more than this part of the texts in such buckets to another component.
+PROGRESS = 200
 _SLOTS = 1 << 16
 # The points of a block are several times its text.
 _BLOCK_BYTES = 1 << 19
@@ -283,22 +286,23 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     pairs = stored(stars.groupBy("digest").agg(F.min("hub").alias("u")).select("u", F.col("digest").alias("v")), "pairs")
     parts = trees(_links(pairs, runs, least))
     # Then the hubs that are still in another component.
-    more = stored(_other_hubs(stars, parts).join(pairs, ["u", "v"], "left_anti"), "pairs")
-    if not more.isEmpty():
-        links = stored(_links(more, runs, least), "links")
-        if not links.isEmpty():
+    more, seen = stored_with(_other_hubs(stars, parts).join(pairs, ["u", "v"], "left_anti"), "pairs")
+    if seen["rows"]:
+        links, seen = stored_with(_links(more, runs, least), "links")
+        if seen["rows"]:
             parts = components(links.union(parts.select(F.col("node").alias("u"), F.col("component").alias("v"))))
     # Last what the buckets hold beyond their hubs.
-    mixed = stored(_mixed(buckets, parts), "mixed")
-    if not mixed.isEmpty():
-        held = stored(runs.join(mixed.select("digest").distinct(), "digest", "left_semi"), "held")
+    mixed, seen = stored_with(_mixed(buckets, parts), "mixed", F.count_if(F.col("n") > LARGE).alias("large"))
+    if seen["rows"]:
+        held, whole = stored_with(runs.join(mixed.select("digest").distinct(), "digest", "left_semi"), "held")
         parts = stored(parts.union(held.select("digest", F.col("digest").alias("component")).join(parts, F.col("digest") == F.col("node"), "left_anti")), "parts")
-        turn = 0
-        while (grown := _grown(parts, _links(_chance_pairs(mixed, turn), held, least))) is not None:
-            parts, turn = grown, turn + 1
-            mixed = stored(_mixed(buckets, parts), "mixed")
-        grown = _grown(parts, _links(_rare_pairs(mixed, held, least), held, least))
-        parts = parts if grown is None else grown
+        turn, found = 0, whole["rows"] if seen["large"] else 0
+        while found * PROGRESS > whole["rows"]:
+            parts, found = _grown(parts, _links(_chance_pairs(mixed, turn), held, least))
+            turn += 1
+            if found:
+                mixed = stored(_mixed(buckets, parts), "mixed")
+        parts, _ = _grown(parts, _links(_rare_pairs(mixed, held, least), held, least))
     named = texts.join(parts, texts["digest"] == parts["node"], "left")
     named = named.select("digest", "id", F.coalesce("component", "digest").alias("component"))
     least_id = named.groupBy("component").agg(F.min("id").alias("class_id"))
@@ -321,19 +325,25 @@ def _other_hubs(stars: DataFrame, parts: DataFrame) -> DataFrame:
 
 
 def _mixed(buckets: DataFrame, parts: DataFrame) -> DataFrame:
-    """(key, digest, part, n) of the buckets that hold several components; those of two texts are done, their pair was verified."""
+    """(key, digest, part, n, main, most) of the buckets that hold several components: their texts in all, their largest component
+    and its texts. Buckets of two texts are done, their pair was verified."""
     placed = buckets.join(parts, buckets["digest"] == parts["node"], "left")
     placed = placed.select("key", "digest", F.coalesce("component", "digest").alias("part"))
-    several = placed.groupBy("key").agg(F.min("part").alias("a"), F.max("part").alias("b"), F.count("*").alias("n"))
-    return placed.join(several.where((F.col("a") != F.col("b")) & (F.col("n") > 2)).select("key", "n"), "key")
+    sizes = placed.groupBy("key", "part").agg(F.count("*").alias("most"))
+    largest = sizes.groupBy("key").agg(F.max(F.struct("most", "part")).alias("m"), F.count("*").alias("parts"), F.sum("most").alias("n"))
+    largest = largest.where((F.col("parts") > 1) & (F.col("n") > 2)).select("key", "n", F.col("m.part").alias("main"), F.col("m.most").alias("most"))
+    return placed.join(largest, "key")
 
 
 def _chance_pairs(mixed: DataFrame, turn: int) -> DataFrame:
-    """Neighbours of different components in random orders of each large bucket, which is cut into pieces at random, too."""
-    orders = F.explode(F.array(*[F.lit(turn * ORDERS + i) for i in range(ORDERS)]))
-    rows = mixed.where(F.col("n") > LARGE).withColumn("turn", orders)
-    piece = F.pmod(F.xxhash64("digest", "turn", F.lit("piece")), F.ceil(F.col("n") / PIECE))
-    order = Window.partitionBy("key", "turn", "piece").orderBy(F.xxhash64("turn", "digest"), "digest")
+    """Neighbours of different components in a random order of each large bucket, which is cut into pieces at random, too.
+
+    Of a bucket's largest component about as many texts take part, at random, as there are others: these need partners.
+    """
+    chance = F.pmod(F.xxhash64(F.lit(turn), "digest"), F.lit(1 << 20)) / (1 << 20)
+    rows = mixed.where((F.col("n") > LARGE) & ((F.col("part") != F.col("main")) | (chance * F.col("most") < F.col("n") - F.col("most"))))
+    piece = F.pmod(F.xxhash64("digest", F.lit(turn), F.lit("piece")), F.ceil(F.col("n") / PIECE))
+    order = Window.partitionBy("key", "piece").orderBy(F.xxhash64(F.lit(turn), F.lit("order"), "digest"), "digest")
     rows = rows.withColumn("piece", piece).select("digest", "part", F.lag("digest").over(order).alias("hub"), F.lag("part").over(order).alias("other"))
     return _ordered(rows.where(F.col("part") != F.col("other")))
 
@@ -366,18 +376,22 @@ def _rare_pairs(mixed: DataFrame, held: DataFrame, least: float) -> DataFrame:
     return _ordered(pairs.select(F.col("digest1").alias("digest"), F.col("digest2").alias("hub")))
 
 
-def _grown(parts: DataFrame, links: DataFrame) -> DataFrame | None:
-    """The components after these links join them, or None if there is no link."""
-    links = stored(links, "links")
-    if links.isEmpty():
-        return None
+def _grown(parts: DataFrame, links: DataFrame) -> tuple[DataFrame, int]:
+    """The components after these links join them, and how many components have become part of another."""
+    links, seen = stored_with(links, "links")
+    if not seen["rows"]:
+        return parts, 0
     edges = links
     for end, part in (("u", "pu"), ("v", "pv")):
         edges = edges.join(parts.select(F.col("node").alias(end), F.col("component").alias(part)), end)
     merged = components(edges.select(F.col("pu").alias("u"), F.col("pv").alias("v")))
     merged = merged.select(F.col("node").alias("old"), F.col("component").alias("new"))
     moved = parts.join(merged, parts["component"] == merged["old"], "left")
-    return stored(moved.select("node", F.coalesce("new", "component").alias("component")), "parts")
+    moved = moved.select("node", F.coalesce("new", "component").alias("component"), "old", "new")
+    # A component is named by one of its nodes.
+    joined = F.count_if((F.col("node") == F.col("old")) & (F.col("old") != F.col("new"))).alias("joined")
+    grown, seen = stored_with(moved, "parts", joined)
+    return grown.select("node", "component"), seen["joined"]
 
 
 def _digest_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -221,8 +221,8 @@ def test_pairs_sent_to_the_exact_step_stay_linear(spark, crowd, monkeypatch):
         seen.append(None)
         minhash.near_duplicates(spark.createDataFrame(list(enumerate(crowd[:n])), "doc_id bigint, text string").repartition(8)).count()
     small, large = seen[1 : seen.index(None, 1)], seen[seen.index(None, 1) + 1 :]
-    # A pass looks at two orders of at most 32 buckets a text; pairs do not grow with the square.
-    assert max(large) <= 2 * 32 * 1200 and sum(large) <= 8 * sum(small)
+    # A pass looks at one order of at most 32 buckets a text; pairs do not grow with the square.
+    assert max(large) <= 32 * 1200 and sum(large) <= 8 * sum(small)
 
 
 def test_the_exact_step_alone_loses_nothing(spark, monkeypatch):
