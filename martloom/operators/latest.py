@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], newest: Sequence[str]) -> DataFrame:
@@ -19,30 +19,43 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], newest: Sequence[str]) ->
     return df.groupBy(*keys).agg(best).select(*keys, "_best.*").select(*df.columns)
 
 
-# Ids per piece of a day; bounds the rows that are sorted together.
-_TIE_RANGE = 1 << 20
+def _piece(value: Column, cuts: Sequence[int], first: int = 0) -> Column:
+    """How many of the ascending cuts lie below the value, by halving."""
+    if not cuts:
+        return F.lit(first)
+    middle = len(cuts) // 2
+    return F.when(value > cuts[middle], _piece(value, cuts[middle + 1 :], first + middle + 1)).otherwise(_piece(value, cuts[:middle], first))
 
 
-def position_in_group(df: DataFrame, group: Sequence[str], day: str, tie: str, name: str) -> DataFrame:
+def position_in_group(df: DataFrame, group: Sequence[str], day: str, tie: str, name: str, pieces: int | None = None) -> DataFrame:
     """1-based position of each row in its group by (``day`` ascending with NULL last, ``tie``), a unique number.
 
-    Rows are numbered inside (group, day, range of ``tie``) and shifted by the group's row count of earlier pieces, so
-    neither a huge group nor a huge day of a group is sorted in one task: a piece has at most as many rows as its range
-    has numbers. The count table has one row per piece. The key is a struct because structs compare NULL fields as
-    equal: rows with a NULL group form one group, as in a window.
+    Rows are numbered inside (group, day, piece) and shifted by the group's rows before that. Pieces are ranges of ``tie``
+    between sampled quantiles, so a day of any number of rows falls into pieces of about equal size whatever the ids look
+    like. The shift is a prefix sum in two levels: over the pieces of a day, and over the days of a group. So no task holds
+    more than a piece of rows, a day's pieces or a group's days, however large the group is. Keys are structs because structs
+    compare NULL fields as equal: rows with a NULL group form one group, as in a window.
     """
-    df = df.withColumn("_range", F.floor(F.col(tie) / F.lit(_TIE_RANGE)))
-    spot = F.struct(*group, day, "_range")
-    per_spot = df.groupBy(*group, day, "_range").agg(F.count(F.lit(1)).alias("_rows"))
-    earlier = (
-        Window.partitionBy(*group).orderBy(F.col(day).asc_nulls_last(), F.col("_range"))
+    pieces = pieces or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shares = [i / pieces for i in range(1, pieces)]
+    # At most one number per piece.
+    cuts = sorted(set(df.agg(F.percentile_approx(tie, shares)).first()[0] or ())) if shares else []
+    df = df.withColumn("_day", F.struct(*group, day)).withColumn("_piece", _piece(F.col(tie), cuts))
+    per_piece = df.groupBy("_day", "_piece").agg(F.count(F.lit(1)).alias("_rows"))
+    per_day = per_piece.groupBy("_day").agg(F.sum("_rows").alias("_rows"))
+    days = (
+        Window.partitionBy(*[F.col(f"_day.{c}") for c in group]).orderBy(F.col(f"_day.{day}").asc_nulls_last())
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    shift = per_spot.select(spot.alias("_spot"), F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_shift"))
-    within = Window.partitionBy("_spot").orderBy(F.col(tie))
+    before = Window.partitionBy("_day").orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    day_shift = per_day.select("_day", F.coalesce(F.sum("_rows").over(days), F.lit(0)).alias("_days"))
+    shift = (
+        per_piece.select("_day", "_piece", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_pieces"))
+        .join(day_shift, "_day").select("_day", "_piece", (F.col("_pieces") + F.col("_days")).alias("_shift"))
+    )
+    within = Window.partitionBy("_day", "_piece").orderBy(F.col(tie))
     return (
-        df.withColumn("_spot", spot)
-        .join(shift, "_spot")
+        df.join(shift, ["_day", "_piece"])
         .withColumn(name, (F.row_number().over(within) + F.col("_shift")).cast("int"))
-        .drop("_spot", "_shift", "_range")
+        .drop("_day", "_piece", "_shift")
     )

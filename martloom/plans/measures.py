@@ -11,8 +11,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 from martloom import schemas
 from martloom.functions.money import is_income, or_zero, sum_where
 from martloom.functions.text import field_label, try_decimal
+from martloom.operators.distinct import sums_with_distinct
 from martloom.operators.eav import eav_pivot
 from martloom.operators.latest import latest_per_key
+from martloom.operators.reduce import only_with
 from martloom.operators.star import Lookup, star_lookup
 from martloom.plans.dims import Sources, account_lookups, active, of_tenants
 from martloom.settings import MartSettings
@@ -54,14 +56,19 @@ def posted_invoices(src: Sources, settings: MartSettings) -> DataFrame:
     )
 
 
-def _per_invoice(df: DataFrame, *sums: Column) -> DataFrame:
-    grouped = df.groupBy(*INVOICE_KEY).agg(*sums)
+def _named(grouped: DataFrame) -> DataFrame:
     return grouped.withColumnsRenamed({"invoice_id": "InvoiceId", "_tenant_id": "TenantId"})
 
 
-def _count_ids(settings: MartSettings, column: str = "id") -> Column:
-    """Number of distinct ids; a plain count where the ids are known to be unique."""
-    return F.count(column) if settings.line_ids_unique else F.countDistinct(column)
+def _per_invoice(df: DataFrame, *sums: Column) -> DataFrame:
+    return _named(df.groupBy(*INVOICE_KEY).agg(*sums))
+
+
+def _per_invoice_counted(df: DataFrame, ids: DataFrame, settings: MartSettings, name: str, *sums: Column) -> DataFrame:
+    """Sums and the number of distinct ids; a plain count where the ids are known to be unique."""
+    if settings.line_ids_unique:
+        return _per_invoice(df, *sums, F.count("id").alias(name))
+    return _named(sums_with_distinct(df, INVOICE_KEY, "id", name, *sums, ids=ids))
 
 
 # ---- P12 ----------------------------------------------------------------------------------------------------------
@@ -108,16 +115,14 @@ def employee_commission_rates(src: Sources, settings: MartSettings) -> DataFrame
 # ---- P13 ----------------------------------------------------------------------------------------------------------
 def invoice_revenue(src: Sources, settings: MartSettings) -> DataFrame:
     """Total and income revenue and line count; an invoice without lines gets zeros."""
+    items = of_tenants(src["invoiceitem"], settings).filter(active())
     lines = star_lookup(
-        of_tenants(src["invoiceitem"], settings).filter(active())
-        .select("id", *INVOICE_KEY, "total", "generalledgeraccount_id"),
-        account_lookups(src, "generalledgeraccount_id"),
+        items.select("id", *INVOICE_KEY, "total", "generalledgeraccount_id"), account_lookups(src, "generalledgeraccount_id")
     )
-    sums = _per_invoice(
-        lines,
+    sums = _per_invoice_counted(
+        lines, items, settings, "LineItemCount",
         F.sum("total").alias("TotalRevenue"),
         sum_where(is_income(F.col("type_name")), F.col("total")).alias("IncomeRevenue"),
-        _count_ids(settings).alias("LineItemCount"),
     )
     rows = posted_invoices(src, settings).join(sums, ["InvoiceId", "TenantId"], "left")
     return _conform(
@@ -185,18 +190,17 @@ def invoice_po_costs(src: Sources, settings: MartSettings) -> DataFrame:
 
     bills = per_order("inventorybill", F.sum("total").alias("billed"))
     shipped = per_order("inventoryshipment", F.lit(True).alias("shipped"), F.col("bill_id").isNotNull())
+    placed = of_tenants(src["purchaseorder"], settings).filter(active())
     orders = (
-        of_tenants(src["purchaseorder"], settings).filter(active())
-        .select(*key, "invoice_id", "amount", "modifiedon")
+        placed.select(*key, "invoice_id", "amount", "modifiedon")
         .join(shipped, key, "left")
         .join(bills, key, "left")
     )
-    sums = _per_invoice(
-        orders,
+    sums = _per_invoice_counted(
+        orders, placed, settings, "POCount",
         F.max("modifiedon").alias("LastPOModifiedOn"),
         or_zero(F.sum(F.when(F.col("shipped").isNull(), F.col("amount")))).alias("POUnbilledCost"),
         or_zero(F.sum("billed")).alias("POBilledCost"),
-        _count_ids(settings).alias("POCount"),
     ).withColumn("TotalPOCost", F.col("POUnbilledCost") + F.col("POBilledCost"))
     return _conform(posted_invoices(src, settings).join(sums, ["InvoiceId", "TenantId"]), "mat_invoice_pocosts")
 
@@ -333,21 +337,24 @@ def agreement_costs(src: Sources, settings: MartSettings) -> DataFrame:
     """Labor, burden, material and equipment cost of an agreement's visit jobs.
 
     Pay and lines are summed per job first and then attached to the visits: one row per job and side, so neither
-    multiplies the other, and a job with very many lines stays one row.
+    multiplies the other, and a job with very many lines stays one row. Where visit jobs are few, only their pay and lines are
+    summed.
     """
+    visits = visit_jobs(src, settings)
     in_period = F.col("invoicedon").cast("date").between(settings.period_start, settings.period_end)
     invoices = of_tenants(src["invoice"], settings).filter(active())
     pay = pay_lines(src, settings).filter("job_id IS NOT NULL")
     if settings.filter_costs_by_period:
         invoices = invoices.filter(in_period)
         pay = pay.join(invoices.select(F.col("id").alias("invoice_id"), "_tenant_id"), INVOICE_KEY, "left_semi")
-    pay_of_job = pay.groupBy(*JOB_KEY).agg(
+    invoices = only_with(invoices, visits, JOB_KEY)
+    pay_of_job = only_with(pay, visits, JOB_KEY).groupBy(*JOB_KEY).agg(
         F.sum("amount").alias("LaborCost"), F.sum(or_zero(F.col("burdencostamount"))).alias("BurdenCost")
     )
     kind, cost = F.col("skureference_skutype"), F.col("totalcost")
+    lines = only_with(of_tenants(src["invoiceitem"], settings).filter(active()), invoices.withColumnRenamed("id", "invoice_id"), INVOICE_KEY)
     cost_of_invoice = (
-        of_tenants(src["invoiceitem"], settings).filter(active())
-        .groupBy(*INVOICE_KEY)
+        lines.groupBy(*INVOICE_KEY)
         .agg(sum_where(kind == MATERIAL, cost).alias("m"), sum_where(kind == EQUIPMENT, cost).alias("e"))
     )
     cost_of_job = (
@@ -357,7 +364,7 @@ def agreement_costs(src: Sources, settings: MartSettings) -> DataFrame:
         .agg(F.sum("m").alias("MaterialCost"), F.sum("e").alias("EquipmentCost"))
     )
     return (
-        visit_jobs(src, settings)
+        visits
         .join(pay_of_job, JOB_KEY, "left")
         .join(cost_of_job, JOB_KEY, "left")
         .groupBy("id", "_tenant_id")

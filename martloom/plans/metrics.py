@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -11,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from martloom import schemas
 from martloom.plans import report
 from martloom.plans.facts import Mart
+from martloom.settings import MartSettings
 
 RESULT = "name string, category string, value decimal(20,2), count bigint"
 
@@ -100,10 +102,13 @@ def metrics_long(views: Mapping[str, DataFrame], metrics: Iterable[Metric] = DEF
     return reduce(DataFrame.unionByName, [view_metrics(views[name], group) for name, group in by_view.items()])
 
 
-def sql_metric(spark: SparkSession, definition: Mapping[str, str]) -> DataFrame:
-    """A metric given as SQL over the registered views; its query returns metric_value and metric_count."""
+def sql_metric(spark: SparkSession, definition: Mapping[str, str], args: Mapping[str, object] | None = None) -> DataFrame:
+    """A metric given as SQL over the registered views; its query returns metric_value and metric_count.
+
+    ``args`` are bound to the query's named parameters as values, never as text.
+    """
     zero = F.lit(0)
-    return spark.sql(definition["query"]).select(
+    return spark.sql(definition["query"], args=dict(args or {})).select(
         F.lit(definition["name"]).alias("name"),
         F.lit(definition.get("category", "general")).alias("category"),
         F.coalesce("metric_value", zero).cast("decimal(20,2)").alias("value"),
@@ -111,23 +116,71 @@ def sql_metric(spark: SparkSession, definition: Mapping[str, str]) -> DataFrame:
     )
 
 
-def load_metric_file(path: str) -> dict:
-    """A YAML file with ``version``, ``run_date``, ``description``, ``parameters``, ``metrics``, ``comparison``."""
+@dataclass(frozen=True)
+class MetricFile:
+    """One run as a file describes it."""
+
+    version: str
+    run_date: date
+    description: str
+    settings: MartSettings
+    args: Mapping[str, object]
+    metrics: tuple[Mapping[str, str], ...]
+    tolerance: float
+
+
+def load_metric_file(path: str, settings: MartSettings) -> MetricFile:
+    """Read a YAML file with ``version``, ``run_date``, ``description``, ``parameters``, ``metrics`` and ``comparison``.
+
+    The window, tenants and optional filters replace those of ``settings`` (F4, F10: a filter whose flag is 0 is none), and are
+    what queries can name. A version is a text, whatever it looks like.
+    """
     import yaml
 
     with open(path) as handle:
-        return yaml.safe_load(handle)
+        found = yaml.safe_load(handle)
+    given = found.get("parameters") or {}
+
+    def day(name: str, otherwise: date) -> date:
+        return date.fromisoformat(str(given[name])) if name in given else otherwise
+
+    def filtered(flag: str, values: str) -> tuple[int, ...]:
+        return tuple(given.get(values) or ()) if given.get(flag) else ()
+
+    settings = settings.with_(
+        from_date=day("from_date", settings.from_date), to_date=day("to_date", settings.to_date),
+        tenant_ids=tuple(given.get("tenant_ids", settings.tenant_ids)),
+        employee_ids=filtered("employee_id_specified", "employee_ids"), status_filter=filtered("filter_status_specified", "filter_status"),
+    )
+
+    def numbers(values: Sequence[int]):
+        return F.array(*[F.lit(v).cast("bigint") for v in values]).cast("array<bigint>")
+
+    args = {
+        "from_date": settings.from_date, "to_date": settings.to_date, "tenant_ids": numbers(settings.tenant_ids),
+        "employee_id_specified": int(bool(settings.employee_ids)), "employee_ids": numbers(settings.employee_ids),
+        "filter_status_specified": int(bool(settings.status_filter)), "filter_status": numbers(settings.status_filter),
+    }
+    tolerance = (found.get("comparison") or {}).get("tolerance_pct", 0.01)
+    return MetricFile(
+        str(found["version"]), date.fromisoformat(str(found["run_date"])), found.get("description", ""), settings, args,
+        tuple(found.get("metrics") or ()), float(tolerance),
+    )
 
 
-def run_metrics(frames: Mapping[str, DataFrame], spark: SparkSession) -> tuple[DataFrame, dict[str, str]]:
+def run_metrics(frames: Mapping[str, DataFrame], spark: SparkSession, single: bool = False) -> tuple[DataFrame, dict[str, str]]:
     """Run each frame of metrics on its own, so that one failing query leaves the others' results.
 
-    Only the metric rows themselves (a handful per frame) come to the driver. Returns results and errors by frame name.
+    Only the metric rows themselves (a handful per frame) come to the driver; with ``single``, for queries that users write,
+    at most two of a frame, and two are an error. Returns results and errors by frame name.
     """
     rows, errors = [], {}
     for name, frame in frames.items():
         try:
-            rows.extend(frame.collect())
+            found = frame.limit(2).collect() if single else frame.collect()
+            if single and len(found) != 1:
+                raise ValueError(f"{'no row' if not found else 'more than one row'}; a metric is one row")
+            rows.extend(found)
         except Exception as error:  # noqa: BLE001 - reported to the caller
             errors[name] = str(error)
     return spark.createDataFrame(rows, RESULT), errors

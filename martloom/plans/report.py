@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from martloom import schemas
 from martloom.functions.money import or_zero, percent_of, tiered_commission
 from martloom.functions.text import agreement_link, invoice_link
 from martloom.operators.listagg import Listed, listagg_distinct
@@ -12,25 +13,10 @@ from martloom.plans.facts import Mart
 from martloom.plans.measures import POSTED
 from martloom.settings import MartSettings
 
+REPORT_COLUMNS = schemas.REPORT_COLUMNS
 _AGREEMENT = ["ServiceAgreementId", "TenantId"]
 _PERCENTS = ("JobCommissionPct", "SAYear1CommissionPct", "SAYear2CommissionPct", "SAYear3PlusCommissionPct")
 
-# Report columns in order, with their types. The union's two sides must agree on them.
-REPORT_COLUMNS: dict[str, str] = {
-    "JobId": "bigint", "TransactionNumber": "string", "BusinessUnit": "string", "JobType": "string",
-    "JobSummary": "string", "JobCustomer": "string", "JobCustomerId": "bigint", "JobLocation": "string",
-    "JobLocationId": "bigint", "JobRevenue": "decimal(20,2)", "JobCost": "decimal(20,2)", "JobMargin": "decimal(20,2)",
-    "JobCommission": "decimal(10,2)", "InvoiceId": "string", "InvoiceNumber": "string", "ServiceAgreementId": "bigint",
-    "ServiceAgreementTemplateType": "string", "ServiceAgreementStartDate": "date",
-    "ServiceAgreementCustomer": "string", "ServiceAgreementCustomerId": "bigint", "ServiceAgreementLocation": "string",
-    "ServiceAgreementLocationId": "bigint", "CostFromJobs": "decimal(20,2)",
-    "ServiceAgreementRevenue": "decimal(20,2)", "ServiceAgreementRenewalYear": "int",
-    "ServiceAgreementCommission": "decimal(10,2)", "ServiceAgreementMargin": "decimal(20,2)", "LinkPath": "string",
-    "EmployeeName": "string", "EmployeeType": "string", "EmployeeId": "bigint",
-    "CommissionTypeEmployee": "decimal(10,2)", "JobCommission%Employee": "decimal(10,4)",
-    "SAYear1Commission%Employee": "decimal(10,4)", "SAYear2Commission%Employee": "decimal(10,4)",
-    "SAYear3+Commission%Employee": "decimal(10,4)",
-}
 _RATE_OUTPUTS = dict(zip(_PERCENTS, list(REPORT_COLUMNS)[-4:]))
 
 

@@ -36,6 +36,11 @@ class MartSettings:
     line_ids_unique: bool = False
     # Lay the invoice facts out by date, so that a report over a date window reads only the files of that window.
     cluster_facts: bool = True
+    # 'enforce': a load that breaks its table's contract fails and leaves the table as it was; 'record': its findings are
+    # only kept; 'off': nothing is checked.
+    gates: str = "enforce"
+    # Share of a fact's rows whose lookup may find no member; None: such rows are counted, whatever their number.
+    unresolved_share: float | None = None
     calendar_start: date = date(2020, 1, 1)
     calendar_end: date = date(2030, 12, 31)
     fiscal_start_month: int = 1
@@ -47,6 +52,8 @@ class MartSettings:
     def __post_init__(self) -> None:
         if self.labor_fanout not in ("preaggregate", "reference"):
             raise ValueError(f"labor_fanout: {self.labor_fanout!r}")
+        if self.gates not in ("enforce", "record", "off"):
+            raise ValueError(f"gates: {self.gates!r}")
         if self.multi_salesperson not in ("first", "duplicate"):
             raise ValueError(f"multi_salesperson: {self.multi_salesperson!r}")
 

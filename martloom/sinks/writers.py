@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from martloom import schemas
+from martloom.sinks.versions import Accept, VersionedTable
+
+
+# How many tasks share the rows of a month.
+FILES_A_MONTH = 8
 
 
 def with_audit(df: DataFrame, at: datetime | None = None) -> DataFrame:
@@ -17,75 +21,73 @@ def with_audit(df: DataFrame, at: datetime | None = None) -> DataFrame:
     return df.withColumn("LoadDateTime", now).withColumn("UpdatedDateTime", now)
 
 
-def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
-    """Count rows while they are written, so that the run log needs no second pass."""
-    seen = Observation()
-    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
+def write_full(df: DataFrame, path: str, *observed, accept: Accept | None = None) -> int:
+    """K1: replace the table; returns the number of rows written.
 
+    Readers see the old table until all rows are stored and ``accept`` has let them pass. What loads that ended early have
+    left, and versions that nobody reads any more, are removed first. A load may read the table that it replaces.
+    """
+    table = VersionedTable(df.sparkSession, path)
+    table.sweep()
+    return table.replace(df, *observed, accept=accept)
 
-def _files(spark: SparkSession, path: str):
-    """The store of a path, and how to name paths in it."""
-    jvm = spark.sparkContext._jvm
-    at = jvm.org.apache.hadoop.fs.Path
-    return at(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
 
+def replace_run(df: DataFrame, path: str, run: Mapping[str, object]) -> int:
+    """Store the rows of one run, named by the columns and values ``run``; the same run again replaces them, also by nothing."""
+    table = VersionedTable(df.sparkSession, path)
+    table.sweep()
+    return table.replace_parts(df, list(run), [tuple(run.values())])
 
-def write_full(df: DataFrame, path: str) -> int:
-    """K1: replace the table; returns the number of rows written.
 
-    The rows are written beside the table first and take its place when they are complete: a load that fails leaves the
-    table as it was, and a load may read the table that it replaces.
-    """
-    spark, run = df.sparkSession, uuid.uuid4().hex
-    staged, before = f"{path}__new-{run}", f"{path}__old-{run}"
-    df, seen = _counted(df)
-    df.write.parquet(staged)
-    store, at = _files(spark, path)
-    replaces = store.exists(at(path))
-    if replaces and not store.rename(at(path), at(before)):
-        raise OSError(f"cannot move {path} aside")
-    if not store.rename(at(staged), at(path)):
-        if replaces:
-            store.rename(at(before), at(path))
-        raise OSError(f"cannot put {staged} in place")
-    if replaces:
-        store.delete(at(before), True)
-    return seen.get["rows"]
-
-
-def replace_run(df: DataFrame, path: str, run: Sequence[str]) -> int:
-    """Store the rows of one run, named by the columns ``run``; the same run again replaces its rows."""
-    df, seen = _counted(df)
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*run).parquet(path)
-    return seen.get["rows"]
-
-
-def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> int:
+def append(df: DataFrame, path: str) -> int:
     """Add rows."""
-    df, seen = _counted(df)
-    df.write.mode("append").partitionBy(*partition_by).parquet(path)
-    return seen.get["rows"]
+    return VersionedTable(df.sparkSession, path).add(df)
 
 
-def write_period(df: DataFrame, root: str, start: date, end: date, tenant_ids: Sequence[int]) -> int:
+def write_period(
+    df: DataFrame, path: str, start: date, end: date, tenant_ids: Sequence[int], *observed, accept: Accept | None = None
+) -> int:
     """K2: replace one period of the given tenants and leave everything else; running it again changes nothing.
 
-    One write replaces the folders of all tenants that have rows. A tenant without rows would keep its old folder then,
-    so the tenants are noted on the way, and the folders of the others are removed.
+    A tenant without rows has none for the period afterwards.
     """
-    seen = Observation()
-    rows = df.filter(
-        (F.col("PeriodStartDate") == F.lit(start)) & (F.col("PeriodEndDate") == F.lit(end))
-        & F.col("TenantId").isin(*tenant_ids)
-    )
-    noted = F.count(F.lit(1)).alias("rows"), F.collect_set("TenantId").alias("tenants")
-    rows.observe(seen, *noted).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        *schemas.PERIOD_COLUMNS
-    ).parquet(root)
-    store, at = _files(df.sparkSession, root)
-    for tenant in set(tenant_ids) - set(seen.get["tenants"]):
-        store.delete(at(f"{root}/PeriodStartDate={start}/PeriodEndDate={end}/TenantId={tenant}"), True)
-    return seen.get["rows"]
+    table = VersionedTable(df.sparkSession, path)
+    table.sweep()
+    return table.replace_parts(df, schemas.PERIOD_COLUMNS, [(start, end, t) for t in tenant_ids], *observed, accept=accept)
+
+
+def months_between(first: date, last: date) -> list[date]:
+    """First days of all months that the window touches; none for an inverted window."""
+    out, at = [], date(first.year, first.month, 1)
+    while at <= last and first <= last:
+        out.append(at)
+        at = date(at.year + at.month // 12, at.month % 12 + 1, 1)
+    return out
+
+
+def write_months(
+    df: DataFrame, path: str, day: str, first: date | None, last: date | None, *observed, accept: Accept | None = None,
+    spread: str, months: Sequence[date] | None = None, laid_out: bool = False,
+) -> int:
+    """K1 for a table kept by month of ``day``: replace the whole window, or with ``months`` only those.
+
+    Rows are dealt by month and a few ranges of ``spread``, so that a month is a few files; ``laid_out`` rows are in order of
+    the day already. A load that replaces the window drops all months outside it.
+    """
+    table = VersionedTable(df.sparkSession, path)
+    table.sweep()
+    whole = months is None
+    named = months_between(first, last) if whole else list(months)
+    rows = df.withColumn("PostedMonth", F.trunc(F.col(day), "month"))
+    if not laid_out:
+        rows = rows.repartition("PostedMonth", F.pmod(F.xxhash64(spread), F.lit(FILES_A_MONTH)))
+    if not whole:
+        return table.replace_parts(rows, ["PostedMonth"], [(m,) for m in named], *observed, accept=accept)
+    parts, seen = table.stage(rows, *observed, by=["PostedMonth"], parts=[(m,) for m in named])
+    if accept:
+        accept(seen, table.rows_of(parts, df))
+    table.publish(parts)
+    return seen["rows"]
 
 
 def missing_rows(rows: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:

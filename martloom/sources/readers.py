@@ -8,6 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from martloom import schemas
+from martloom.sinks.versions import VersionedTable
 
 _TABLE_PREFIX = "table:"
 _MISSING = ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND")
@@ -28,19 +29,17 @@ def read_external(spark: SparkSession, root: str, name: str) -> DataFrame:
     return _scan(spark, root, name, schemas.EXTERNAL[name])
 
 
-def read_mart(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return _scan(spark, root, name, schemas.MART[name])
+def read_mart(spark: SparkSession, root: str, name: str, where: Mapping[str, object] | None = None) -> DataFrame:
+    """The current version of a mart table; of tables stored in parts only those that ``where`` names."""
+    if root.startswith(_TABLE_PREFIX):
+        return _scan(spark, root, name, schemas.MART[name])
+    return VersionedTable(spark, f"{root}/{name}").read(schemas.ddl(schemas.MART[name]), where)
 
 
 def read_keys(spark: SparkSession, root: str, table: str, columns: Iterable[str]) -> DataFrame | None:
     """The surrogate keys handed out so far for a dimension; None before the first."""
-    shape = {c: schemas.MART[table][c] for c in columns}
-    try:
-        return spark.read.schema(schemas.ddl(shape)).parquet(f"{root}/_keys/{table}")
-    except AnalysisException as error:
-        if error.getCondition() in _MISSING:
-            return None
-        raise
+    known = VersionedTable(spark, f"{root}/_keys/{table}")
+    return known.read(schemas.ddl({c: schemas.MART[table][c] for c in columns})) if known.current() else None
 
 
 class _Tables(Mapping):
@@ -57,6 +56,8 @@ class _Tables(Mapping):
         if name not in self._open:
             try:
                 self._open[name] = self._scan(name)
+            except FileNotFoundError as error:
+                raise KeyError(f"no table {name}") from error
             except AnalysisException as error:
                 if error.getCondition() in _MISSING:
                     raise KeyError(f"no table {name}") from error

@@ -22,9 +22,11 @@ from martloom.operators.star import Lookup, star_lookup
 from martloom.plans import metrics, pipeline, report
 from martloom.settings import MartSettings
 from martloom.sinks import writers
+from martloom.sinks.versions import VersionedTable
 from martloom.sinks.runlog import PROCESSES, RunLog, etl_status, run_state
 from martloom.sources.readers import read_sources
-from martloom.streaming.refresh import changed_since, refresh_from_stream, upsert
+from martloom.operators.distinct import sums_with_distinct
+from martloom.streaming.refresh import BucketedTable, changed_since, refresh_from_stream, upsert
 
 
 def folder():
@@ -138,7 +140,7 @@ def test_period_replace(spark):
         df = spark.createDataFrame([(v, *period, t) for v, t in values], shape)
         return writers.write_period(df, path, *period, tenants)
 
-    read = lambda: rows(spark.read.schema(shape).parquet(path), "v", "TenantId", "PeriodStartDate")
+    read = lambda: rows(VersionedTable(spark, path).read(shape), "v", "TenantId", "PeriodStartDate")
     assert write(first, [(1, 1), (2, 2)]) == 2
     assert write(second, [(3, 1)]) == 1
     assert write(second, [(3, 1)]) == 1
@@ -147,6 +149,10 @@ def test_period_replace(spark):
     assert read() == [(3, 1, second[0]), (4, 1, first[0])]
     assert write(first, [], (1,)) == 0
     assert read() == [(3, 1, second[0])]
+    # Only the folders of the wanted part are read.
+    part = VersionedTable(spark, path).read(shape, {"PeriodStartDate": second[0], "TenantId": [1, 2]})
+    assert len({f.rsplit("/", 1)[0] for f in part.inputFiles()}) == 1 and rows(part, "v") == [(3,)]
+    assert VersionedTable(spark, path).read(shape, {"TenantId": 2}).count() == 0
 
 
 def test_insert_missing(spark):
@@ -155,8 +161,8 @@ def test_insert_missing(spark):
     writers.write_full(spark.createDataFrame([(1, "a")], shape), path)
     new = spark.createDataFrame([(1, "x"), (2, "y")], shape)
     for expected in (1, 0):
-        assert writers.insert_missing(new, spark.read.schema(shape).parquet(path), path, ["k"]) == expected
-    assert rows(spark.read.schema(shape).parquet(path)) == [(1, "a"), (2, "y")]
+        assert writers.insert_missing(new, VersionedTable(spark, path).read(shape), path, ["k"]) == expected
+    assert rows(VersionedTable(spark, path).read(shape)) == [(1, "a"), (2, "y")]
 
 
 def test_upsert_and_changed_since(spark):
@@ -171,22 +177,77 @@ def test_upsert_and_changed_since(spark):
 
 def test_refresh_from_stream(spark):
     shape = "k int, v string, at timestamp"
-    source, checkpoint = folder(), folder()
-    versions = [spark.createDataFrame([(1, "a", datetime(2024, 1, 1))], shape)]
+    source, root = folder(), folder()
     for batch in (
-        [(1, "b", datetime(2024, 1, 2)), (1, "c", datetime(2024, 1, 3))], [(2, "d", datetime(2024, 1, 4))],
+        [(1, "b", datetime(2024, 1, 2)), (1, "c", datetime(2024, 1, 3))], [(2, "d", datetime(2024, 1, 4)), (1, "late", datetime(2024, 1, 1))],
     ):
         spark.createDataFrame(batch, shape).coalesce(1).write.mode("append").parquet(source)
     changes = spark.readStream.schema(shape).option("maxFilesPerTrigger", 1).parquet(source)
+    target = BucketedTable(spark, f"{root}/t", shape, ["k"], buckets=16)
+    target.apply(spark.createDataFrame([(i, "a", datetime(2024, 1, 1)) for i in range(1, 40)], shape), ["at"])
+    refresh_from_stream(changes, target, ["at"], f"{root}/c").awaitTermination(120)
+    assert rows(target.read().filter("k < 4"), "k", "v") == [(1, "c"), (2, "d"), (3, "a")]
+    assert target.last_batch("stream") == 1 and target.read().count() == 39
 
-    def write(df):
-        path = folder() + "/t"
-        writers.write_full(df, path)
-        versions.append(spark.read.schema(shape).parquet(path))
 
-    refresh_from_stream(changes, ["k"], ["at"], lambda: versions[-1], write, checkpoint).awaitTermination(120)
-    assert rows(versions[-1], "k", "v") == [(1, "c"), (2, "d")]
-    assert len(versions) == 3
+def test_a_batch_rewrites_its_buckets_once(spark):
+    shape = "k int, v string, at int"
+    path = folder() + "/t"
+    target = BucketedTable(spark, path, shape, ["k"], buckets=8)
+    assert target.read().count() == 0 and target.last_batch("s") == -1
+    target.apply(spark.createDataFrame([(i, "a", 1) for i in range(200)], shape), ["at"], "s", 0)
+    folders = {dict(p.key)["bucket"]: p.folder for p in target.table.current().parts}
+    assert len(folders) == 8
+    change = spark.createDataFrame([(5, "b", 2), (5, "old", 0), (None, "n", 1)], shape)
+    assert 1 <= target.apply(change, ["at"], "s", 1) <= 2
+    moved = {b for b, f in {dict(p.key)["bucket"]: p.folder for p in target.table.current().parts}.items() if folders[b] != f}
+    touched = {str(r[0]) for r in change.select(target._bucket()).collect()}
+    assert moved == touched
+    number = target.table.current().number
+    # The same batch again, under its number: nothing is read or written.
+    assert target.apply(spark.createDataFrame([(5, "x", 9)], shape), ["at"], "s", 1) == 0
+    assert target.table.current().number == number
+    assert rows(target.read().filter("k = 5 OR k IS NULL"), "k", "v") == [(5, "b"), (None, "n")]
+    # A table keeps its number of buckets; another stream has numbers of its own.
+    again = BucketedTable(spark, path, shape, ["k"], buckets=3)
+    assert again.buckets == 8 and again.apply(spark.createDataFrame([(6, "z", 5)], shape), ["at"], "other", 0) == 1
+
+
+def test_positions_of_hashed_ids_and_one_group(spark):
+    import random
+
+    rng = random.Random(3)
+    data = [(None if i % 3 else i % 5, None if i % 11 == 0 else date(2024, 1, 1 + i % 4), rng.getrandbits(62)) for i in range(3000)]
+    df = spark.createDataFrame(data, "g int, day date, id bigint").repartition(6)
+    got = position_in_group(df, ["g"], "day", "id", "p", pieces=16)
+    expected = {}
+    for g in {r[0] for r in data}:
+        for i, r in enumerate(sorted((r for r in data if r[0] == g), key=lambda r: (r[1] is None, r[1] or date.min, r[2]))):
+            expected[r[2]] = i + 1
+    assert {r.id: r.p for r in got.select("id", "p").collect()} == expected
+    # No piece of the large group holds much more than its share of a day.
+    cuts = sorted(df.agg(F.percentile_approx("id", [i / 16 for i in range(1, 16)])).first()[0])
+    sizes = [sum(1 for r in data if r[0] is None and r[1] == date(2024, 1, 2) and a < r[2] <= b) for a, b in zip(cuts, cuts[1:])]
+    assert max(sizes) < 3 * 500 / 16 + 20
+
+
+@pytest.mark.parametrize("shift", [1, 256])
+def test_distinct_counts_with_marks(spark, shift):
+    data = [(1, i * shift) for i in range(300)] + [(2, i * shift) for i in range(40)] + [(2, 0), (2, None), (3, None), (None, 5), (None, 5), (4, -7), (4, -8)]
+    df = spark.createDataFrame(data, "k int, id bigint").repartition(5)
+    got = sums_with_distinct(df, ["k"], "id", "n", F.count(F.lit(1)).alias("rows"))
+    assert rows(got, "k", "n", "rows") == [(1, 300, 300), (2, 40, 42), (3, 0, 1), (4, 2, 2), (None, 1, 2)]
+
+
+def test_unique_ids_are_exchanged_once(spark, tables, capsys):
+    lines = [{"id": i * 8 + n, "invoice_id": i, "total": 1} for i in range(50) for n in range(4)]
+    invoices = [{"id": i, "status": 2, "invoicedon": "2024-01-01", "job_id": 1} for i in range(50)]
+    got = measures.invoice_revenue(tables(invoiceitem=lines, invoice=invoices), MartSettings(tenant_ids=(1,)))
+    assert got.filter("LineItemCount <> 4").count() == 0
+    got.explain()
+    plan = capsys.readouterr().out
+    # No exchange by (invoice, id) of all lines: the second look at them follows a semi join.
+    assert plan.count("LeftSemi") >= 1 and "Expand" not in plan
 
 
 # ---- run log -------------------------------------------------------------------------------------------------------
@@ -304,11 +365,12 @@ def test_facts_laid_out_by_date_can_skip_files(spark):
     days = spark.range(4000).selectExpr("id AS InvoiceId", "date_add(DATE'2024-01-01', CAST(id % 100 AS INT)) AS PostedDate")
     path = folder() + "/t"
     writers.write_full(unique_key(clustered(days.repartition(4), ["PostedDate", "InvoiceId"]), "k"), path)
-    files = spark.read.parquet(path).groupBy(F.input_file_name().alias("f")).agg(
+    stored = VersionedTable(spark, path).read("InvoiceId bigint, PostedDate date, k bigint")
+    files = stored.groupBy(F.input_file_name().alias("f")).agg(
         F.min("PostedDate").alias("first"), F.max("PostedDate").alias("last")
     ).orderBy("first").collect()
     assert all(a.last <= b.first for a, b in zip(files, files[1:]))
-    assert spark.read.parquet(path).select("k").distinct().count() == 4000
+    assert stored.select("k").distinct().count() == 4000
 
 
 def test_stable_keys(spark):
@@ -344,7 +406,7 @@ def test_a_failing_load_leaves_the_old_table(spark):
     bad = spark.range(4).selectExpr("CAST(id AS int) AS k", "CASE WHEN id = 3 THEN raise_error('no') ELSE 'x' END AS v")
     with pytest.raises(Exception, match="no"):
         writers.write_full(bad, path)
-    read = lambda: spark.read.schema("k int, v string").parquet(path)
+    read = lambda: VersionedTable(spark, path).read("k int, v string")
     assert rows(read()) == [(1, "a")]
     # A load may read what it replaces.
     assert writers.write_full(read().unionByName(spark.createDataFrame([(2, "b")], "k int, v string")), path) == 2
@@ -353,8 +415,13 @@ def test_a_failing_load_leaves_the_old_table(spark):
 
 def test_a_run_stored_twice_is_there_once(spark):
     path = folder() + "/h"
-    run = spark.createDataFrame([("1.10", "m", 1), ("1.10", "n", 2)], "version string, name string, v int")
-    for frame in (run, run, run.withColumn("version", F.lit("1.1"))):
-        writers.replace_run(frame, path, ["version"])
-    got = spark.read.schema("name string, v int, version string").parquet(path)
-    assert rows(got, "version", "name", "v") == [("1.1", "m", 1), ("1.1", "n", 2), ("1.10", "m", 1), ("1.10", "n", 2)]
+    shape = "version string, name string, v int"
+    run = spark.createDataFrame([("1.10", "m", 1), ("1.10", "n", 2)], shape)
+    for frame, version in ((run, "1.10"), (run, "1.10"), (run.withColumn("version", F.lit("2024:rc/1 %")), "2024:rc/1 %")):
+        writers.replace_run(frame, path, {"version": version})
+    read = lambda **where: rows(VersionedTable(spark, path).read(shape, where), "version", "name", "v")
+    assert read() == [("1.10", "m", 1), ("1.10", "n", 2), ("2024:rc/1 %", "m", 1), ("2024:rc/1 %", "n", 2)]
+    assert read(version="2024:rc/1 %") == [("2024:rc/1 %", "m", 1), ("2024:rc/1 %", "n", 2)]
+    # A repeated run without rows has none afterwards.
+    assert writers.replace_run(run.limit(0), path, {"version": "1.10"}) == 0
+    assert read() == [("2024:rc/1 %", "m", 1), ("2024:rc/1 %", "n", 2)]

@@ -143,17 +143,17 @@ def test_metrics_and_snapshot(spark, run):
     )
     (row,) = second.collect()
     assert (row.previous_version, row.difference) == ("1", 1)
-    history = spark.read.parquet(f"{root}/mart/mat_metric_summary")
-    assert history.count() == 10
+    assert pipeline.open_mart(spark, f"{root}/mart")["mat_metric_summary"].count() == 10
     again, _ = pipeline.track_metrics(spark, f"{root}/mart", "1", date(2024, 6, 1), "first", SETTINGS)
     assert {r.name: r.value for r in again.collect()} == {name: r.value for name, r in values.items()}
-    assert spark.read.parquet(f"{root}/mart/mat_metric_summary").count() == 10
+    assert pipeline.open_mart(spark, f"{root}/mart")["mat_metric_summary"].count() == 10
     assert pipeline.compare_baselines(spark, f"{root}/mart", "1", "2").count() == 0
-    snapshot = spark.read.parquet(f"{root}/mart/mat_report_baseline")
+    snapshot = pipeline.open_mart(spark, f"{root}/mart")["mat_report_baseline"]
     runs = {r.RUN_VERSION: r.n for r in snapshot.groupBy("RUN_VERSION").agg(F.count("*").alias("n")).collect()}
-    assert runs[1] == runs[2] == report.commission_report(mart, SETTINGS).count()
-    old, new = (snapshot.filter(F.col("RUN_VERSION") == v).drop("RUN_VERSION", "RUN_DATE", "RUN_DESCRIPTION") for v in (1, 2))
-    assert diff_rows(old, new, ["JobId", "InvoiceId", "ServiceAgreementId"]).count() == 0
+    assert runs["1"] == runs["2"] == report.commission_report(mart, SETTINGS).count()
+    assert pipeline.read_baseline(spark, f"{root}/mart", "2").count() == runs["2"]
+    with pytest.raises(KeyError):
+        pipeline.open_mart(spark, f"{root}/nowhere")["mat_report_baseline"]
 
 
 def test_an_empty_window_loads_no_rows(spark, run):
@@ -162,3 +162,50 @@ def test_an_empty_window_loads_no_rows(spark, run):
     settings = SETTINGS.with_(from_date=date(2025, 9, 1), to_date=date(2024, 11, 30))
     for table in ("mat_invoice_revenue", "mat_invoice_pocosts", "mat_job_returns", "fact_invoiceitem"):
         assert write_full(pipeline.build(table, spark, src, mart, settings), f"{root}/empty/{table}") == 0
+
+
+def test_a_metric_file_from_end_to_end(spark, run, tmp_path):
+    root = run[0]
+    path = tmp_path / "metrics.yaml"
+    path.write_text(
+        """
+version: 1.10
+run_date: 2024-06-03
+description: from a file
+parameters: {from_date: "2024-01-01", to_date: "2024-12-31", tenant_ids: [3457543957], employee_id_specified: 0, employee_ids: [4], filter_status_specified: 1, filter_status: [2]}
+metrics:
+  - {name: jobs, category: job, query: "SELECT count(*) AS metric_value, count(*) AS metric_count FROM job_metrics WHERE PostedDate >= :from_date AND (:employee_id_specified = 0 OR array_contains(:employee_ids, EmployeeId))"}
+  - {name: many, query: "SELECT JobId AS metric_value, 1 AS metric_count FROM job_metrics"}
+  - {name: none, query: "SELECT 1 AS metric_value, 1 AS metric_count FROM job_metrics WHERE false"}
+  - {name: injected, query: "SELECT :no_such AS metric_value, 1 AS metric_count"}
+comparison: {tolerance_pct: 0.05}
+"""
+    )
+    given = pipeline.metrics.load_metric_file(str(path), SETTINGS)
+    assert (given.version, given.run_date, given.tolerance) == ("1.1", date(2024, 6, 3), 0.05)
+    assert given.settings.employee_ids == () and given.settings.status_filter == (2,)
+    compared, errors = pipeline.track_metric_file(spark, f"{root}/mart", str(path), SETTINGS)
+    assert set(errors) == {"many", "none", "injected"} and "more than one row" in errors["many"] and "no row" in errors["none"]
+    (row,) = compared.collect()
+    assert row.name == "jobs" and row.value > 0
+    stored = pipeline.open_mart(spark, f"{root}/mart")["mat_metric_summary"].filter("RUN_VERSION = '1.1'").collect()
+    assert [(r.METRIC_NAME, r.RUN_DESCRIPTION) for r in stored] == [("jobs", "from a file")]
+    assert pipeline.read_baseline(spark, f"{root}/mart", "1.1").count() > 0
+
+
+def test_the_report_comes_in_order(run):
+    rows = report.commission_report(run[2], SETTINGS).collect()
+    def place(r):
+        first = r["JobId"] if r["JobId"] is not None else r["ServiceAgreementId"]
+        return (first is None, first or 0), (r["InvoiceId"] is None, r["InvoiceId"] or "")
+
+    assert len(rows) > 300 and [place(r) for r in rows] == sorted(place(r) for r in rows)
+
+
+def test_report_filters(run):
+    mart = run[2]
+    everyone = report.report_jobs_side(mart, SETTINGS)
+    some = [r[0] for r in everyone.select("EmployeeId").distinct().collect() if r[0] is not None][:2]
+    chosen = report.report_jobs_side(mart, SETTINGS.with_(employee_ids=tuple(some)))
+    assert 0 < chosen.count() == everyone.filter(F.col("EmployeeId").isin(some)).count() < everyone.count()
+    assert report.report_jobs_side(mart, SETTINGS.with_(status_filter=(3,))).count() == 0
