@@ -154,7 +154,7 @@ def load_metric_file(path: str, settings: MartSettings) -> MetricFile:
     )
 
     def numbers(values: Sequence[int]):
-        return F.array(*[F.lit(v).cast("bigint") for v in values]).cast("array<bigint>")
+        return F.array(*[F.expr(f"{int(v)}L") for v in values])
 
     args = {
         "from_date": settings.from_date, "to_date": settings.to_date, "tenant_ids": numbers(settings.tenant_ids),
@@ -163,7 +163,7 @@ def load_metric_file(path: str, settings: MartSettings) -> MetricFile:
     }
     tolerance = (found.get("comparison") or {}).get("tolerance_pct", 0.01)
     return MetricFile(
-        str(found["version"]), date.fromisoformat(str(found["run_date"])), found.get("description", ""), settings, args,
+        str(found["version"]), date.fromisoformat(str(found.get("run_date") or date.today())), found.get("description", ""), settings, args,
         tuple(found.get("metrics") or ()), float(tolerance),
     )
 

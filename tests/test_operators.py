@@ -19,7 +19,7 @@ from martloom.operators.keys import clustered, stable_key, unique_key
 from martloom.operators.latest import latest_per_key, position_in_group
 from martloom.operators.listagg import Listed, listagg_distinct
 from martloom.operators.star import Lookup, star_lookup
-from martloom.plans import metrics, pipeline, report
+from martloom.plans import measures, metrics, pipeline, report
 from martloom.settings import MartSettings
 from martloom.sinks import writers
 from martloom.sinks.versions import VersionedTable
@@ -91,12 +91,11 @@ def test_latest_per_key(spark):
         ]
 
 
-@pytest.mark.parametrize("tie_range", [1 << 20, 500])
-def test_position_in_a_group_that_holds_most_rows(spark, monkeypatch, tie_range):
-    monkeypatch.setattr("martloom.operators.latest._TIE_RANGE", tie_range)
+@pytest.mark.parametrize("pieces", [1, 12])
+def test_position_in_a_group_that_holds_most_rows(spark, pieces):
     hot = spark.range(6000).selectExpr("CASE WHEN id % 10 < 9 THEN NULL ELSE id % 100 END AS g", "id", "date_add(DATE'2024-01-01', CAST((id * 37) % 60 AS INT)) AS day")
     expected = hot.selectExpr("id", "row_number() OVER (PARTITION BY g ORDER BY day, id) AS p")
-    got = position_in_group(hot.repartition(5), ["g"], "day", "id", "p").select("id", "p")
+    got = position_in_group(hot.repartition(5), ["g"], "day", "id", "p", pieces).select("id", "p")
     assert got.exceptAll(expected.selectExpr("id", "p")).count() == 0 and got.count() == 6000
 
 
@@ -207,7 +206,7 @@ def test_a_batch_rewrites_its_buckets_once(spark):
     # The same batch again, under its number: nothing is read or written.
     assert target.apply(spark.createDataFrame([(5, "x", 9)], shape), ["at"], "s", 1) == 0
     assert target.table.current().number == number
-    assert rows(target.read().filter("k = 5 OR k IS NULL"), "k", "v") == [(5, "b"), (None, "n")]
+    assert rows(target.read().filter("k = 5 OR k IS NULL"), "k", "v") == [(None, "n"), (5, "b")]
     # A table keeps its number of buckets; another stream has numbers of its own.
     again = BucketedTable(spark, path, shape, ["k"], buckets=3)
     assert again.buckets == 8 and again.apply(spark.createDataFrame([(6, "z", 5)], shape), ["at"], "other", 0) == 1
@@ -236,7 +235,7 @@ def test_distinct_counts_with_marks(spark, shift):
     data = [(1, i * shift) for i in range(300)] + [(2, i * shift) for i in range(40)] + [(2, 0), (2, None), (3, None), (None, 5), (None, 5), (4, -7), (4, -8)]
     df = spark.createDataFrame(data, "k int, id bigint").repartition(5)
     got = sums_with_distinct(df, ["k"], "id", "n", F.count(F.lit(1)).alias("rows"))
-    assert rows(got, "k", "n", "rows") == [(1, 300, 300), (2, 40, 42), (3, 0, 1), (4, 2, 2), (None, 1, 2)]
+    assert rows(got, "k", "n", "rows") == [(None, 1, 2), (1, 300, 300), (2, 40, 42), (3, 0, 1), (4, 2, 2)]
 
 
 def test_unique_ids_are_exchanged_once(spark, tables, capsys):
@@ -319,9 +318,9 @@ def test_metric_file_and_sql_metric(spark):
     with open(path, "w") as handle:
         handle.write("version: '2'\nmetrics:\n  - name: n\n    category: c\n    query: SELECT sum(x) AS metric_value, count(*) AS metric_count FROM numbers\n")
     spark.range(4).selectExpr("id AS x").createOrReplaceTempView("numbers")
-    loaded = metrics.load_metric_file(path)
-    assert loaded["version"] == "2"
-    assert rows(metrics.sql_metric(spark, loaded["metrics"][0])) == [("n", "c", D(6), 4)]
+    loaded = metrics.load_metric_file(path, MartSettings())
+    assert loaded.version == "2" and loaded.settings == MartSettings() and loaded.run_date == date.today()
+    assert rows(metrics.sql_metric(spark, loaded.metrics[0], loaded.args)) == [("n", "c", D(6), 4)]
 
 
 def test_employee_sides_meet_by_id_only(spark):
