@@ -53,6 +53,9 @@ class Mart(Mapping):
             self._tables[table] = read_mart(self.spark, self.root, table)
         return self._tables[table]
 
+    def written(self, table: str) -> None:
+        """A load into another folder has no effect on these tables."""
+
     def __iter__(self) -> Iterator[str]:
         return iter(pipeline.TABLES)
 
