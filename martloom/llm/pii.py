@@ -2,12 +2,16 @@
 
 Seeds are the identifiers that fixed rules find: e-mail and IP addresses, payment cards, phone numbers. Each seed induces
 lexical patterns from the words around it. Texts also hold candidates: spans that look like an identifier but that no rule
-accepts. Patterns and the values they occur with form a graph. A pattern's score for a kind is the smoothed share of that kind
-among the known values it occurs with: the seeds, and the candidates whose form rules the kind out. Open candidates take the score of
-their pattern, which is where going to and fro between them ends, so their number does not lower it. Candidates in a
-pattern of high score that enough different known values support become known values of that kind themselves, and the
-next round counts them, until a round finds no new one. Each place of a candidate in such a pattern is a new span.
-Spans of the rules always stay.
+accepts. Patterns and the values they occur with form a graph, on which scores go to and fro:
+
+- a pattern's score for a kind is the sum of what its values say for that kind, over the number of its values and one. A seed
+  says 1 for its own kind; a candidate without support says nothing, so it counts against the pattern;
+- what a candidate says to a pattern is its support by all its *other* patterns together: 1 less the product of 1 less their
+  scores. So a pattern never confirms itself, and a value found in one context carries its kind into others.
+
+Each round looks only at what patterns of some score touch, until the scores rest. Patterns of high score that enough
+different known values support discover: each place of a candidate of fitting form in such a pattern is a new span. Spans of
+the rules always stay.
 """
 
 from __future__ import annotations
@@ -18,11 +22,13 @@ from pyspark.sql import functions as F
 from martloom.llm.common import let, stored
 
 KINDS = ("email", "ip", "card", "phone")
-# A pattern counts from so many different known values of the kind on, and from this score.
+# A pattern discovers from so many different known values of the kind on, and from this score; so does a value count as known.
 SUPPORT = 4
 CONFIDENCE = 0.7
-# Weight of the unknown in a pattern's share.
-_PRIOR = 1.0
+# Scores below this are not passed on. The rounds end when the sum of all scores grows by less than a hundredth, or after MOST.
+_LEAST, _REST, MOST = 0.01, 0.01, 30
+# A word of a pattern is represented by so many of its nearest characters.
+_WORD = 48
 
 # The rules' patterns, written so that a search takes time in proportion to the text: runs do not give back what they took,
 # and a search does not begin inside a run that has failed as a whole.
@@ -69,7 +75,7 @@ def _spans(text: Column, pattern: str, maybe: Column) -> Column:
             rows, ends,
             lambda r, e: F.struct(
                 (e - F.length(r["v"])).alias("start"), e.alias("end"), r["v"].alias("value"),
-                F.right(r["a"], F.lit(80)).alias("left"), F.left(r["b"], F.lit(80)).alias("right"),
+                r["a"].alias("left"), r["b"].alias("right"),
             ),
         ).cast(kind)
 
@@ -110,16 +116,28 @@ def _base(text: Column) -> dict[str, Column]:
 
 
 def _contexts(span: Column) -> Column:
-    """Lexical patterns of a span: two words before it, one before and one after it, and the word before it if that ends in a mark."""
-    words = lambda c: F.filter(F.split(F.lower(F.regexp_replace(c, "[0-9]", "0")), r"\s+"), lambda w: w != "")
-    before, after = words(span["left"]), words(span["right"])
-    last = lambda n: F.coalesce(F.element_at(F.concat(F.array(F.lit("^"), F.lit("^")), before), -n), F.lit("^"))
-    patterns = F.array(
-        F.concat(F.lit("2 "), last(2), F.lit(" "), last(1)),
-        F.concat(F.lit("b "), last(1), F.lit(" "), F.coalesce(F.get(after, F.lit(0)), F.lit("$"))),
-        F.when(F.rlike(last(1), F.lit(r"[:=#]$")), F.concat(F.lit("1 "), last(1))),
+    """Lexical patterns of a span: two words before it, one before and one after it, and the word before it if that ends in a mark.
+
+    Words are the nearest ones, whatever white space lies between; digits count alike.
+    """
+    plain = lambda c: F.lower(F.regexp_replace(c, "[0-9]", "0"))
+    # From its end, the text before the span begins with the nearest word.
+    nearest = lambda n: F.regexp_extract(F.reverse(span["left"]), r"^\s*+(\S++)?+\s*+(\S++)?+", n)
+    word = lambda n: let(
+        F.reverse(F.left(nearest(n), F.lit(_WORD))), lambda w: F.when(w == "", F.lit("^")).otherwise(plain(w))
     )
-    return F.filter(patterns, lambda p: p.isNotNull())
+    after = let(
+        F.left(F.regexp_extract(span["right"], r"^\s*+(\S++)", 1), F.lit(_WORD)), lambda w: F.when(w == "", F.lit("$")).otherwise(plain(w))
+    )
+
+    def patterns(words: Column) -> Column:
+        one, two, next_ = words["one"], words["two"], words["next"]
+        return F.array(
+            F.concat(F.lit("2 "), two, F.lit(" "), one), F.concat(F.lit("b "), one, F.lit(" "), next_), F.when(F.rlike(one, F.lit(r"[:=#]$")), F.concat(F.lit("1 "), one))
+        )
+
+    found = let(F.struct(word(1).alias("one"), word(2).alias("two"), after.alias("next")), patterns)
+    return F.filter(found, lambda p: p.isNotNull())
 
 
 def _forms(value: Column) -> Column:
@@ -139,6 +157,19 @@ def extract(docs: DataFrame, text: str = "text", id_column: str = "doc_id") -> D
     NULL counts as empty and has no spans. Repeated rows get the same spans, and count once in the graph. Spans of different
     kinds may overlap; an added span never overlaps one of the rules. An empty table gives an empty result.
     """
+    found = identifiers(docs, text, id_column)
+    added = discover(found)
+    spans = F.transform("base", lambda s: F.struct(s["kind"], s["start"], s["end"], s["value"]))
+    joined = found.select("id", "text_hash", spans.alias("base")).join(
+        added.withColumnRenamed("id", "added_id").withColumnRenamed("text_hash", "added_hash"),
+        F.col("id").eqNullSafe(F.col("added_id")) & (F.col("text_hash") == F.col("added_hash")), "left",
+    )
+    kind = "array<struct<kind:string,start:int,end:int,value:string>>"
+    return joined.select("id", "text_hash", F.col("base").cast(kind).alias("base"), F.coalesce("added", F.array().cast(kind)).alias("added"))
+
+
+def identifiers(docs: DataFrame, text: str = "text", id_column: str = "doc_id") -> DataFrame:
+    """(id, text_hash, base, like) of every row: the rules' spans and the candidates, with their patterns; stored."""
     given = docs.select(F.col(id_column).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     # Two digits in a row or with one separator, 14 times: what a card needs.
     given = given.withColumn("long_number", F.rlike("text", F.lit(r"[0-9](?:[\x20-]?[0-9]){13}")))
@@ -154,55 +185,44 @@ def extract(docs: DataFrame, text: str = "text", id_column: str = "doc_id") -> D
         F.filter(F.concat(numbers, mails), free),
         lambda s: F.struct(_forms(s["value"]).alias("kinds"), s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value"), _contexts(s).alias("patterns")),
     )
-    found = stored(first.select("id", "text_hash", "base", F.filter(like, lambda s: F.size(s["kinds"]) > 0).alias("like")), "identifiers")
-    added = _discover(found)
-    spans = F.transform("base", lambda s: F.struct(s["kind"], s["start"], s["end"], s["value"]))
-    joined = found.select("id", "text_hash", spans.alias("base")).join(
-        added.withColumnRenamed("id", "added_id").withColumnRenamed("text_hash", "added_hash"),
-        F.col("id").eqNullSafe(F.col("added_id")) & (F.col("text_hash") == F.col("added_hash")), "left",
-    )
-    kind = "array<struct<kind:string,start:int,end:int,value:string>>"
-    return joined.select("id", "text_hash", F.col("base").cast(kind).alias("base"), F.coalesce("added", F.array().cast(kind)).alias("added"))
+    return stored(first.select("id", "text_hash", "base", F.filter(like, lambda s: F.size(s["kinds"]) > 0).alias("like")), "identifiers")
 
 
-def _discover(found: DataFrame) -> DataFrame:
+def discover(found: DataFrame) -> DataFrame:
     """(id, text_hash, added) of rows with new spans."""
-    seeds = found.select("id", "text_hash", F.explode("base").alias("s")).select("id", "text_hash", "s.*").withColumn("kinds", F.array("kind"))
+    seeds = found.select(F.explode("base").alias("s")).select("s.value", "s.kind", "s.patterns")
     likes = found.select("id", "text_hash", F.explode("like").alias("s")).select("id", "text_hash", "s.*")
-    columns = ("id", "text_hash", "start", "end", "value", "kinds", "patterns")
-    places = seeds.select(*columns, F.lit(True).alias("seed")).union(likes.select(*columns, F.lit(False).alias("seed"))).distinct()
-    edges = places.select("value", "kinds", "seed", F.explode("patterns").alias("pattern"))
-    edges = stored(edges.groupBy("pattern", "value", "kinds", "seed").agg(F.count("*").cast("double").alias("n")), "graph")
-    # A value's kinds are those its form allows; for seeds, the kind of their rule.
-    known = edges.where("seed").select("pattern", "value", F.col("kinds")[0].alias("kind"), "n")
-    open_edges = edges.where("NOT seed").select("pattern", "value", "kinds", "n")
-    totals = open_edges.groupBy("pattern").agg(F.sum("n").alias("open"))
-    promoted, count = None, 0
-    while True:
-        labelled, waiting = known, open_edges.select("pattern", F.explode("kinds").alias("kind"), "n")
-        everything = totals
-        if promoted is not None:
-            labelled = labelled.unionByName(open_edges.join(promoted, "value").select("pattern", "value", "kind", "n"))
-            rest = open_edges.join(promoted, "value", "left_anti")
-            waiting, everything = rest.select("pattern", F.explode("kinds").alias("kind"), "n"), rest.groupBy("pattern").agg(F.sum("n").alias("open"))
-        sums = labelled.groupBy("pattern", "kind").agg(F.sum("n").alias("mass"), F.countDistinct("value").alias("support"))
-        all_known = labelled.groupBy("pattern").agg(F.sum("n").alias("known"))
-        allowed = waiting.groupBy("pattern", "kind").agg(F.sum("n").alias("allowed"))
-        patterns = sums.where(F.col("support") >= SUPPORT).join(all_known, "pattern").join(everything, "pattern", "left")
-        patterns = patterns.join(allowed, ["pattern", "kind"], "left")
-        against = F.coalesce("open", F.lit(0.0)) - F.coalesce("allowed", F.lit(0.0))
-        patterns = patterns.select("pattern", "kind", (F.col("mass") / (F.col("known") + against + _PRIOR)).alias("score"))
-        # Of a pattern's kinds at most one reaches the confidence, since the scores of a pattern sum up to less than 1.
-        sure = stored(patterns.where(F.col("score") >= CONFIDENCE), "patterns")
-        reached = open_edges.join(sure, "pattern").where(F.array_contains("kinds", F.col("kind")))
-        reached = reached.groupBy("value").agg(F.max(F.struct("score", "kind"))["kind"].alias("kind"))
-        # What is known stays known, so the rounds come to an end.
-        if promoted is not None:
-            reached = promoted.unionByName(reached.join(promoted, "value", "left_anti"))
-        promoted = stored(reached, "promoted")
-        before, count = count, promoted.count()
-        if count == before:
+    known = seeds.select(F.explode("patterns").alias("pattern"), "value", "kind", F.lit(True).alias("seed"))
+    unknown = likes.select(F.explode("patterns").alias("pattern"), "value", "kinds").select(
+        "pattern", "value", F.explode("kinds").alias("kind"), F.lit(False).alias("seed")
+    )
+    # One edge for a pattern, a value and a kind that the value can be of; a seed is of its own kind only.
+    edges = stored(known.unionByName(unknown).groupBy("pattern", "value", "kind").agg(F.max("seed").alias("seed")), "graph")
+    sizes = edges.groupBy("pattern").agg(F.countDistinct("value").alias("values"))
+    certain = edges.where("seed").groupBy("pattern", "kind").agg(F.count("*").alias("seeds"))
+    open_edges = edges.where("NOT seed").select("pattern", "value", "kind")
+    share = F.col("mass") / (F.col("values") + 1)
+    scores = stored(
+        certain.join(sizes, "pattern").withColumn("mass", F.col("seeds").cast("double"))
+        .select("pattern", "kind", "seeds", F.col("seeds").alias("support"), share.alias("score")), "scores",
+    )
+    total, rounds = scores.agg(F.sum("score")).first()[0] or 0.0, 0
+    while total and rounds < MOST:
+        telling = scores.where(F.col("score") >= _LEAST).select("pattern", "kind", F.log1p(-F.col("score")).alias("doubt"))
+        doubts = open_edges.join(telling, ["pattern", "kind"]).groupBy("value", "kind").agg(F.sum("doubt").alias("doubts"))
+        # To a pattern its values say what all their other patterns leave without doubt.
+        said = open_edges.join(doubts, ["value", "kind"]).join(telling, ["pattern", "kind"], "left")
+        said = said.select("pattern", "kind", (1 - F.exp(F.col("doubts") - F.coalesce("doubt", F.lit(0.0)))).alias("said"))
+        sums = said.groupBy("pattern", "kind").agg(F.sum("said").alias("heard"), F.count_if(F.col("said") >= CONFIDENCE).alias("strong"))
+        both = certain.join(sums, ["pattern", "kind"], "full").join(sizes, "pattern")
+        both = both.withColumn("mass", F.coalesce("seeds", F.lit(0)) + F.coalesce("heard", F.lit(0.0)))
+        support = F.coalesce("seeds", F.lit(0)) + F.coalesce("strong", F.lit(0))
+        scores = stored(both.select("pattern", "kind", "seeds", support.alias("support"), share.alias("score")), "scores")
+        before, total = total, scores.agg(F.sum("score")).first()[0]
+        rounds += 1
+        if total - before < _REST * before:
             break
+    sure = scores.where((F.col("score") >= CONFIDENCE) & (F.col("support") >= SUPPORT)).select("pattern", "kind", "score")
     chosen = likes.select("id", "text_hash", "start", "end", "value", "kinds", F.explode("patterns").alias("pattern")).join(sure, "pattern")
     chosen = chosen.where(F.array_contains("kinds", F.col("kind")))
     best = chosen.groupBy("id", "text_hash", "start", "end", "value").agg(F.max(F.struct("score", "kind")).alias("b"))

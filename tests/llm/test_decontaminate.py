@@ -75,7 +75,7 @@ def broadcasts(spark, monkeypatch):
     return seen
 
 
-@pytest.mark.parametrize("part_bytes, parts", [(8 << 20, 1), (900, 10)])
+@pytest.mark.parametrize("part_bytes, parts", [(8 << 20, 1), (400, 10)])
 def test_equals_brute_force_with_one_and_many_parts(spark, make_docs, case, broadcasts, part_bytes, parts):
     docs, items = case
     benchmark = spark.createDataFrame(items, "item_id bigint, text string")
