@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from martloom.llm.common import map_batches, mix, runs_of_words, scan_words, stored, stored_with, text_blocks
-from martloom.llm.graph import components, trees
+from martloom.llm.graph import contracted, hung
 
 RUN = 5
 SIMILARITY = 0.8
@@ -39,6 +39,8 @@ LARGE, PIECE = 64, 20_000
 # Passes go on while one joins more than this part of the texts in such buckets to another component.
 PROGRESS = 200
 _SLOTS = 1 << 16
+# Ids to fetch texts by: up to so many go to every task.
+BROADCAST_ROWS = 1 << 21
 # The points of a block are several times its text.
 _BLOCK_BYTES = 1 << 19
 
@@ -209,12 +211,13 @@ def _verify(least: float):
     return run
 
 
-def _fetch_runs(digests_wanted: DataFrame, docs: DataFrame, texts: DataFrame) -> DataFrame:
-    """(digest, runs) of the wanted digests. Each text is fetched by the id of its first copy."""
-    wanted = texts.join(digests_wanted, "digest", "left_semi").select("id").distinct()
-    found = docs.join(wanted, docs["id"].eqNullSafe(wanted["id"]), "left_semi").select("text")
+def _fetch_runs(wanted: DataFrame, rows: int, docs: DataFrame) -> DataFrame:
+    """(digest, runs) of the wanted texts (digest, id), so many rows. Each text is fetched by the id of its first copy."""
+    # By size only: a few ids need no shuffle of all texts.
+    side = F.broadcast if rows <= BROADCAST_ROWS else lambda df: df
+    found = docs.join(side(wanted.select(F.col("id").alias("wanted"))), docs["id"].eqNullSafe(F.col("wanted")), "left_semi").select("text")
     found = map_batches(found, _runs, "digest binary, runs binary")
-    return found.join(digests_wanted, "digest", "left_semi").dropDuplicates(["digest"])
+    return found.join(side(wanted.select("digest")), "digest", "left_semi").dropDuplicates(["digest"])
 
 
 def _links(pairs: DataFrame, runs: DataFrame, least: float) -> DataFrame:
@@ -271,31 +274,26 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     docs = docs.select(F.col(id_column).alias("id"), F.col(text).alias("text"))
     rows = stored(map_batches(docs, _sketch, "id bigint, digest binary, bands array<bigint>"), "sketch")
     copies = rows.where(F.col("digest").isNotNull())
-    texts = copies.groupBy("digest").agg(F.min("id").alias("id"))
-    buckets = copies.dropDuplicates(["digest"]).select("digest", F.explode("bands").alias("key"))
-    buckets = stored(buckets, "bands")
-    shared = (
-        buckets.groupBy("key").agg(F.min(F.xxhash64("digest")).alias("a"), F.max(F.xxhash64("digest")).alias("b"))
-        .where(F.col("a") != F.col("b")).select("key")
-    )
-    buckets = stored(buckets.join(shared, "key"), "buckets")
-    hubs = buckets.groupBy("key").agg(F.min("digest").alias("hub"))
-    stars = stored(buckets.join(hubs, "key").where(F.col("hub") != F.col("digest")).select("digest", "hub"), "stars")
+    texts = stored(copies.groupBy("digest").agg(F.min("id").alias("id"), F.first("bands").alias("bands")), "texts")
+    bands = texts.select("digest", F.explode("bands").alias("key"))
+    hubs = bands.groupBy("key").agg(F.min("digest").alias("hub"), F.count("*").alias("n")).where("n > 1").select("key", "hub")
+    buckets = stored(bands.join(hubs, "key"), "buckets")
     # First each text meets one hub: the least of all its buckets' hubs.
-    runs = stored(_fetch_runs(buckets.select("digest").distinct(), docs, texts), "runs")
-    pairs = stored(stars.groupBy("digest").agg(F.min("hub").alias("u")).select("u", F.col("digest").alias("v")), "pairs")
-    parts = trees(_links(pairs, runs, least))
+    met = buckets.groupBy("digest").agg(F.min("hub").alias("least"))
+    wanted, seen = stored_with(met.join(texts.select("digest", "id"), "digest"), "wanted")
+    runs = stored(_fetch_runs(wanted, seen["rows"], docs), "runs")
+    pairs = wanted.where(F.col("least") != F.col("digest")).select(F.col("least").alias("u"), F.col("digest").alias("v"))
+    parts = hung(_links(pairs, runs, least))
+    parts = wanted.select(F.col("digest").alias("node")).join(parts, "node", "left")
+    parts = stored(parts.select("node", F.coalesce("component", "node").alias("component")), "parts")
     # Then the hubs that are still in another component.
-    more, seen = stored_with(_other_hubs(stars, parts).join(pairs, ["u", "v"], "left_anti"), "pairs")
+    more, seen = stored_with(_other_hubs(buckets, parts).join(pairs, ["u", "v"], "left_anti"), "pairs")
     if seen["rows"]:
-        links, seen = stored_with(_links(more, runs, least), "links")
-        if seen["rows"]:
-            parts = components(links.union(parts.select(F.col("node").alias("u"), F.col("component").alias("v"))))
+        parts, _ = _grown(parts, _links(more, runs, least))
     # Last what the buckets hold beyond their hubs.
     mixed, seen = stored_with(_mixed(buckets, parts), "mixed", F.count_if(F.col("n") > LARGE).alias("large"))
     if seen["rows"]:
         held, whole = stored_with(runs.join(mixed.select("digest").distinct(), "digest", "left_semi"), "held")
-        parts = stored(parts.union(held.select("digest", F.col("digest").alias("component")).join(parts, F.col("digest") == F.col("node"), "left_anti")), "parts")
         turn, found = 0, whole["rows"] if seen["large"] else 0
         while found * PROGRESS > whole["rows"]:
             parts, found = _grown(parts, _links(_chance_pairs(mixed, turn), held, least))
@@ -303,7 +301,7 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
             if found:
                 mixed = stored(_mixed(buckets, parts), "mixed")
         parts, _ = _grown(parts, _links(_rare_pairs(mixed, held, least), held, least))
-    named = texts.join(parts, texts["digest"] == parts["node"], "left")
+    named = texts.select("digest", "id").join(parts, texts["digest"] == parts["node"], "left")
     named = named.select("digest", "id", F.coalesce("component", "digest").alias("component"))
     least_id = named.groupBy("component").agg(F.min("id").alias("class_id"))
     classes = named.join(least_id, "component").select("digest", "class_id")
@@ -316,23 +314,20 @@ def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("hub", "digest").alias("u"), F.greatest("hub", "digest").alias("v")).distinct()
 
 
-def _other_hubs(stars: DataFrame, parts: DataFrame) -> DataFrame:
+def _other_hubs(buckets: DataFrame, parts: DataFrame) -> DataFrame:
     """Pairs of a text and a bucket's hub that are in different components."""
-    pairs = _ordered(stars)
+    pairs = _ordered(buckets.where(F.col("hub") != F.col("digest")))
     for end, part in (("u", "pu"), ("v", "pv")):
-        pairs = pairs.join(parts.select(F.col("node").alias(end), F.col("component").alias(part)), end, "left")
-    return pairs.where(F.coalesce("pu", "u") != F.coalesce("pv", "v")).select("u", "v")
+        pairs = pairs.join(parts.select(F.col("node").alias(end), F.col("component").alias(part)), end)
+    return pairs.where(F.col("pu") != F.col("pv")).select("u", "v")
 
 
 def _mixed(buckets: DataFrame, parts: DataFrame) -> DataFrame:
-    """(key, digest, part, n, main, most) of the buckets that hold several components: their texts in all, their largest component
-    and its texts. Buckets of two texts are done, their pair was verified."""
-    placed = buckets.join(parts, buckets["digest"] == parts["node"], "left")
-    placed = placed.select("key", "digest", F.coalesce("component", "digest").alias("part"))
-    sizes = placed.groupBy("key", "part").agg(F.count("*").alias("most"))
-    largest = sizes.groupBy("key").agg(F.max(F.struct("most", "part")).alias("m"), F.count("*").alias("parts"), F.sum("most").alias("n"))
-    largest = largest.where((F.col("parts") > 1) & (F.col("n") > 2)).select("key", "n", F.col("m.part").alias("main"), F.col("m.most").alias("most"))
-    return placed.join(largest, "key")
+    """(key, digest, part, n) of the buckets that hold several components; n are their texts in all. Buckets of two texts are
+    done, their pair was verified."""
+    placed = buckets.select("key", "digest").join(parts.select(F.col("node").alias("digest"), F.col("component").alias("part")), "digest")
+    several = placed.groupBy("key").agg(F.min("part").alias("a"), F.max("part").alias("b"), F.count("*").alias("n"))
+    return placed.join(several.where((F.col("a") != F.col("b")) & (F.col("n") > 2)).select("key", "n"), "key")
 
 
 def _chance_pairs(mixed: DataFrame, turn: int) -> DataFrame:
@@ -340,8 +335,11 @@ def _chance_pairs(mixed: DataFrame, turn: int) -> DataFrame:
 
     Of a bucket's largest component about as many texts take part, at random, as there are others: these need partners.
     """
+    large = mixed.where(F.col("n") > LARGE)
+    largest = large.groupBy("key", "part").agg(F.count("*").alias("most")).groupBy("key").agg(F.max(F.struct("most", "part")).alias("m"))
+    rows = large.join(largest.select("key", F.col("m.part").alias("main"), F.col("m.most").alias("most")), "key")
     chance = F.pmod(F.xxhash64(F.lit(turn), "digest"), F.lit(1 << 20)) / (1 << 20)
-    rows = mixed.where((F.col("n") > LARGE) & ((F.col("part") != F.col("main")) | (chance * F.col("most") < F.col("n") - F.col("most"))))
+    rows = rows.where((F.col("part") != F.col("main")) | (chance * F.col("most") < F.col("n") - F.col("most")))
     piece = F.pmod(F.xxhash64("digest", F.lit(turn), F.lit("piece")), F.ceil(F.col("n") / PIECE))
     order = Window.partitionBy("key", "piece").orderBy(F.xxhash64(F.lit(turn), F.lit("order"), "digest"), "digest")
     rows = rows.withColumn("piece", piece).select("digest", "part", F.lag("digest").over(order).alias("hub"), F.lag("part").over(order).alias("other"))
@@ -384,12 +382,12 @@ def _grown(parts: DataFrame, links: DataFrame) -> tuple[DataFrame, int]:
     edges = links
     for end, part in (("u", "pu"), ("v", "pv")):
         edges = edges.join(parts.select(F.col("node").alias(end), F.col("component").alias(part)), end)
-    merged = components(edges.select(F.col("pu").alias("u"), F.col("pv").alias("v")))
+    merged = contracted(edges.select(F.col("pu").alias("u"), F.col("pv").alias("v")))
     merged = merged.select(F.col("node").alias("old"), F.col("component").alias("new"))
     moved = parts.join(merged, parts["component"] == merged["old"], "left")
     moved = moved.select("node", F.coalesce("new", "component").alias("component"), "old", "new")
     # A component is named by one of its nodes.
-    joined = F.count_if((F.col("node") == F.col("old")) & (F.col("old") != F.col("new"))).alias("joined")
+    joined = F.count_if(F.col("node") == F.col("old")).alias("joined")
     grown, seen = stored_with(moved, "parts", joined)
     return grown.select("node", "component"), seen["joined"]
 

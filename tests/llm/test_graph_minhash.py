@@ -230,3 +230,29 @@ def test_the_exact_step_alone_loses_nothing(spark, monkeypatch):
         texts.append(" ".join(words))
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(4)
     assert {r["id"]: r["class_id"] for r in minhash.near_duplicates(docs).collect()} == classes_by_brute_force(texts)
+
+
+def plans_of(module, monkeypatch):
+    """The physical plans of all tables that the module stores."""
+    plans = []
+    for name in ("stored", "stored_with"):
+        plain = getattr(module, name)
+
+        def noted(df, *rest, plain=plain):
+            plans.append(df._jdf.queryExecution().sparkPlan().toString())
+            return plain(df, *rest)
+
+        monkeypatch.setattr(module, name, noted)
+    return plans
+
+
+def test_components_of_few_edges_take_one_shuffle_a_turn(spark, monkeypatch):
+    edges = [(0, i) for i in range(1, 30)] + [(100 + i, 101 + i) for i in range(20)] + [(60, 65), (61, 65), (61, 66), (62, 66), (62, 67)]
+    union = Union()
+    for a, b in edges:
+        union.join(a, b)
+    plans = plans_of(graph, monkeypatch)
+    got = dict(map(tuple, graph.components(spark.createDataFrame(edges, "u bigint, v bigint")).collect()))
+    assert got == {x: union.find(x) for e in edges for x in e}
+    turns = sum("HashAggregate" in p for p in plans)
+    assert turns <= 4 and len(plans) <= 1 + turns * 9
