@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from martloom.llm.common import stored
+
 # Means above this are sums of several draws, so that exp(-mean) stays far from 0.
 _PART = 64
 
@@ -65,7 +67,8 @@ def replicate(docs: DataFrame, rates: DataFrame, seed: str = "mix", id_column: s
     steps = F.transform(F.array(F.lit(0)), lambda _: poisson_steps(F.col("part")))[0]
     parts = F.greatest(F.lit(1), F.ceil(F.col("rate") / _PART)).cast("int")
     tables = rates.where("rate > 0").withColumn("parts", parts).withColumn("part", F.col("rate") / F.col("parts")).withColumn("steps", steps)
-    tables = tables.select(F.col("source").alias("rate_source"), "rate", "parts", "steps")
+    # Read back, the table of sources has its own size and not one guessed from the documents: few sources need no shuffle of them.
+    tables = stored(tables.select(F.col("source").alias("rate_source"), "rate", "parts", "steps"), "rates")
     given = docs.select(F.struct("*").alias("row"), F.col(source).alias("of"), F.coalesce(F.col(id_column).cast("string"), F.lit("")).alias("name"))
     drawn = given.join(tables, F.col("of").eqNullSafe(F.col("rate_source")))
     one = lambda i: F.size(F.filter("steps", lambda p: p <= uniform(F.lit(seed), F.col("name"), i.cast("string"))))

@@ -82,3 +82,15 @@ def test_sources_get_their_weights_and_rows_are_repeatable(make_docs, messy):
     even = mixing.temperature_rates(docs, power=0.0).collect()
     assert len({r["source"] for r in even}) == 4
     assert mixing.replicate(docs.limit(0), rates).count() == 0
+
+
+def test_few_sources_move_no_documents(spark, make_docs):
+    docs = make_docs([(i, f"{i} " * 400, "en", f"s{i % 3}") for i in range(400)])
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "60KB")
+    try:
+        mixed = mixing.replicate(docs, mixing.temperature_rates(docs))
+        plan = mixed._jdf.queryExecution().sparkPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
