@@ -90,6 +90,17 @@ class Pieces(dict):
         return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
 
 
+_HELD: dict[str, Pieces] = {}
+
+
+def held_pieces(tokenizer_json: str) -> Pieces:
+    """The pieces of this vocabulary that stay with the worker, so that its next tasks need not tokenise the same pre-tokens again."""
+    if tokenizer_json not in _HELD:
+        _HELD.clear()
+        _HELD[tokenizer_json] = Pieces(tokenizer_json)
+    return _HELD[tokenizer_json]
+
+
 def plain_rows(column: pa.Array) -> np.ndarray:
     """For each row whether all its code points are below LATIN or marks of U+2010-2027."""
     data, offsets = text_bytes(column)

@@ -5,14 +5,16 @@ Each block is coded on its own with a fresh model and carries a checksum. The mo
 
 * order 2: the id that last followed the same two ids, order 1: the id that last followed the same id, each with a count of
   how often it was right in a row; how much of the probability the two get is adapted separately for each pair of counts;
-* order 0: adaptive frequencies of ids, as digits of four bits, each digit given the digits before it.
+* order 0: frequencies of ids in the whole segment, kept before its blocks in about a byte for each id; in a small segment those
+  of groups of neighbouring ids. One step of the coder for an id, whatever the size of the vocabulary.
 
 The range coder works on integers only. All blocks of a segment are coded side by side, one id of each block per step, so a
-step is a few array operations. Coding and decoding run the same model code.
+step is a few array operations. Coding and decoding run the same model code. A block needs the table of its segment and no other block.
 
 Format of a segment (little-endian): magic, version, numbers of documents, ids and digits, then for each document its id
-(int64), whether that is missing (uint8) and its number of ids (uint64), a checksum of all that, and for each block its number
-of coded bytes (uint32) and the checksum of its ids (uint32); then the coded bytes of all blocks.
+(int64), whether that is missing (uint8) and its number of ids (uint64), a checksum of all that, number of bytes (uint32) and
+checksum (uint32) of the table, and for each block its number of coded bytes (uint32) and the checksum of its ids (uint32); then
+the table and the coded bytes of all blocks.
 """
 
 from __future__ import annotations
@@ -29,30 +31,26 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from martloom.llm.common import map_batches, text_blocks
-from martloom.llm.pretokens import Pieces, block_pieces
+from martloom.llm.pretokens import Pieces, block_pieces, held_pieces
 from martloom.session import scratch_path
 
-MAGIC, VERSION = b"MLTOKENS", 1
+MAGIC, VERSION = b"MLTOKENS", 2
 BLOCK = 2048
 # Ids after which a segment is closed.
 SEGMENT = 1 << 22
 END_ID = 1
 
-# Probabilities are in units of 2^-BITS.
-BITS = 14
+# Probabilities of choices are in units of 2^-BITS, those of groups of ids in units of 2^-GROUP_BITS.
+BITS, GROUP_BITS = 14, 20
 _ONE = 1 << BITS
-_SLOTS, _DIGIT_SLOTS = 1 << 11, 1 << 10
-# A digit's row has the upper bounds of its 16 values; the step towards an observed value keeps each at least 1 wide.
-_RATE, _LEAST = 4, 16
-_TARGET = np.array([[_ONE - (15 - j) * _LEAST if j >= s else (j + 1) * _LEAST for j in range(16)] for s in range(16)], np.int16)
-# What is coded first: 0 the order-2 id, 1 the order-1 id, 2 neither. A row has the upper bounds of the first two.
+_SLOT_BITS = 11
+# What is coded first: the order-2 id, the order-1 id, or neither. A row has the upper bounds of the first two, in 16 bits each; the
+# step towards what was seen keeps each of the three at least _CHOICE_LEAST wide.
 _CHOICE_RATE, _CHOICE_LEAST = 5, 32
-_CHOICE_TARGET = np.array(
-    [[_ONE - 2 * _CHOICE_LEAST, _ONE - _CHOICE_LEAST], [_CHOICE_LEAST, _ONE - _CHOICE_LEAST], [_CHOICE_LEAST, 2 * _CHOICE_LEAST]],
-    np.int16,
-)
 _CONFIDENCE = 7
 _WINDOW, _RENEW = 40, 24
+# A table of ids has at most so many groups, and one for so many ids of the segment; an id's place in its group takes pieces of PIECE bits.
+_GROUPS, _IDS_A_GROUP, _PIECE = 1 << 16, 16, 12
 
 
 class _Encoder:
@@ -66,11 +64,11 @@ class _Encoder:
     def lanes(self, lane) -> tuple:
         return lane, self.low[lane], self.range[lane]
 
-    def code(self, state: tuple, start: np.ndarray, end: np.ndarray) -> tuple:
+    def code(self, state: tuple, start: np.ndarray, size: np.ndarray | int, bits: int = BITS) -> tuple:
         lane, low, width = state
-        part = width >> BITS
-        low = low + part * start
-        width = part * (end - start)
+        width = width >> bits
+        low = low + width * start
+        width *= size
         full = np.flatnonzero(width < (1 << _RENEW))
         if len(full):
             at = full if isinstance(lane, slice) else lane[full]
@@ -117,15 +115,15 @@ class _Decoder:
         return lane, self.value[lane], self.range[lane]
 
     @staticmethod
-    def target(state: tuple) -> np.ndarray:
-        # Both are below 2^40 and the quotient is below 2^15, so this division is exact enough for its floor.
-        return np.minimum(state[1] / (state[2] >> BITS), _ONE - 1).astype(np.int16)
+    def target(state: tuple, bits: int = BITS) -> np.ndarray:
+        # Both are below 2^40 and the quotient is below 2^21, so this division is exact enough for its floor.
+        return np.minimum(state[1] / (state[2] >> bits), (1 << bits) - 1).astype(np.int64)
 
-    def take(self, state: tuple, start: np.ndarray, end: np.ndarray) -> tuple:
+    def code(self, state: tuple, start: np.ndarray, size: np.ndarray | int, bits: int = BITS) -> tuple:
         lane, value, width = state
-        part = width >> BITS
-        value = value - part * start
-        width = part * (end - start)
+        width = width >> bits
+        value = value - width * start
+        width *= size
         full = np.flatnonzero(width < (1 << _RENEW))
         if len(full):
             at = full if isinstance(lane, slice) else lane[full]
@@ -139,86 +137,97 @@ class _Decoder:
         lane, self.value[lane], self.range[lane] = state[0], state[1], state[2]
 
 
-_ONES = np.uint64(0x0101010101010101)
+class _Groups:
+    """Order 0: how often each group of 2^shift neighbouring ids occurs in the segment. Stored as one byte a group, about its logarithm."""
 
+    def __init__(self, table: bytes) -> None:
+        self.table, self.shift = table, table[0]
+        code = np.frombuffer(zlib.decompress(table[1:]), np.uint8).astype(np.int64)
+        sizes = np.where(code < 4, code, (4 + (code & 3)) << np.maximum((code >> 2) - 1, 0))
+        ends = (np.cumsum(sizes) << GROUP_BITS) // sizes.sum()
+        self.size = np.diff(ends, prepend=0)
+        self.start = ends - self.size
 
-def _count_true(flags: np.ndarray) -> np.ndarray:
-    """True values of each row of 16."""
-    halves = flags.view(np.uint64)
-    return (((halves[:, 0] + halves[:, 1]) * _ONES) >> np.uint64(56)).astype(np.int64)
+    @classmethod
+    def of(cls, ids: np.ndarray, digits: int) -> _Groups:
+        bits = min(4 * digits, _GROUPS.bit_length() - 1, max(len(ids) // _IDS_A_GROUP, 1).bit_length() - 1)
+        shift = 4 * digits - bits
+        n = np.bincount(ids >> np.uint32(shift), minlength=1 << bits)
+        # Whole counts of 19 bits in all, at least 1 for what occurs; the two bits after the first one are kept.
+        n = np.where(n > 0, np.maximum((n << (GROUP_BITS - 1)) // len(ids), 1), 0)
+        down = np.maximum(np.frexp(n)[1] - 3, 0)
+        code = np.where(n < 4, n, ((down + 1) << 2) | ((n >> down) & 3))
+        return cls(bytes([shift]) + zlib.compress(code.astype(np.uint8).tobytes()))
+
+    def rest(self) -> list[tuple[int, int]]:
+        """(shift, bits) of the pieces of an id's place in its group."""
+        return [(max(top - _PIECE, 0), min(top, _PIECE)) for top in range(self.shift, 0, -_PIECE)]
 
 
 class _Model:
-    def __init__(self, lanes: int, digits: int) -> None:
-        self.digits = digits
-        self.one, self.two = np.zeros(lanes * _SLOTS, np.uint32), np.zeros(lanes * _SLOTS, np.uint32)
-        self.choice = np.tile(np.array([_ONE // 4, _ONE // 2], np.int16), (lanes * 128, 1))
-        sizes = [min(16**k, _DIGIT_SLOTS) for k in range(digits)]
-        self.base = np.concatenate([[0], np.cumsum(sizes)])
-        self.rows = int(self.base[-1])
-        # One item of 32 bytes per row: reading and writing whole items is faster than rows of a matrix.
-        self.digit = np.tile(((np.arange(16) + 1) * (_ONE // 16)).astype(np.int16), lanes * self.rows).view("V32")
-        self.last, self.last2 = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
-        self.every = np.arange(lanes)
+    def __init__(self, lanes: int, groups: _Groups, decodes: bool) -> None:
+        self.groups = groups
+        self.group_at = np.repeat(np.arange(len(groups.size), dtype=np.uint32), groups.size) if decodes else None
+        self.one, self.two = np.zeros(lanes << _SLOT_BITS, np.uint32), np.zeros(lanes << _SLOT_BITS, np.uint32)
+        self.choice = np.full(lanes * 128, (_ONE // 4) | (_ONE // 2) << 16, np.uint32)
+        self.last, self.hash1, self.hash2 = (np.zeros(lanes, np.uint32) for _ in range(3))
+        self.slots, self.contexts = np.arange(lanes) << _SLOT_BITS, np.arange(lanes) * 128
 
     def step(self, n: int, ids: np.ndarray | None, coder) -> np.ndarray:
         """Code ``ids`` of the first n lanes, or decode them if there are none."""
-        lane = self.every[:n]
-        last, last2 = self.last[:n], self.last2[:n]
-        slot1 = lane * _SLOTS + ((last * 0x9E3779B1 >> 15) & (_SLOTS - 1))
-        slot2 = lane * _SLOTS + (((last * 0x9E3779B1 + last2 * 0x85EBCA6B) >> 15) & (_SLOTS - 1))
-        entry1, entry2 = self.one[slot1], self.two[slot2]
-        guess1, guess2 = entry1 >> 3, entry2 >> 3
-        sure1, sure2 = entry1 & 7, entry2 & 7
-        context = lane * 128 + ((guess1 == guess2) * np.uint32(64) + sure2 * np.uint32(8) + sure1)
-        chances = self.choice[context]
-        first, second = chances[:, 0], chances[:, 1]
+        hash1 = self.hash1[:n]
+        slot1 = self.slots[:n] + (hash1 >> np.uint32(32 - _SLOT_BITS))
+        slot2 = self.slots[:n] + ((hash1 + self.hash2[:n]) >> np.uint32(32 - _SLOT_BITS))
+        entry1, entry2 = self.one.take(slot1), self.two.take(slot2)
+        guess1, guess2 = entry1 >> np.uint32(3), entry2 >> np.uint32(3)
+        sure1, sure2 = entry1 & np.uint32(7), entry2 & np.uint32(7)
+        context = self.contexts[:n] + ((guess1 == guess2) * np.uint32(64) + (sure2 << np.uint32(3)) + sure1)
+        chances = self.choice.take(context).view(np.int32)
+        first, second = chances & 0xFFFF, chances >> 16
         state = coder.lanes(slice(0, n))
         if ids is None:
             target = coder.target(state)
-            pick = (first <= target).astype(np.int8) + (second <= target)
+            hit2, neither = target < first, target >= second
+            is_one = ~(hit2 | neither)
         else:
-            pick = np.where(ids == guess2, np.int8(0), np.where(ids == guess1, np.int8(1), np.int8(2)))
-        start = np.where(pick == 0, 0, np.where(pick == 1, first, second)).astype(np.int64)
-        end = np.where(pick == 0, first, np.where(pick == 1, second, _ONE)).astype(np.int64)
-        coder.store((coder.take if ids is None else coder.code)(state, start, end))
-        self.choice[context] = chances + ((_CHOICE_TARGET[pick] - chances) >> _CHOICE_RATE)
-        out = np.where(pick == 0, guess2, guess1) if ids is None else ids
-        plain = np.flatnonzero(pick == 2)
+            hit2 = ids == guess2
+            is_one = (ids == guess1) & ~hit2
+            neither = ~(hit2 | is_one)
+        start = np.where(hit2, 0, np.where(is_one, first, second))
+        end = np.where(hit2, first, np.where(is_one, second, _ONE))
+        coder.store(coder.code(state, start, end - start))
+        first += (np.where(hit2, _ONE - 2 * _CHOICE_LEAST, _CHOICE_LEAST) - first) >> _CHOICE_RATE
+        second += (np.where(neither, 2 * _CHOICE_LEAST, _ONE - _CHOICE_LEAST) - second) >> _CHOICE_RATE
+        self.choice[context] = (first | second << 16).view(np.uint32)
+        out = np.where(hit2, guess2, guess1) if ids is None else ids
+        plain = np.flatnonzero(neither)
         if len(plain):
-            found = self._digits(plain, None if ids is None else ids[plain], coder)
+            found = self._by_group(plain, None if ids is None else ids[plain], coder)
             if ids is None:
                 out[plain] = found
-        grown = np.uint32(_CONFIDENCE)
-        self.one[slot1] = (out << 3) | np.where(out == guess1, np.minimum(sure1 + 1, grown), 0).astype(np.uint32)
-        self.two[slot2] = (out << 3) | np.where(out == guess2, np.minimum(sure2 + 1, grown), 0).astype(np.uint32)
-        self.last2[:n] = last
+        fresh = out << np.uint32(3)
+        self.one[slot1] = np.where(out == guess1, entry1 + (sure1 < _CONFIDENCE), fresh)
+        self.two[slot2] = np.where(out == guess2, entry2 + (sure2 < _CONFIDENCE), fresh)
+        np.multiply(self.last[:n], np.uint32(0x85EBCA6B), out=self.hash2[:n])
         self.last[:n] = out
+        np.multiply(out, np.uint32(0x9E3779B1), out=hash1)
         return out
 
-    def _digits(self, lane: np.ndarray, ids: np.ndarray | None, coder) -> np.ndarray:
-        done = np.zeros(len(lane), np.int64)
-        place = self.every[: len(lane)] * 16
-        state = coder.lanes(lane)
-        rows = lane * self.rows
-        for k in range(self.digits):
-            row = rows + (self.base[k] + (done if 16**k <= _DIGIT_SLOTS else (done * 0x9E3779B1 >> 12) & (_DIGIT_SLOTS - 1)))
-            chances = self.digit[row].view(np.int16).reshape(-1, 16)
-            if ids is None:
-                symbol = _count_true(chances <= coder.target(state)[:, None])
-            else:
-                symbol = (ids >> np.uint32(4 * (self.digits - 1 - k))).astype(np.int64) & 15
-            flat, at = chances.reshape(-1), place + symbol
-            start = flat[at - 1].astype(np.int64) * (symbol > 0)
-            state = (coder.take if ids is None else coder.code)(state, start, flat[at].astype(np.int64))
-            self.digit[row] = (chances + ((_TARGET[symbol] - chances) >> _RATE)).reshape(-1).view("V32")
-            done = done * 16 + symbol
+    def _by_group(self, lane: np.ndarray, ids: np.ndarray | None, coder) -> np.ndarray:
+        groups, state = self.groups, coder.lanes(lane)
+        group = self.group_at.take(coder.target(state, GROUP_BITS)) if ids is None else ids >> np.uint32(groups.shift)
+        state = coder.code(state, groups.start.take(group), groups.size.take(group), GROUP_BITS)
+        done = group
+        for shift, bits in groups.rest():
+            part = coder.target(state, bits).astype(np.uint32) if ids is None else (ids >> np.uint32(shift)) & np.uint32((1 << bits) - 1)
+            state = coder.code(state, part.astype(np.int64), 1, bits)
+            done = (done << np.uint32(bits)) | part
         coder.store(state)
         return done
 
 
 def encode_blocks(ids: np.ndarray, digits: int, block: int = BLOCK) -> list[bytes]:
-    """Each block of ids on its own; all but the last have ``block`` ids."""
+    """The table of groups, then each block of ids on its own; all but the last have ``block`` ids."""
     n = -(-len(ids) // block)
     if not n:
         return []
@@ -226,20 +235,21 @@ def encode_blocks(ids: np.ndarray, digits: int, block: int = BLOCK) -> list[byte
     padded[: len(ids)] = ids
     padded = np.ascontiguousarray(padded.reshape(n, block).T)
     tail = len(ids) - (n - 1) * block
-    model, coder = _Model(n, digits), _Encoder(n, block)
+    groups = _Groups.of(ids, digits)
+    model, coder = _Model(n, groups, False), _Encoder(n, block)
     for t in range(block if n > 1 else tail):
         live = n if t < tail else n - 1
         model.step(live, padded[t, :live], coder)
-    return coder.finish()
+    return [groups.table, *coder.finish()]
 
 
 def decode_blocks(coded: list[bytes], total: int, digits: int, block: int = BLOCK) -> np.ndarray:
-    n = len(coded)
-    if not n:
+    n = len(coded) - 1
+    if n < 1:
         return np.zeros(0, np.uint32)
     out = np.zeros((block, n), np.uint32)
     tail = total - (n - 1) * block
-    model, coder = _Model(n, digits), _Decoder(coded)
+    model, coder = _Model(n, _Groups(coded[0]), True), _Decoder(coded[1:])
     for t in range(block if n > 1 else tail):
         live = n if t < tail else n - 1
         out[t, :live] = model.step(live, None, coder)
@@ -260,6 +270,7 @@ def pack(segment: Segment, digits: int) -> bytes:
     head += names.tobytes() + missing.tobytes() + segment.sizes.astype("<u8").tobytes()
     coded = encode_blocks(segment.ids, digits)
     sums = [zlib.crc32(segment.ids[i : i + BLOCK].astype("<u4").tobytes()) for i in range(0, len(segment.ids), BLOCK)]
+    sums = [zlib.crc32(c) for c in coded[:1]] + sums
     index = np.array([[len(c), s] for c, s in zip(coded, sums, strict=True)], "<u4").tobytes()
     return head + struct.pack("<I", zlib.crc32(head)) + index + b"".join(coded)
 
@@ -277,12 +288,15 @@ def unpack(data: bytes) -> Segment:
     missing = np.frombuffer(data, np.uint8, docs, fixed + 8 * docs)
     sizes = np.frombuffer(data, "<u8", docs, fixed + 9 * docs).astype(np.int64)
     blocks = -(-total // BLOCK)
-    index = np.frombuffer(data, "<u4", 2 * blocks, end + 4).reshape(blocks, 2).astype(np.int64)
-    bounds = end + 4 + 8 * blocks + np.concatenate([[0], np.cumsum(index[:, 0])]).astype(np.int64)
+    rows = blocks + (blocks > 0)
+    index = np.frombuffer(data, "<u4", 2 * rows, end + 4).reshape(rows, 2).astype(np.int64)
+    bounds = end + 4 + 8 * rows + np.concatenate([[0], np.cumsum(index[:, 0])]).astype(np.int64)
     coded = [data[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+    if coded and zlib.crc32(coded[0]) != index[0, 1]:
+        raise ValueError("checksum of the table of ids does not hold")
     ids = decode_blocks(coded, total, digits)
     for i in range(blocks):
-        if zlib.crc32(ids[i * BLOCK : (i + 1) * BLOCK].astype("<u4").tobytes()) != index[i, 1]:
+        if zlib.crc32(ids[i * BLOCK : (i + 1) * BLOCK].astype("<u4").tobytes()) != index[i + 1, 1]:
             raise ValueError(f"checksum of block {i} does not hold")
     return Segment([None if m else int(d) for d, m in zip(names, missing, strict=True)], sizes, ids)
 
@@ -310,7 +324,7 @@ def block_ids(column: pa.Array, pieces: Pieces, end_id: int) -> tuple[np.ndarray
 
 def _write(tokenizer, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = Pieces(tokenizer.value)
+        pieces = held_pieces(tokenizer.value)
         digits = -(-max(int(pieces.library.get_vocab_size(with_added_tokens=True)) - 1, end_id, 1).bit_length() // 4)
         shard, number = TaskContext.get().partitionId(), 0
         names: list = []

@@ -123,3 +123,32 @@ def test_counts_per_document(make_docs, messy):
     for r in rows:
         n = len(library_ids(r["text"]))
         assert (r["n_bytes"], r["n_tokens"], r["over_limit"]) == (len((r["text"] or "").encode()), n, n > 50)
+
+
+def test_an_id_is_coded_in_one_step_from_the_table_of_its_segment(monkeypatch):
+    steps = []
+    plain = token_output._Encoder.code
+    monkeypatch.setattr(token_output._Encoder, "code", lambda self, state, *rest: steps.append(len(state[1])) or plain(self, state, *rest))
+    rng = np.random.default_rng(3)
+    ids = (rng.zipf(1.3, 1 << 20) % 49408).astype(np.uint32)
+    coded = token_output.encode_blocks(ids, 4)
+    # One choice an id, and at most one more step.
+    assert sum(steps) <= 2 * len(ids)
+    n = np.bincount(ids)[ids.max() :: -1]
+    share = n[n > 0] / len(ids)
+    assert 8 * sum(map(len, coded)) < len(ids) * (1.1 * -(share * np.log2(share)).sum() + 1)
+    assert np.array_equal(token_output.decode_blocks(coded, len(ids), 4), ids)
+    # A block needs the table and no other block.
+    assert np.array_equal(token_output.decode_blocks([coded[0], coded[7]], 2048, 4), ids[6 * 2048 : 7 * 2048])
+
+
+@pytest.mark.parametrize("digits", [1, 2, 5, 8])
+def test_coder_round_trip_for_vocabularies_of_any_size(digits):
+    ids = np.random.default_rng(digits).integers(0, min(16**digits, 1 << 32), 5000, np.uint64).astype(np.uint32)
+    assert np.array_equal(token_output.decode_blocks(token_output.encode_blocks(ids, digits, 100), 5000, digits, 100), ids)
+
+
+def test_pieces_stay_with_the_worker():
+    with open(PATH, encoding="utf-8") as file:
+        text = file.read()
+    assert pretokens.held_pieces(text) is pretokens.held_pieces("".join(list(text)))
