@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from checks import binding
 from martloom import MartSettings, schemas
-from martloom.plans import pipeline
+from martloom.plans import dims, pipeline
 from martloom.session import scratch_path
 from martloom.sinks.writers import write_full, write_period
 from martloom.sources.readers import read_mart
@@ -33,7 +33,7 @@ class Mart(Mapping):
     def __init__(self, spark: SparkSession, sf_dir: str, settings: MartSettings = SETTINGS) -> None:
         self.spark = spark
         self.settings = settings
-        self.src = binding.Sources(spark, sf_dir)
+        self.src = dims.LoadSources(binding.Sources(spark, sf_dir))
         self.root = scratch_path(spark, "mart")
         self._tables: dict[str, DataFrame] = {}
 

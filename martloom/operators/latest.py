@@ -27,10 +27,33 @@ def _piece(value: Column, cuts: Sequence[int], first: int = 0) -> Column:
     return F.when(value > cuts[middle], _piece(value, cuts[middle + 1 :], first + middle + 1)).otherwise(_piece(value, cuts[:middle], first))
 
 
-def position_in_group(df: DataFrame, group: Sequence[str], day: str, tie: str, name: str, pieces: int | None = None) -> DataFrame:
+# Numbers that groups are hashed to, and how many rows of one number a single task may sort.
+_NUMBERS, MOST_IN_A_WINDOW = 1 << 16, 1 << 18
+
+
+def position_in_group(
+    df: DataFrame, group: Sequence[str], day: str, tie: str, name: str, pieces: int | None = None, most: int = MOST_IN_A_WINDOW
+) -> DataFrame:
     """1-based position of each row in its group by (``day`` ascending with NULL last, ``tie``), a unique number.
 
-    Rows are numbered inside (group, day, piece) and shifted by the group's rows before that. Pieces are ranges of ``tie``
+    Rows are counted by a hash of their group, which combines on the map side to at most _NUMBERS rows. Groups whose hash has
+    up to ``most`` rows are numbered by a window. The others, which alone can be large, are cut into pieces; with ``pieces``
+    given all groups are.
+    """
+    if pieces:
+        return _position_by_pieces(df, group, day, tie, name, pieces)
+    number = F.pmod(F.xxhash64(*group), F.lit(_NUMBERS))
+    # At most one number for each ``most`` rows.
+    crowded = [r["n"] for r in df.groupBy(number.alias("n")).count().filter(F.col("count") > most).select("n").collect()]
+    window = Window.partitionBy(*group).orderBy(F.col(day).asc_nulls_last(), F.col(tie))
+    if not crowded:
+        return df.withColumn(name, F.row_number().over(window))
+    small, large = df.filter(~number.isin(crowded)), df.filter(number.isin(crowded))
+    return small.withColumn(name, F.row_number().over(window)).unionByName(_position_by_pieces(large, group, day, tie, name))
+
+
+def _position_by_pieces(df: DataFrame, group: Sequence[str], day: str, tie: str, name: str, pieces: int | None = None) -> DataFrame:
+    """Rows are numbered inside (group, day, piece) and shifted by the group's rows before that. Pieces are ranges of ``tie``
     between sampled quantiles, so a day of any number of rows falls into pieces of about equal size whatever the ids look
     like. The shift is a prefix sum in two levels: over the pieces of a day, and over the days of a group. So no task holds
     more than a piece of rows, a day's pieces or a group's days, however large the group is. Keys are structs because structs

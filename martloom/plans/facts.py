@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, functions as F
 from martloom import schemas
 from martloom.functions.money import is_income, or_zero
 from martloom.operators.keys import clustered, unique_key
+from martloom.operators.reduce import only_with
 from martloom.operators.star import Lookup, star_lookup
-from martloom.plans.dims import Sources, active, agreement_attributes, of_tenants
+from martloom.plans.dims import Sources, active, attributes_of_agreements, of_tenants
 from martloom.plans.measures import posted_invoices
 from martloom.settings import MartSettings
 
@@ -174,7 +175,7 @@ def fact_serviceagreement(src: Sources, mart: Mart, settings: MartSettings) -> D
         & F.col("TenantId").isin(*settings.tenant_ids)
     ).drop("LoadDateTime", "UpdatedDateTime")
     agreements = (
-        agreement_attributes(src, of_tenants(src["serviceagreement"], settings)).filter(active())
+        attributes_of_agreements(src, settings).filter(active())
         .select(
             F.col("id").alias("ServiceAgreementId"),
             F.col("_tenant_id").alias("TenantId"),
@@ -187,13 +188,15 @@ def fact_serviceagreement(src: Sources, mart: Mart, settings: MartSettings) -> D
             "customerid", "businessunitid", "soldbyid", "LocationId",
         )
     )
+    key = ["ServiceAgreementId", "TenantId"]
     percents = ("JobCommissionPct", "SAYear1CommissionPct", "SAYear2CommissionPct", "SAYear3PlusCommissionPct")
     rows = star_lookup(
-        measures.join(agreements, ["ServiceAgreementId", "TenantId"]),
+        # Most agreements have nothing in a period.
+        measures.join(only_with(agreements, measures, key), key),
         [
-            _dimension(
-                mart, "dim_serviceagreement", "ServiceAgreementId", "ServiceAgreementId", "ServiceAgreementKey",
-                "ServiceAgreementDimKey",
+            Lookup(
+                only_with(mart["dim_serviceagreement"], measures, key), {c: c for c in key},
+                {"ServiceAgreementKey": "ServiceAgreementDimKey"},
             ),
             Lookup(
                 src["report.dim_employee"], {"soldbyid": "user_id", "TenantId": "_tenant_id"},

@@ -16,7 +16,8 @@ from martloom.operators.eav import eav_pivot
 from martloom.operators.latest import latest_per_key
 from martloom.operators.reduce import only_with
 from martloom.operators.star import Lookup, star_lookup
-from martloom.plans.dims import Sources, account_lookups, active, of_tenants
+from martloom.plans.dims import Sources, account_lookups, active, of_tenants, once
+from martloom.session import cut_lineage
 from martloom.settings import MartSettings
 
 POSTED = 2
@@ -323,24 +324,32 @@ def agreement_revenue(src: Sources, settings: MartSettings) -> DataFrame:
 
 def visit_jobs(src: Sources, settings: MartSettings) -> DataFrame:
     """(agreement, job) for every active visit; a job visited twice for an agreement is listed twice."""
+    place = ["serviceagreementlocation_id", "_tenant_id"]
     places = src["serviceagreementlocation"].filter(active()).select(
         F.col("id").alias("serviceagreementlocation_id"), "_tenant_id", F.col("serviceagreement_id").alias("id")
     )
-    visits = of_tenants(src["serviceagreementvisit"], settings).filter(active()).select(
-        "serviceagreementlocation_id", "_tenant_id", F.col("jobid").alias("job_id")
+    visits = cut_lineage(
+        of_tenants(src["serviceagreementvisit"], settings).filter(active()).select(*place, F.col("jobid").alias("job_id"))
     )
     jobs = src["job"].filter(active()).select(F.col("id").alias("job_id"), "_tenant_id")
-    return visits.join(places, ["serviceagreementlocation_id", "_tenant_id"]).join(jobs, JOB_KEY)
+    return visits.join(only_with(places, visits, place), place).join(jobs, JOB_KEY)
 
 
 def agreement_costs(src: Sources, settings: MartSettings) -> DataFrame:
-    """Labor, burden, material and equipment cost of an agreement's visit jobs.
+    """Labor, burden, material and equipment cost of an agreement's visit jobs; the same for every period unless filtered by it."""
+    if settings.filter_costs_by_period:
+        return _agreement_costs(src, settings)
+    return once(src, ("agreement costs", settings.tenant_ids), lambda: _agreement_costs(src, settings))
+
+
+def _agreement_costs(src: Sources, settings: MartSettings) -> DataFrame:
+    """``agreement_costs`` from the sources.
 
     Pay and lines are summed per job first and then attached to the visits: one row per job and side, so neither
     multiplies the other, and a job with very many lines stays one row. Where visit jobs are few, only their pay and lines are
     summed.
     """
-    visits = visit_jobs(src, settings)
+    visits = cut_lineage(visit_jobs(src, settings))
     in_period = F.col("invoicedon").cast("date").between(settings.period_start, settings.period_end)
     invoices = of_tenants(src["invoice"], settings).filter(active())
     pay = pay_lines(src, settings).filter("job_id IS NOT NULL")

@@ -206,6 +206,7 @@ def load_tables(
     tables: Sequence[str] = TABLES, incremental: bool = False,
 ) -> dict[str, int]:
     """``build_warehouse`` over sources that are open already."""
+    src = dims.LoadSources(src)
     load = _Load(spark, settings, src, mart, mart_root, log)
     tracked = [*_BY_INVOICE, "mat_job_returns"]
     state = VersionedTable(spark, f"{mart_root}/{STATE}")

@@ -23,6 +23,8 @@ from datetime import date
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql import types as T
 
+from martloom.session import releasing
+
 FOLDER = "_versions"
 # Versions whose data a sweep leaves: the current one and, for readers that opened it, the one before.
 KEPT = 2
@@ -126,14 +128,16 @@ class VersionedTable:
         folder, seen = f"data-{uuid.uuid4().hex}", Observation()
         rows = F.count(F.lit(1)).alias("rows")
         if not by:
-            df.observe(seen, rows, *observed).write.parquet(f"{self.path}/{folder}")
+            with releasing(self.spark):
+                df.observe(seen, rows, *observed).write.parquet(f"{self.path}/{folder}")
             return ((Part(folder),) if seen.get["rows"] else ()), seen.get
         named = [tuple(p) for p in parts]
         shape = T.StructType([df.schema[c] for c in by]).add("part", T.IntegerType())
         # One row per part that the caller has named.
         numbered = self.spark.createDataFrame([(*p, i) for i, p in enumerate(named)], shape)
         chosen = df.join(F.broadcast(numbered), list(by)).select(*df.columns, "part")
-        chosen.observe(seen, rows, F.collect_set("part").alias("_parts"), *observed).write.partitionBy("part").parquet(f"{self.path}/{folder}")
+        with releasing(self.spark):
+            chosen.observe(seen, rows, F.collect_set("part").alias("_parts"), *observed).write.partitionBy("part").parquet(f"{self.path}/{folder}")
         return tuple(Part(f"{folder}/part={i}", tuple(sorted(zip(by, map(_text, named[i]), strict=True)))) for i in sorted(seen.get["_parts"])), seen.get
 
     def publish(self, parts: Sequence[Part], note: Mapping[str, str] | None = None) -> Version:
