@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from martloom import MartSettings, schemas
 from martloom.operators.latest import position_in_group
 from martloom.operators.reduce import only_with
-from martloom.plans import dims, facts, measures
+from martloom.plans import changes, dims, facts, measures
 from martloom.session import cut_lineage, releasing
 from tests.conftest import TENANT
 
@@ -61,6 +61,17 @@ def test_positions_of_small_and_large_groups(spark, most):
 
 
 
+def test_an_invoice_has_one_digest(tables):
+    src = tables(
+        invoice=[{"id": 1}], invoiceitem=[{"id": 5, "invoice_id": 1}, {"id": 6, "invoice_id": 1}], purchaseorder=[{"id": 2, "invoice_id": 1}],
+        grosspayitem=[{"id": 3, "invoice_id": 1}], payrolladjustment=[{"id": 4, "invoice_id": 1}],
+        inventorybill=[{"id": 8, "purchaseorder_id": 2}], inventoryshipment=[{"id": 9, "purchaseorder_id": 2}],
+    )
+    every = [r for kinds in changes.GROUPS for r in changes.digests(src, SETTINGS, kinds).collect()]
+    assert sorted((r.kind, r.owner, r["rows"]) for r in every) == [("invoice", 1, 6), ("order", 2, 2)]
+    assert sorted(k for kinds in changes.GROUPS for k in kinds) == sorted(changes.WATCHED)
+
+
 def test_shuffle_files_go_with_the_write(spark):
     name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
     before = spark.conf.get(name)
