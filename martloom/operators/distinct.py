@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from martloom.session import cut_lineage
+
 # Places on which the ids of a group are marked; neighbouring ids have different ones.
 _WORDS, _BITS = 4, 64
 
@@ -21,15 +23,22 @@ def sums_with_distinct(df: DataFrame, keys: Sequence[str], id_column: str, name:
 
     Next to the sums, each key marks its ids on places that its rows' ids have in small bit words, which combine on the
     map side like any sum. A key with as many marks as ids has no id twice, since equal ids share a place: its plain count
-    is exact. Only the other keys - with a repeated id, or two ids that share a place by chance - are counted again, by an
-    exchange of just their distinct ids. A plain distinct count exchanges every (key, id). ``ids`` may give the keys and ids of
-    ``df`` in a cheaper way, such as the table from before its lookups.
+    is exact. Where a key's ids lie closer together than there are places, different ids have different places and the marks are
+    the count, whatever repeats. Only the other keys are stored and counted again, if there are any, by an exchange of
+    just their distinct ids. A plain distinct count exchanges every (key, id). ``ids`` may give the keys and ids of ``df`` in a
+    cheaper way, such as the table from before its lookups.
     """
-    marked = df.groupBy(*keys).agg(*sums, *_marks(id_column), F.count(id_column).alias(name))
-    marks = sum((F.bit_count(F.coalesce(F.col(f"_word{w}"), F.lit(0).cast("bigint"))) for w in range(_WORDS)), F.lit(0))
+    number = F.col(id_column).cast("bigint")
+    ends = [F.min(number).alias("_low"), F.max(number).alias("_high")]
+    marked = df.groupBy(*keys).agg(*sums, *_marks(id_column), F.count(id_column).alias(name), *ends)
+    marks = sum((F.bit_count(F.coalesce(F.col(f"_word{w}"), F.lit(0).cast("bigint"))) for w in range(_WORDS)), F.lit(0)).cast("bigint")
+    near = F.coalesce(F.try_subtract("_high", "_low") < _WORDS * _BITS, F.lit(False))
     words = [f"_word{w}" for w in range(_WORDS)]
-    judged = marked.withColumn("_unsure", marks < F.col(name)).drop(*words)
-    unsure = judged.filter("_unsure").select(*keys)
+    judged = marked.withColumn("_unsure", ~near & (marks < F.col(name))).withColumn(name, F.when(near, marks).otherwise(F.col(name)))
+    judged = judged.drop(*words, "_low", "_high")
+    unsure = cut_lineage(judged.filter("_unsure").select(*keys))
+    if unsure.isEmpty():
+        return judged.drop("_unsure")
     ids = (df if ids is None else ids).select(*keys, id_column)
     met = [ids[k].eqNullSafe(unsure[k]) for k in keys]
     again = ids.join(unsure, met, "left_semi").distinct().groupBy(*keys).agg(F.count(id_column).alias("_exact"))

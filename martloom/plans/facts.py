@@ -62,6 +62,9 @@ def job_salespeople(src: Sources, mart: Mart, settings: MartSettings) -> DataFra
     people = mart["mat_employee_commissionrates"].select(
         "EmployeeId", F.col("TenantId").alias("_tenant_id"), F.trim("EmployeeName").alias("person")
     )
+    if settings.multi_salesperson != "duplicate":
+        # Only the lowest id counts in the end, so a name that many employees share meets its jobs once.
+        people = people.groupBy("person", "_tenant_id").agg(F.min("EmployeeId").alias("EmployeeId"))
     named = (
         of_tenants(src["customfield"], settings).filter(active())
         .select(F.col("owner_id").alias("JobId"), "_tenant_id", "type_id", F.trim("value").alias("person"))

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from martloom import MartSettings, schemas
+from martloom.operators.distinct import sums_with_distinct
 from martloom.operators.latest import position_in_group
 from martloom.operators.reduce import only_with
 from martloom.plans import changes, dims, facts, measures
@@ -19,6 +20,10 @@ SETTINGS = MartSettings(
 )
 
 
+def plan(df) -> str:
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_agreements_of_all_periods_are_numbered_once(tables, monkeypatch):
     src = dims.LoadSources(tables(
         serviceagreement=[{"id": i, "startdate": f"2024-01-0{i}", "renewalgroupinitialagreement_id": 1} for i in (1, 2, 3)],
@@ -51,6 +56,17 @@ def test_many_keys_are_still_left_out_early(spark):
     assert only_with(rows, keys, ["job", "tenant"], most=10).count() == 400_000
 
 
+def test_repeated_ids_that_lie_close_together_are_not_counted_again(spark):
+    shape = "k int, id bigint"
+    near = [(1, 5), (1, 5), (1, 260), (1, None), (2, -3), (2, -3), (None, 8), (None, 8), (3, None)]
+    counted = sums_with_distinct(spark.createDataFrame(near, shape), ["k"], "id", "n")
+    assert "Join" not in plan(counted)
+    assert {r.k: r.n for r in counted.collect()} == {1: 2, 2: 1, None: 1, 3: 0}
+    # 5 and 261 share a place; the ends of all numbers are too far apart to subtract.
+    far = [(1, 5), (1, 5), (1, 261), (2, -(2**63)), (2, 2**63 - 1), (2, 2**63 - 1), (None, 0), (None, 256)]
+    counted = sums_with_distinct(spark.createDataFrame(far, shape), ["k"], "id", "n")
+    assert {r.k: r.n for r in counted.collect()} == {1: 2, 2: 2, None: 2}
+
 
 @pytest.mark.parametrize("most", [1, 200, 1 << 18])
 def test_positions_of_small_and_large_groups(spark, most):
@@ -60,6 +76,17 @@ def test_positions_of_small_and_large_groups(spark, most):
     assert got.columns == expected.columns and got.exceptAll(expected).count() == 0 and got.count() == 3000
 
 
+def test_a_name_that_many_employees_share_meets_a_job_once(spark, tables):
+    src = tables(customfieldtype=[{"id": 1, "name": "Salesperson"}], customfield=[{"id": i, "owner_id": i, "type_id": 1, "value": " Jo "} for i in range(4)])
+    people = [(i, TENANT, "Jo", "Employee", 1, 0, 0, 0, 0, None, None) for i in range(50, 20, -1)]
+    mart = {"mat_employee_commissionrates": spark.createDataFrame(people, "EmployeeId bigint, TenantId bigint, EmployeeName string, EmployeeType string, "
+        "CommissionType int, a int, b int, c int, d int, LoadDateTime timestamp, UpdatedDateTime timestamp")}
+    found = facts.job_salespeople(src, mart, SETTINGS)
+    assert {(r.JobId, r.EmployeeId) for r in found.collect()} == {(i, 21) for i in range(4)}
+    # The employees are reduced below the join.
+    assert plan(found).count("Aggregate") == 2
+    assert facts.job_salespeople(src, mart, SETTINGS.with_(multi_salesperson="duplicate")).count() == 120
+
 
 def test_an_invoice_has_one_digest(tables):
     src = tables(
